@@ -1,9 +1,9 @@
 """JSON validity, parsing and writing with Python's rules.
 
 Spark's JSON parsers stop after the first value, so ``{"a":1} x`` parses. Here
-the text is wrapped as ``[text,"md5(text)"]``: the second element can only be
-the digest when the first one is exactly the whole text. One parse therefore
-gives both the verdict and the value.
+the text is wrapped as ``[text,hash(text)]``: the second element can only be the
+text's own hash when the first one is exactly the whole text. One parse
+therefore gives both the verdict and the value.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def keep_last_of_repeated_keys(spark: SparkSession) -> None:
 
 
 def _wrap(text: Column) -> Column:
-    return F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]'))
+    return F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
 
 
 def _spelled_infinity(text: Column) -> Column:
@@ -50,7 +50,7 @@ def is_valid_json(text: Column, mode: str = "python") -> Column:
     if mode not in ("python", "strict"):
         raise ValueError(f"unknown mode: {mode}")
     parsed = F.from_json(_wrap(text), "array<string>", OPTIONS if mode == "python" else _STRICT)
-    whole = F.get(parsed, F.lit(1)) == F.md5(text)
+    whole = F.get(parsed, F.lit(1)) == F.xxhash64(text).cast("string")
     if mode == "python":
         whole = whole & ~_spelled_infinity(text)
     return F.coalesce(whole, F.lit(False))
@@ -63,23 +63,25 @@ def parsed_array(text: Column) -> Column:
 
 def whole_value(parsed: Column, text: Column) -> Column:
     """VARIANT of the text, or NULL when the text is not one JSON value."""
-    digest = F.try_variant_get(F.get(parsed, F.lit(1)), "$", "string")
-    whole = (digest == F.md5(text)) & ~_spelled_infinity(text)
+    mark = F.try_variant_get(F.get(parsed, F.lit(1)), "$", "bigint")
+    whole = (mark == F.xxhash64(text)) & ~_spelled_infinity(text)
     return F.when(whole, F.get(parsed, F.lit(0)))
 
 
+_KINDS = {"OB": "object", "AR": "array", "VO": "null", "ST": "string", "BO": "boolean"}
+
+
 def variant_kind(value: Column) -> Column:
     """object, array, null, string, boolean or number; NULL for NULL."""
-    head = F.substring(F.schema_of_variant(value), 1, 2)
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(head == "OB", "object")
-        .when(head == "AR", "array")
-        .when(head == "VO", "null")
-        .when(head == "ST", "string")
-        .when(head == "BO", "boolean")
-        .otherwise("number")
-    )
+    names = F.create_map(*[F.lit(word) for pair in _KINDS.items() for word in pair])
+    known = F.try_element_at(names, F.substring(F.schema_of_variant(value), 1, 2))
+    return F.when(value.isNotNull(), F.coalesce(known, F.lit("number")))
+
+
+def root_kind(text: Column) -> Column:
+    """Kind of a valid JSON text by its first character: object, array, null or other."""
+    first = F.substring(F.ltrim(text, F.lit(_JSON_BLANKS)), 1, 1)
+    return F.when(first == "{", "object").when(first == "[", "array").when(first == "n", "null").otherwise("other")
 
 
 def last_value(entries: Column, key: str) -> Column:

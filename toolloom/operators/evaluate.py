@@ -48,7 +48,10 @@ def compare_tool_calls(df: DataFrame, generated: str = "generated", expected: st
     its own kind; scalar values are not compared and more keys may be there.
     """
     jsonx.keep_last_of_repeated_keys(df.sparkSession)
-    scored = _with_verdict(_with_parts(df, generated, expected), generated, expected)
+    judged = _with_verdict(_with_parts(df, generated, expected), generated, expected)
+    # As a generated row the verdict is computed once: a later filter on it is
+    # not pushed into the projections above, which would parse again for it.
+    scored = judged.select(*df.columns, F.inline(F.array(F.struct("_valid", "_same_name", "_code"))))
     return scored.select(
         *df.columns,
         F.col("_valid").alias("is_valid_json"),
@@ -119,9 +122,10 @@ def evaluate_single(
 
 
 def _with_parts(df: DataFrame, generated: str, expected: str) -> DataFrame:
-    """Each text parsed once, and the parts the verdict needs.
+    """Each text parsed once, and the parts that most rows need.
 
-    ``_g`` and ``_e`` stand for the generated and expected side.
+    ``_g`` and ``_e`` stand for the generated and expected side: the whole value,
+    its name as JSON text and its arguments as a map, NULL unless an object.
     """
     sides = {"_g": F.col(generated), "_e": F.col(expected)}
     parsed = df.select("*", *[jsonx.parsed_array(t).alias(f"{s}_all") for s, t in sides.items()])
@@ -129,23 +133,11 @@ def _with_parts(df: DataFrame, generated: str, expected: str) -> DataFrame:
         *df.columns,
         *[jsonx.whole_value(F.col(f"{s}_all"), t).alias(s) for s, t in sides.items()],
     )
-    split = whole.select(
+    return whole.select(
         "*",
-        *[variant_kind(F.col(s)).alias(f"{s}_kind") for s in sides],
-        *[F.try_variant_get(F.col(s), "$.name", "variant").alias(f"{s}_name") for s in sides],
-        *[F.try_variant_get(F.col(s), "$.arguments", "variant").alias(f"{s}_args") for s in sides],
+        *[F.try_variant_get(F.col(s), "$.arguments", _MAP).alias(f"{s}_map") for s in sides],
+        *[F.to_json(F.try_variant_get(F.col(s), "$.name", "variant")).alias(f"{s}_name") for s in sides],
     )
-    # No arguments at all are the same as an empty object.
-    return split.select(
-        "*",
-        *[F.coalesce(variant_kind(F.col(f"{s}_args")), F.lit("object")).alias(f"{s}_args_kind") for s in sides],
-        *[_argument_map(F.col(f"{s}_args")).alias(f"{s}_map") for s in sides],
-    )
-
-
-def _argument_map(args: Column) -> Column:
-    empty = F.create_map().cast(_MAP)
-    return F.when(args.isNull(), empty).otherwise(F.try_variant_get(args, "$", _MAP))
 
 
 def _with_verdict(parts: DataFrame, generated: str, expected: str) -> DataFrame:
@@ -156,57 +148,64 @@ def _with_verdict(parts: DataFrame, generated: str, expected: str) -> DataFrame:
     """
     g_text, e_text = F.col(generated), F.col(expected)
     g_readable, e_readable = F.col("_g").isNotNull(), F.col("_e").isNotNull()
+    g_kind, e_kind = jsonx.root_kind(g_text), jsonx.root_kind(e_text)
     # Only texts that did not parse as a whole are looked at a second time.
-    g_valid = F.when(g_readable, True).otherwise(jsonx.is_valid_json(g_text))
+    valid = F.when(g_readable, True).otherwise(jsonx.is_valid_json(g_text))
     e_valid = F.when(e_readable, True).otherwise(jsonx.is_valid_json(e_text))
     code = (
-        F.when(g_text.isNull(), "null_text")
-        .when(~g_valid, "nothing")
-        .when(F.col("_g_kind") == "null", "nothing")
+        F.when(F.col("_g_map").isNotNull() & F.col("_e_map").isNotNull(), _object_code())
+        .when(g_text.isNull(), "null_text")
+        .when(~F.col("_valid") | (g_kind == "null"), "nothing")
         .when(e_text.isNull(), "null_expected")
-        .when(~e_valid | (F.col("_e_kind") == "null"), "nothing")
+        .when((e_kind == "null") | ~e_valid, "nothing")
         .when(~g_readable, "unreadable")
-        .when(F.col("_g_kind") != "object", "not_object")
+        .when(g_kind != "object", "not_object")
         .when(~e_readable, "expected_unreadable")
-        .when(F.col("_e_kind") != "object", "expected_not_object")
+        .when(e_kind != "object", "expected_not_object")
         .otherwise(_argument_code(e_text))
     )
-    same = F.coalesce(_name(F.col("_g_name")) == _name(F.col("_e_name")), F.lit(False))
-    return parts.withColumn("_valid", g_valid).withColumn("_same_name", same).withColumn("_code", code)
-
+    return parts.select("*", valid.alias("_valid")).select("*", _same_name().alias("_same_name"), code.alias("_code"))
 
-def _name(value: Column) -> Column:
-    """Text that is equal when two names are; a missing name is an empty one.
 
-    Numbers and booleans compare by value, and NaN equals nothing.
-    """
-    kind = variant_kind(value)
-    number = F.when(kind == "boolean", F.try_variant_get(value, "$", "boolean").cast("double")).otherwise(
-        F.try_variant_get(value, "$", "double")
-    )
+def _same_name() -> Column:
+    """A missing name is an empty one. Numbers and booleans are equal by value; NaN equals nothing."""
+    given, wanted = [F.coalesce(F.col(f"{s}_name"), F.lit('""')) for s in ("_g", "_e")]
+    kinds = [variant_kind(F.try_variant_get(F.col(s), "$.name", "variant")) for s in ("_g", "_e")]
+    texts_only = (kinds[0] != "number") & (kinds[1] != "number")
+    numbers = [
+        F.when(t == "true", 1.0).when(t == "false", 0.0).otherwise(t.try_cast("double")) for t in (given, wanted)
+    ]
     return (
-        F.when(value.isNull(), "string ")
-        .when(kind == "string", F.concat(F.lit("string "), F.try_variant_get(value, "$", "string")))
-        .when(kind.isin("number", "boolean"), F.when(~F.isnan(number), F.concat(F.lit("number "), number)))
-        .otherwise(F.concat(kind, F.lit(" "), F.to_json(value)))
+        F.when((given == wanted) & (given == '"NaN"'), texts_only)
+        .when(given == wanted, True)
+        .otherwise(F.coalesce(numbers[0] == numbers[1], F.lit(False)))
     )
 
 
+def _args(side: str) -> Column:
+    return F.try_variant_get(F.col(side), "$.arguments", "variant")
+
+
+def _args_kind(side: str) -> Column:
+    """No arguments at all are the same as an empty object."""
+    return F.coalesce(variant_kind(_args(side)), F.lit("object"))
+
+
 def _argument_code(expected: Column) -> Column:
-    """Verdict on the arguments of two objects."""
-    wanted_kind, wanted = F.col("_e_args_kind"), F.col("_e_map")
+    """Verdict on two objects when not both of them hold an argument object."""
+    wanted_kind, given_kind = _args_kind("_e"), _args_kind("_g")
     first = F.when(
         wanted_kind == "string",
-        F.substring(F.try_variant_get(F.col("_e_args"), "$", "string"), 1, 1),
-    ).otherwise(F.try_variant_get(F.col("_e_args"), "$[0]", "string"))
-    first_kind = variant_kind(F.try_variant_get(F.col("_e_args"), "$[0]", "variant"))
+        F.substring(F.try_variant_get(_args("_e"), "$", "string"), 1, 1),
+    ).otherwise(F.try_variant_get(_args("_e"), "$[0]", "string"))
+    first_kind = variant_kind(F.try_variant_get(_args("_e"), "$[0]", "variant"))
     return (
         F.when(~wanted_kind.isin("object", "string", "array"), "expected_args_not_iterable")
         .when(
             wanted_kind == "object",
-            F.when(F.size(wanted) == 0, "ok")
-            .when(F.col("_g_args_kind") == "object", _object_code())
-            .when(F.col("_g_args_kind").isin("array", "string"), _ordered_code(expected))
+            F.when(F.coalesce(F.size(F.col("_e_map")), F.lit(0)) == 0, "ok")
+            .when(given_kind == "object", "miss")
+            .when(given_kind.isin("array", "string"), _ordered_code(expected))
             .otherwise("args_not_container"),
         )
         # Expected arguments that are text or a list are gone through by
@@ -216,24 +215,24 @@ def _argument_code(expected: Column) -> Column:
             | (wanted_kind == "array") & first_kind.isNull(),
             "ok",
         )
-        .when(~F.col("_g_args_kind").isin("object", "array", "string"), "args_not_container")
+        .when(~given_kind.isin("object", "array", "string"), "args_not_container")
         .when(
             (wanted_kind == "string") | (first_kind == "string"),
             F.when(_has(first), "expected_args_not_object").otherwise("miss"),
         )
-        .when((F.col("_g_args_kind") == "object") & ~first_kind.isin(*CONTAINERS), "miss")
+        .when((given_kind == "object") & ~first_kind.isin(*CONTAINERS), "miss")
         .otherwise("expected_args_not_object")
     )
 
 
 def _has(key: Column) -> Column:
     """Whether the generated arguments contain a key, item or piece of text."""
-    args = F.col("_g_args")
+    args, kind = _args("_g"), _args_kind("_g")
     items = F.coalesce(F.try_variant_get(args, "$", "array<variant>"), F.array().cast("array<variant>"))
     return (
-        F.when(F.col("_g_args_kind") == "object", F.map_contains_key(F.col("_g_map"), key))
+        F.when(kind == "object", F.coalesce(F.map_contains_key(F.col("_g_map"), key), F.lit(False)))
         .when(
-            F.col("_g_args_kind") == "array",
+            kind == "array",
             F.exists(items, lambda v: (variant_kind(v) == "string") & (F.try_variant_get(v, "$", "string") == key)),
         )
         .otherwise(F.try_variant_get(args, "$", "string").contains(key))
@@ -241,14 +240,15 @@ def _has(key: Column) -> Column:
 
 
 def _object_code() -> Column:
+    """Both sides hold an argument object: no expected key is missing or of another kind."""
     wanted, given = F.col("_e_map"), F.col("_g_map")
-    missing = F.size(F.array_except(F.map_keys(wanted), F.map_keys(given))) > 0
 
-    def other_kind(entry: Column) -> Column:
+    def bad(entry: Column) -> Column:
         kind = variant_kind(entry["value"])
-        return kind.isin(*CONTAINERS) & (variant_kind(F.try_element_at(given, entry["key"])) != kind)
+        other = kind.isin(*CONTAINERS) & (variant_kind(F.try_element_at(given, entry["key"])) != kind)
+        return ~F.map_contains_key(given, entry["key"]) | other
 
-    return F.when(missing | F.exists(F.map_entries(wanted), other_kind), "miss").otherwise("ok")
+    return F.when(F.exists(F.map_entries(wanted), bad), "miss").otherwise("ok")
 
 
 def _ordered_code(expected: Column) -> Column:
