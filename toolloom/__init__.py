@@ -1,5 +1,9 @@
 """Spark-native data engine for tool-calling language models."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from toolloom.operators.chat import (
     flag_overlength,
     inference_prompts,
@@ -39,6 +43,10 @@ from toolloom.operators.spec import (
 )
 from toolloom.operators.split import train_test_split
 
+# Functions that run in Python workers travel with the job, so the package does
+# not have to be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "batch_generate",
     "card_metrics",

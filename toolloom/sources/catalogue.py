@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from toolloom import fixed_values as fixed
@@ -12,6 +13,7 @@ SCHEMA = "tool_key STRING, name STRING, definition STRING"
 
 
 def default_catalogue(spark: SparkSession, product: str = fixed.DEFAULT_PRODUCT) -> DataFrame:
+    """The ten built-in tools, as a local relation: Spark knows it is small enough to broadcast."""
     rows = []
     for key, (name, description, parameters, required) in fixed.TOOLS.items():
         schema = {
@@ -22,7 +24,8 @@ def default_catalogue(spark: SparkSession, product: str = fixed.DEFAULT_PRODUCT)
             schema["required"] = required
         function = {"name": name, "description": description.format(product=product), "parameters": schema}
         rows.append((key, name, json.dumps({"type": "function", "function": function})))
-    return spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    names = [field.split()[0] for field in SCHEMA.split(", ")]
+    return spark.createDataFrame(pa.table([list(c) for c in zip(*rows)], names=names))
 
 
 def write_tool_catalogue(catalogue: DataFrame, path: str) -> str:
