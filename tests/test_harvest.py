@@ -132,7 +132,7 @@ def test_example_arguments_by_rule(spark):
 
 
 def test_a_rule_of_ones_own_comes_first(spark):
-    own = [(lambda n, t: n.startswith("$"), lambda n, key: F.lit("0")), *RULES]
+    own = [("startswith(p.name, '$')", "'0'", False), *RULES]
     tools = spec.format_tools(spec.spec_operations(specs_of(spark, one({**LIST, "parameters": [{"name": "$top", "in": "query"}]}))))
     assert samples.example_args(tools, rules=own).first().arguments == '{"$top": 0}'
 

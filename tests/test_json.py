@@ -56,4 +56,4 @@ def test_parse_response_keeps_raw_text_and_last_of_repeated_keys(spark):
 def test_quote_is_pythons_dumps(spark):
     texts = ["plain", 'a "b" \\ c', "é 😀  ", "\n\r\t\b\f\x01\x1f\x7f", "", "/</"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
-    assert {r[0]: r[1] for r in rows.select("t", jsonx.quote(F.col("t"))).collect()} == {t: json.dumps(t) for t in texts}
+    assert {r[0]: r[1] for r in rows.select("t", F.expr(jsonx.quote("t"))).collect()} == {t: json.dumps(t) for t in texts}

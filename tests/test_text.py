@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from toolloom import fixed_values as fixed
 from toolloom.functions.chat import system_prompt
+from toolloom.functions import sql
 from toolloom.functions.text import clean_text, render_prompt, strip
 
 CASES = [
@@ -23,14 +24,14 @@ CASES = [
 
 @pytest.mark.parametrize("text, cleaned", CASES)
 def test_clean_text(spark, text, cleaned):
-    row = spark.createDataFrame([(text,)], "t string").select(clean_text(F.col("t"))).first()
+    row = spark.createDataFrame([(text,)], "t string").select(clean_text("t")).first()
     assert row[0] == cleaned
 
 
 def test_whitespace_is_pythons(spark):
     texts = [f"{chr(c)}a{chr(c)}{chr(c)} b {chr(c)}c{chr(c)}" for c in [*range(0x21), 0x7F, 0x85, 0xA0, 0x1680, 0x180E, 0x200B, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = rows.select("t", clean_text(F.col("t")), strip(F.col("t"))).collect()
+    got = rows.select("t", clean_text("t"), strip(F.col("t"))).collect()
     for text, cleaned, stripped in got:
         assert cleaned == re.sub(r"\s+", " ", text).strip()
         assert stripped == text.strip()
@@ -42,7 +43,7 @@ def test_templates(spark):
     for template in fixed.PROMPT_TEMPLATES:
         assert "{action}" in template
     rows = spark.createDataFrame([(t,) for t in fixed.PROMPT_TEMPLATES], "t string")
-    got = {r[0]: r[1] for r in rows.select("t", render_prompt(F.col("t"), F.lit(action))).collect()}
+    got = {r[0]: r[1] for r in rows.select("t", render_prompt("t", sql.literal(action))).collect()}
     assert got == {t: t.format(action=action.lower()) for t in fixed.PROMPT_TEMPLATES}
 
 

@@ -1,127 +1,78 @@
-"""Example arguments for a tool's properties, as JSON text.
+"""Example arguments for a tool's properties.
 
-A rule is ``(applies, value)``: ``applies(name, type)`` is a condition and
-``value(name, key)`` the JSON text of the argument, where ``key`` is the list
-of columns that seed every choice. The first rule that applies wins.
+A rule is ``(condition, value, is_text)`` in SQL over ``p.name``, ``p.type`` and
+``p.key``, the key that seeds every choice. ``value`` is a string: text to be
+quoted, or JSON as it is. The first rule whose condition holds wins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 from toolloom import fixed_values as fixed
-from toolloom.functions import hashing
-from toolloom.functions.jsonx import json_list, json_object, member, quote
-
-Rule = tuple[Callable[[Column, Column], Column], Callable[[Column, list[Column]], Column]]
-
-
-def _named(name: str) -> Callable[[Column, Column], Column]:
-    return lambda n, t: n == name
-
-
-def _typed(kind: str) -> Callable[[Column, Column], Column]:
-    return lambda n, t: t == kind
-
+from toolloom.functions import hashing, jsonx, sql
 
-def _salted(key: list[Column], salt: str) -> list[Column]:
-    return [*key, F.lit(salt)]
+Rule = tuple[str, str, bool]
 
+_KEY = "p.key"
 
-def _picked_string(values: Sequence[str]) -> Callable[[Column, list[Column]], Column]:
-    return lambda n, key: quote(hashing.pick(values, *key))
 
+def named(name: str, value: str, is_text: bool = True) -> Rule:
+    return f"p.name = {sql.literal(name)}", value, is_text
 
-def _filter(name: Column, key: list[Column]) -> Column:
-    return quote(F.array_join(hashing.sample(fixed.FILTER_CLAUSES, 1, 2, *key), " and "))
 
+def typed(kind: str, value: str, is_text: bool = False) -> Rule:
+    return f"p.type = {sql.literal(kind)}", value, is_text
 
-def _select(name: Column, key: list[Column]) -> Column:
-    return quote(F.array_join(hashing.sample(fixed.SELECT_FIELDS, 2, 4, *key), ","))
 
-
-def _orderby(name: Column, key: list[Column]) -> Column:
-    return quote(
-        F.concat(
-            hashing.pick(fixed.ORDER_FIELDS, *key),
-            F.lit(" "),
-            hashing.pick(fixed.ORDER_DIRECTIONS, *_salted(key, "direction")),
-        )
-    )
-
-
-def _search(name: Column, key: list[Column]) -> Column:
-    return quote(F.concat(F.lit('"'), hashing.pick(fixed.SEARCH_TERMS, *key), F.lit('"')))
-
-
-def _alert_id(name: Column, key: list[Column]) -> Column:
-    number = hashing.pick_int(10_000_000, 99_999_999, *key)
-    return quote(F.concat(hashing.uuid_text(*key), F.lit("_"), number))
-
-
-def _user_id(name: Column, key: list[Column]) -> Column:
-    return quote(
-        F.concat(
-            hashing.pick(fixed.USER_NAMES, *key),
-            F.lit("@"),
-            hashing.pick(fixed.USER_DOMAINS, *_salted(key, "domain")),
-        )
-    )
-
-
-def _host_name(name: Column, key: list[Column]) -> Column:
-    number = hashing.pick_int(1, 99, *_salted(key, "number")).cast("string")
-    return quote(F.concat(hashing.pick(fixed.HOST_PREFIXES, *key), F.lit("-"), F.lpad(number, 2, "0")))
-
-
-def _items(name: Column, key: list[Column]) -> Column:
-    last = hashing.pick_int(0, 2, *key)
-    return json_list(F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda i: quote(F.concat(F.lit("item"), i))))
-
-
-def _fallback(name: Column, key: list[Column]) -> Column:
-    return quote(F.concat(F.lit("example_"), name, F.lit("_"), hashing.pick_int(100, 999, *key)))
+def _string(number: str) -> str:
+    return f"CAST({number} AS STRING)"
 
 
 RULES: list[Rule] = [
-    (_named("$filter"), _filter),
-    (_named("$select"), _select),
-    (_named("$top"), lambda n, key: hashing.pick(fixed.TOP_SIZES, *key).cast("string")),
-    (_named("$orderby"), _orderby),
-    (_named("$expand"), _picked_string(fixed.EXPANSIONS)),
-    (_named("$search"), _search),
-    (_named("alertId"), _alert_id),
-    (_named("incidentId"), lambda n, key: quote(hashing.pick_int(1000, 999_999, *key).cast("string"))),
-    (_named("userId"), _user_id),
-    (_named("hostName"), _host_name),
-    (_named("query"), _picked_string(fixed.HUNTING_QUERIES)),
-    (_named("timeRange"), _picked_string(fixed.TIME_RANGES)),
-    (_typed("integer"), lambda n, key: hashing.pick_int(1, 100, *key).cast("string")),
-    (_typed("boolean"), lambda n, key: F.when(hashing.hash32(*key) % 2 == 0, "true").otherwise("false")),
-    (_typed("array"), _items),
-    (_typed("object"), lambda n, key: F.lit("{}")),
-    (lambda n, t: F.lit(True), _fallback),
+    named("$filter", f"array_join({hashing.sample(fixed.FILTER_CLAUSES, 1, 2, _KEY)}, ' and ')"),
+    named("$select", f"array_join({hashing.sample(fixed.SELECT_FIELDS, 2, 4, _KEY)}, ',')"),
+    named("$top", _string(hashing.pick(fixed.TOP_SIZES, _KEY)), is_text=False),
+    named(
+        "$orderby",
+        f"concat({hashing.pick(fixed.ORDER_FIELDS, _KEY)}, ' ', {hashing.pick(fixed.ORDER_DIRECTIONS, _KEY, 'direction')})",
+    ),
+    named("$expand", hashing.pick(fixed.EXPANSIONS, _KEY)),
+    named("$search", f"concat('\"', {hashing.pick(fixed.SEARCH_TERMS, _KEY)}, '\"')"),
+    named("alertId", f"concat({hashing.uuid_text(_KEY)}, '_', {hashing.pick_int(10_000_000, 99_999_999, _KEY)})"),
+    named("incidentId", _string(hashing.pick_int(1000, 999_999, _KEY))),
+    named(
+        "userId",
+        f"concat({hashing.pick(fixed.USER_NAMES, _KEY)}, '@', {hashing.pick(fixed.USER_DOMAINS, _KEY, 'domain')})",
+    ),
+    named(
+        "hostName",
+        f"concat({hashing.pick(fixed.HOST_PREFIXES, _KEY)}, '-', "
+        f"lpad({_string(hashing.pick_int(1, 99, _KEY, 'number'))}, 2, '0'))",
+    ),
+    named("query", hashing.pick(fixed.HUNTING_QUERIES, _KEY)),
+    named("timeRange", hashing.pick(fixed.TIME_RANGES, _KEY)),
+    typed("integer", _string(hashing.pick_int(1, 100, _KEY))),
+    typed("boolean", f"CASE WHEN {hashing.hash32(_KEY)} % 2 = 0 THEN 'true' ELSE 'false' END"),
+    typed(
+        "array",
+        jsonx.json_list(
+            f"transform(sequence(0L, {hashing.pick_int(0, 2, _KEY)}), i -> concat('\"item', i, '\"'))"
+        ),
+    ),
+    typed("object", "'{}'"),
+    ("true", f"concat('example_', p.name, '_', {hashing.pick_int(100, 999, _KEY)})", True),
 ]
 
 
-def example_value(name: Column, kind: Column, key: list[Column], rules: Sequence[Rule] = RULES) -> Column:
-    """JSON text of the example argument of one property."""
-    chain = F
-    for applies, value in rules:
-        chain = chain.when(applies(name, kind), value(name, key))
-    return chain
-
-
-def example_args_json(
-    properties: Column, op_key: Column, seed: int, rules: Sequence[Rule] = RULES
-) -> Column:
-    """JSON object text with one argument per property."""
-
-    def entry(prop: Column) -> Column:
-        key = [F.lit(str(seed)), op_key, prop["name"]]
-        return member(prop["name"], example_value(prop["name"], prop["type"], key, rules))
-
-    return json_object(F.transform(properties, entry))
+def example_args_json(properties: str, op_key: str, seed: int, rules: Sequence[Rule] = RULES) -> str:
+    """SQL of a JSON object text with one argument per property."""
+    keyed = (
+        f"transform({properties}, p -> struct(p.name AS name, p.type AS type, "
+        f"concat_ws('|', '{seed}', {op_key}, p.name) AS key))"
+    )
+    value = "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v, _ in rules) + " END"
+    is_text = "CASE " + " ".join(f"WHEN {c} THEN {str(t).lower()}" for c, _, t in rules) + " END"
+    valued = f"transform({keyed}, p -> struct(p.name AS name, {value} AS value, {is_text} AS is_text))"
+    argument = f"CASE WHEN a.is_text THEN {jsonx.quote('a.value')} ELSE a.value END"
+    return jsonx.json_object(f"transform({valued}, a -> {jsonx.member('a.name', argument)})")

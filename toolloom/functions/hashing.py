@@ -1,61 +1,48 @@
-"""Keyed choices: the same seed and key give the same value on any partitioning."""
+"""Keyed choices as SQL: the same key gives the same value on any partitioning.
+
+``key`` is SQL of a string. A salt separates choices made with one key.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from toolloom.functions import sql
 
 HASH_RANGE = 1 << 32
 
 
-def hash32(*parts: Column) -> Column:
-    """First 32 bits of the md5 of the parts joined by ``|``, as a bigint."""
-    digest = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+def salted(key: str, salt: str | None) -> str:
+    return key if salt is None else f"concat({key}, {sql.literal('|' + salt)})"
 
 
-def literal_array(values: Sequence) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def hash32(key: str, salt: str | None = None) -> str:
+    """First 32 bits of the md5, as a bigint."""
+    return f"CAST(conv(substring(md5({salted(key, salt)}), 1, 8), 16, 10) AS BIGINT)"
 
 
-def pick(values: Sequence, *key: Column) -> Column:
+def pick(values: Sequence[str | int], key: str, salt: str | None = None) -> str:
     """One of ``values``."""
-    index = hash32(*key) % F.lit(len(values)) + 1
-    return F.element_at(literal_array(values), index.cast("int"))
+    return f"element_at({sql.array(values)}, CAST({hash32(key, salt)} % {len(values)} + 1 AS INT))"
 
 
-def pick_int(low: int, high: int, *key: Column) -> Column:
+def pick_int(low: int, high: int, key: str, salt: str | None = None) -> str:
     """An integer from ``low`` to ``high``, both included."""
-    return hash32(*key) % F.lit(high - low + 1) + F.lit(low)
+    return f"({hash32(key, salt)} % {high - low + 1} + {low})"
 
 
-def sample(values: Sequence[str], low: int, high: int, *key: Column) -> Column:
-    """Between ``low`` and ``high`` distinct members of ``values``, in random order."""
-    ranked = F.array_sort(
-        F.transform(
-            literal_array(values),
-            lambda v: F.struct(F.md5(F.concat_ws("|", *key, v)).alias("rank"), v.alias("value")),
-        )
-    )
-    count = pick_int(low, high, *key, F.lit("count")).cast("int")
-    return F.slice(F.transform(ranked, lambda e: e["value"]), 1, count)
+def sample(values: Sequence[str], low: int, high: int, key: str) -> str:
+    """Array of between ``low`` and ``high`` distinct members of ``values``, in random order."""
+    ranked = f"transform({sql.array(values)}, v -> struct(md5(concat({key}, '|', v)) AS rank, v AS value))"
+    count = f"CAST({pick_int(low, high, key, 'count')} AS INT)"
+    return f"slice(array_sort({ranked}).value, 1, {count})"
 
 
-def uuid_text(*key: Column) -> Column:
+def uuid_text(key: str) -> str:
     """A version-4 shaped UUID."""
-    hexes = F.md5(F.concat_ws("|", *key, F.lit("uuid")))
-    variant = F.substring(F.lit("89ab"), (hash32(*key, F.lit("variant")) % 4 + 1).cast("int"), F.lit(1))
-    return F.concat(
-        F.substring(hexes, 1, 8),
-        F.lit("-"),
-        F.substring(hexes, 9, 4),
-        F.lit("-4"),
-        F.substring(hexes, 14, 3),
-        F.lit("-"),
-        variant,
-        F.substring(hexes, 18, 3),
-        F.lit("-"),
-        F.substring(hexes, 21, 12),
+    hexes = f"md5({salted(key, 'uuid')})"
+    variant = f"substring('89ab', CAST({hash32(key, 'variant')} % 4 + 1 AS INT), 1)"
+    return (
+        f"concat(substring({hexes}, 1, 8), '-', substring({hexes}, 9, 4), '-4', substring({hexes}, 14, 3), '-', "
+        f"{variant}, substring({hexes}, 18, 3), '-', substring({hexes}, 21, 12))"
     )

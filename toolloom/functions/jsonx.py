@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from toolloom.functions import sql
+from toolloom.functions.text import strip
+
 OPTIONS = {
     "allowSingleQuotes": "false",
     "allowUnquotedControlChars": "false",
@@ -68,16 +71,20 @@ def whole_value(parsed: Column, text: Column) -> Column:
     return F.when(whole, F.get(parsed, F.lit(0)))
 
 
-_KINDS = {"OB": "object", "AR": "array", "VO": "null", "ST": "string", "BO": "boolean"}
+_KINDS = "map('OB', 'object', 'AR', 'array', 'VO', 'null', 'ST', 'string', 'BO', 'boolean')"
 
 
 def variant_kind(value: Column) -> Column:
     """object, array, null, string, boolean or number; NULL for NULL."""
-    names = F.create_map(*[F.lit(word) for pair in _KINDS.items() for word in pair])
-    known = F.try_element_at(names, F.substring(F.schema_of_variant(value), 1, 2))
+    known = F.try_element_at(F.expr(_KINDS), F.substring(F.schema_of_variant(value), 1, 2))
     return F.when(value.isNotNull(), F.coalesce(known, F.lit("number")))
 
 
+def variant_kind_sql(value: str) -> str:
+    known = f"try_element_at({_KINDS}, substring(schema_of_variant({value}), 1, 2))"
+    return f"CASE WHEN {value} IS NOT NULL THEN coalesce({known}, 'number') END"
+
+
 def root_kind(text: Column) -> Column:
     """Kind of a valid JSON text by its first character: object, array, null or other."""
     first = F.substring(F.ltrim(text, F.lit(_JSON_BLANKS)), 1, 1)
@@ -95,43 +102,32 @@ def parse_response(text: Column) -> Column:
 
     ``parsed`` is NULL when the text is not JSON; the raw text is always kept.
     """
-    from toolloom.functions.text import strip
-
     raw = strip(text)
     return F.struct(whole_value(parsed_array(raw), raw).alias("parsed"), raw.alias("raw"))
 
 
-def _escape(char: Column) -> Column:
-    units = F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", r"\\u$1")
-    return (
-        F.when(char == '"', F.lit('\\"'))
-        .when(char == "\\", F.lit("\\\\"))
-        .when(char == "\n", F.lit("\\n"))
-        .when(char == "\r", F.lit("\\r"))
-        .when(char == "\t", F.lit("\\t"))
-        .when(char == "\f", F.lit("\\f"))
-        .when(char == "\b", F.lit("\\b"))
-        .when(char.between(" ", "~"), char)
-        .otherwise(units)
-    )
+_SHORT_ESCAPES = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\f": "\\f", "\b": "\\b"}
+_ESCAPES = f"map({', '.join(sql.literal(x) for pair in _SHORT_ESCAPES.items() for x in pair)})"
+_UNITS = f"regexp_replace(lower(hex(encode(c, 'UTF-16BE'))), '(.{{4}})', {sql.literal(chr(92) * 2 + 'u$1')})"
+_ESCAPE = f"CASE WHEN c BETWEEN ' ' AND '~' THEN coalesce(try_element_at({_ESCAPES}, c), c) ELSE coalesce(try_element_at({_ESCAPES}, c), {_UNITS}) END"
+_PLAIN = sql.literal(r"^[ !#-\[\]-~]*$")
 
 
-def quote(text: Column) -> Column:
-    """JSON string literal, all non-ASCII characters escaped."""
-    escaped = F.array_join(F.transform(F.split(text, ""), _escape), "")
-    plain = ~text.rlike(r'[^ !#-\[\]-~]')
-    return F.concat(F.lit('"'), F.when(plain, text).otherwise(escaped), F.lit('"'))
+def quote(text: str) -> str:
+    """SQL of a JSON string literal, all non-ASCII characters escaped."""
+    escaped = f"array_join(transform(split({text}, ''), c -> {_ESCAPE}), '')"
+    return f"concat('\"', CASE WHEN {text} RLIKE {_PLAIN} THEN {text} ELSE {escaped} END, '\"')"
 
 
-def json_list(items: Column) -> Column:
-    """JSON array text of an array of JSON texts."""
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+def json_list(items: str) -> str:
+    """SQL of a JSON array text from an array of JSON texts."""
+    return f"concat('[', array_join({items}, ', '), ']')"
 
 
-def json_object(members: Column) -> Column:
-    """JSON object text of an array of ``"key": value`` texts."""
-    return F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+def json_object(members: str) -> str:
+    """SQL of a JSON object text from an array of ``"key": value`` texts."""
+    return f"concat('{{', array_join({members}, ', '), '}}')"
 
 
-def member(key: Column, value: Column) -> Column:
-    return F.concat(quote(key), F.lit(": "), value)
+def member(key: str, value: str) -> str:
+    return f"concat({quote(key)}, ': ', {value})"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from toolloom.functions import sql
+
 # Java's \s is ASCII only; this class is what Python's str methods and regular
 # expressions call whitespace.
 SPACE_CLASS = r"\p{IsWhite_Space}\x1c-\x1f"
@@ -33,12 +35,16 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(SPACE_CHARS))
 
 
-def clean_text(col: Column) -> Column:
-    """Drop tags, turn whitespace runs into one blank, strip; NULL becomes ''."""
-    untagged = F.regexp_replace(F.coalesce(col, F.lit("")), "<[^<]+?>", "")
-    return F.btrim(F.regexp_replace(untagged, _RUN, " "))
+def clean_text_sql(text: str) -> str:
+    """SQL that drops tags, turns whitespace runs into one blank and strips; NULL becomes ''."""
+    untagged = f"regexp_replace(coalesce({text}, ''), '<[^<]+?>', '')"
+    return f"trim(regexp_replace({untagged}, {sql.literal(_RUN)}, ' '))"
+
+
+def clean_text(column: str) -> Column:
+    return F.expr(clean_text_sql(column))
 
 
-def render_prompt(template: Column, summary: Column) -> Column:
+def render_prompt(template: str, summary: str) -> Column:
     """Fill the ``{action}`` hole with the lower-cased summary."""
-    return F.replace(template, F.lit("{action}"), F.lower(summary))
+    return F.expr(f"replace({template}, '{{action}}', lower({summary}))")

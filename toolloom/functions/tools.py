@@ -1,119 +1,75 @@
-"""Tool definitions from parsed operations."""
+"""Tool definitions from parsed operations, as SQL over ``op``, ``method`` and ``path``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from toolloom import fixed_values as fixed
-from toolloom.functions.jsonx import json_list, json_object, member, quote, variant_kind
-from toolloom.functions.text import clean_text
+from toolloom.functions import sql
+from toolloom.functions.jsonx import json_list, json_object, member, quote, variant_kind_sql
+from toolloom.functions.text import clean_text_sql
 
+# The operation id, or the method and path with _ for /.
+NAME = "coalesce(op.operationId, concat(method, '_', replace(path, '/', '_')))"
 
-def tool_name(operation_id: Column, method: Column, path: Column) -> Column:
-    """The operation id, or the method and path with ``_`` for ``/``."""
-    made_up = F.concat(method, F.lit("_"), F.replace(path, F.lit("/"), F.lit("_")))
-    return F.coalesce(operation_id, made_up)
+DESCRIPTION = clean_text_sql("coalesce(op.summary, op.description)")
 
+# Headers, cookies and references drop out.
+USABLE_PARAMETERS = (
+    "filter(coalesce(op.parameters, array()), "
+    f"p -> p.in IN ({', '.join(sql.literal(x) for x in fixed.PARAMETER_LOCATIONS)}) AND p.name IS NOT NULL)"
+)
 
-def tool_description(summary: Column, description: Column) -> Column:
-    return clean_text(F.coalesce(summary, description))
+_FALSE_JSON = ", ".join(sql.literal(x) for x in ("false", "null", "0", "0.0", '""', "[]", "{}"))
 
 
-def _truthy(value: Column) -> Column:
-    return F.coalesce(~F.to_json(value).isin("false", "null", "0", "0.0", '""', "[]", "{}"), F.lit(False))
+def required(usable: str) -> str:
+    """Names of the required parameters in order; a repeated one repeats."""
+    return f"filter({usable}, p -> coalesce(to_json(p.required) NOT IN ({_FALSE_JSON}), false)).name"
 
 
-def _type_json(value: Column) -> Column:
-    kind = variant_kind(value)
-    names = F.try_variant_get(value, "$", "array<string>")
+def _type_json(kind: str) -> str:
+    """A type is nearly always a name; in newer specs it may be a list of names."""
+    names = f"try_variant_get({kind}, '$', 'array<string>')"
     return (
-        F.when(value.isNull(), F.lit('"string"'))
-        .when(kind == "string", quote(value.cast("string")))
-        .when(kind == "array", json_list(F.transform(names, quote)))
-        .otherwise(F.to_json(value))
-    )
-
-
-def usable_parameters(parameters: Column) -> Column:
-    """Path and query parameters; headers, cookies and references drop out."""
-    return F.filter(
-        parameters,
-        lambda p: p["in"].isin(*fixed.PARAMETER_LOCATIONS) & p["name"].isNotNull(),
+        f"CASE {variant_kind_sql(kind)} WHEN 'string' THEN {quote(f'CAST({kind} AS STRING)')} "
+        f"WHEN 'array' THEN {json_list(f'transform({names}, t -> {quote("t")})')} "
+        f"ELSE coalesce(to_json({kind}), '\"string\"') END"
     )
 
 
-def tool_properties(usable: Column, request_body: Column) -> Column:
-    """ARRAY<STRUCT<name, type, type_json, description>> in the order of first sight.
-
-    A repeated name keeps its first place and its last value. A JSON request
-    body adds one object property.
-    """
-
-    def as_property(param: Column) -> Column:
-        kind = param["schema"]["type"]
-        return F.struct(
-            param["name"].alias("name"),
-            F.coalesce(F.try_variant_get(kind, "$", "string"), F.lit("string")).alias("type"),
-            _type_json(kind).alias("type_json"),
-            clean_text(param["description"]).alias("description"),
-        )
-
-    body = F.struct(
-        F.lit(fixed.BODY_PROPERTY).alias("name"),
-        F.lit("object").alias("type"),
-        F.lit('"object"').alias("type_json"),
-        F.lit(fixed.BODY_DESCRIPTION).alias("description"),
+def properties(usable: str) -> str:
+    """ARRAY<STRUCT<name, type, type_json, description>>, with one more for a JSON body."""
+    listed = (
+        f"transform({usable}, p -> struct(p.name AS name, "
+        "coalesce(try_variant_get(p.schema.type, '$', 'string'), 'string') AS type, "
+        f"{_type_json('p.schema.type')} AS type_json, {clean_text_sql('p.description')} AS description))"
     )
-    has_body = F.coalesce(
-        F.map_contains_key(request_body["content"], F.lit("application/json")), F.lit(False)
+    body = (
+        f"struct({sql.literal(fixed.BODY_PROPERTY)} AS name, 'object' AS type, '\"object\"' AS type_json, "
+        f"{sql.literal(fixed.BODY_DESCRIPTION)} AS description)"
     )
-    listed = F.transform(usable, as_property)
-    return F.when(has_body, F.array_append(listed, body)).otherwise(listed)
+    has_body = "coalesce(map_contains_key(op.requestBody.content, 'application/json'), false)"
+    return f"concat({listed}, CASE WHEN {has_body} THEN array({body}) ELSE array() END)"
 
 
-def last_of_each_name(properties: Column) -> Column:
-    names = F.transform(properties, lambda p: p["name"])
-    distinct = F.array_distinct(names)
-    kept = F.transform(
-        distinct, lambda n: F.element_at(F.filter(properties, lambda p: p["name"] == n), -1)
-    )
-    return F.when(F.size(distinct) == F.size(names), properties).otherwise(kept)
-
-
-def tool_required(usable: Column) -> Column:
-    """Names of the required parameters in order; a repeated one repeats."""
-    return F.transform(F.filter(usable, lambda p: _truthy(p["required"])), lambda p: p["name"])
+def last_of_each_name(listed: str) -> str:
+    """A repeated name keeps its first place and its last value."""
+    kept = f"transform(array_distinct({listed}.name), n -> element_at(filter({listed}, q -> q.name = n), -1))"
+    return f"CASE WHEN size(array_distinct({listed}.name)) = size({listed}) THEN {listed} ELSE {kept} END"
 
 
-def tool_json(name: Column, description: Column, properties: Column, required: Column) -> Column:
+def definition(name: str, description: str, properties: str, required: str) -> str:
     """JSON text of a tool definition."""
-
-    def entry(prop: Column) -> Column:
-        return member(
-            prop["name"],
-            F.concat(
-                F.lit('{"type": '),
-                prop["type_json"],
-                F.lit(', "description": '),
-                quote(prop["description"]),
-                F.lit("}"),
-            ),
-        )
-
-    return F.concat(
-        F.lit('{"type": "function", "function": {"name": '),
-        quote(name),
-        F.lit(', "description": '),
-        quote(description),
-        F.lit(', "parameters": {"type": "object", "properties": '),
-        json_object(F.transform(properties, entry)),
-        F.lit(', "required": '),
-        json_list(F.transform(required, quote)),
-        F.lit("}}}"),
+    entry = member(
+        "p.name", f"concat('{{\"type\": ', p.type_json, ', \"description\": ', {quote('p.description')}, '}}')"
+    )
+    return (
+        f"concat('{{\"type\": \"function\", \"function\": {{\"name\": ', {quote(name)}, "
+        f"', \"description\": ', {quote(description)}, ', \"parameters\": {{\"type\": \"object\", \"properties\": ', "
+        f"{json_object(f'transform({properties}, p -> {entry})')}, ', \"required\": ', "
+        f"{json_list(f'transform({required}, r -> {quote("r")})')}, '}}}}}}')"
     )
 
 
-def tool_call_json(name: Column, arguments: Column) -> Column:
+def call(name: str, arguments: str) -> str:
     """JSON text of a tool call; ``arguments`` is JSON text already."""
-    return F.concat(F.lit('{"name": '), quote(name), F.lit(', "arguments": '), arguments, F.lit("}"))
+    return f"concat('{{\"name\": ', {quote(name)}, ', \"arguments\": ', {arguments}, '}}')"

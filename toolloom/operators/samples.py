@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from toolloom import fixed_values as fixed
+from toolloom.functions import sql
 from toolloom.functions.args import RULES, Rule, example_args_json
 from toolloom.functions.text import clean_text, render_prompt
-from toolloom.functions.tools import tool_call_json
+from toolloom.functions.tools import call
 from toolloom.operators.spec import filter_has_summary, format_tools, spec_operations
 
 SAMPLE_COLUMNS = ["instruction", "input", "output"]
@@ -21,15 +22,14 @@ def example_args(tools: DataFrame, seed: int = 42, rules: Sequence[Rule] = RULES
 
     The choice hangs on the seed, the operation and the parameter name only.
     """
-    op_key = F.concat_ws(" ", "spec_id", "method", "path")
-    return tools.withColumn("arguments", example_args_json(F.col("properties"), op_key, seed, rules))
+    made = example_args_json("properties", "concat_ws(' ', spec_id, method, path)", seed, rules)
+    return tools.selectExpr("*", f"{made} AS arguments")
 
 
 def expand_prompts(df: DataFrame, templates: Sequence[str] = fixed.PROMPT_TEMPLATES, summary: str = "description") -> DataFrame:
     """Every row with every template: adds ``template_id`` and ``instruction``."""
-    listed = F.array(*[F.lit(t) for t in templates])
-    exploded = df.select("*", F.posexplode(listed).alias("template_id", "_template"))
-    return exploded.withColumn("instruction", render_prompt(F.col("_template"), F.col(summary))).drop("_template")
+    exploded = df.select("*", F.posexplode(F.expr(sql.array(templates))).alias("template_id", "_template"))
+    return exploded.withColumn("instruction", render_prompt("_template", sql.name(summary))).drop("_template")
 
 
 def generate_samples(
@@ -53,9 +53,9 @@ def generate_samples(
         "path_pos",
         "method_pos",
         "tool_name",
-        clean_text(F.col("op.summary")).alias("description"),
+        clean_text("op.summary").alias("description"),
         "input",
-        tool_call_json(F.col("tool_name"), F.col("arguments")).alias("output"),
+        F.expr(call("tool_name", "arguments")).alias("output"),
     )
     return expand_prompts(texts, templates).select(
         F.concat_ws("/", "spec_id", "path_pos", "method_pos", "template_id").alias("sample_id"),

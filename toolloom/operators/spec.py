@@ -29,7 +29,7 @@ def filter_methods(df: DataFrame, methods: Sequence[str] = fixed.VALID_METHODS)
 
 def filter_has_summary(operations: DataFrame) -> DataFrame:
     """Keep operations whose cleaned summary is not empty."""
-    return operations.where(clean_text(F.col("op.summary")) != "")
+    return operations.where(clean_text("op.summary") != "")
 
 
 def spec_paths(specs: DataFrame) -> DataFrame:
@@ -74,22 +74,15 @@ def spec_operations(
 
 def format_tools(operations: DataFrame) -> DataFrame:
     """Add the parts of the tool definition and ``input``, its JSON text."""
-    usable = operations.withColumn("_usable", tools.usable_parameters(F.coalesce("op.parameters", F.array())))
-    listed = usable.select(
+    usable = operations.selectExpr("*", f"{tools.USABLE_PARAMETERS} AS _usable")
+    listed = usable.selectExpr(
         "*",
-        tools.tool_name(F.col("op.operationId"), F.col("method"), F.col("path")).alias("tool_name"),
-        tools.tool_description(F.col("op.summary"), F.col("op.description")).alias("description"),
-        tools.tool_properties(F.col("_usable"), F.col("op.requestBody")).alias("_listed"),
-        tools.tool_required(F.col("_usable")).alias("required"),
+        f"{tools.NAME} AS tool_name",
+        f"{tools.DESCRIPTION} AS description",
+        f"{tools.properties('_usable')} AS _listed",
+        f"{tools.required('_usable')} AS required",
     )
-    named = listed.select(
-        *operations.columns,
-        "tool_name",
-        "description",
-        tools.last_of_each_name(F.col("_listed")).alias("properties"),
-        "required",
-    )
-    return named.withColumn(
-        "input",
-        tools.tool_json(F.col("tool_name"), F.col("description"), F.col("properties"), F.col("required")),
+    named = listed.selectExpr(
+        *operations.columns, "tool_name", "description", f"{tools.last_of_each_name('_listed')} AS properties", "required"
     )
+    return named.selectExpr("*", f"{tools.definition('tool_name', 'description', 'properties', 'required')} AS input")

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from toolloom import fixed_values as fixed
+from toolloom.functions import sql
 from toolloom.functions.hashing import HASH_RANGE, hash32
 
-_HALF = 1 << 16
+# Rows of one bucket of the exact split end up in one task: n / 2^20 of n rows.
+_BUCKETS = 1 << 20
 
 
 def train_test_split(
@@ -27,7 +29,7 @@ def train_test_split(
     if not 0 < test_size < 1:
         raise ValueError("test_size must be between 0 and 1")
     keys = [key] if isinstance(key, str) else list(key)
-    score = hash32(F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    score = F.expr(hash32(f"concat_ws('|', '{seed}', {', '.join(sql.name(k) for k in keys)})"))
     if mode == "hash":
         is_test = score < int(test_size * HASH_RANGE)
         return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
@@ -39,38 +41,27 @@ def train_test_split(
 def _exact(df: DataFrame, keys: list[str], score: Column, test_size: float) -> DataFrame:
     """Exact size without ordering all rows.
 
-    The score at which the test side ends is found from two histograms of at
-    most 65,536 buckets, first over its high and then over its low 16 bits.
-    Rows below it are test, rows above it train; only rows with just that
-    score, about n / 2^32, are ranked by their key.
+    A histogram of the score, of a fixed number of buckets, tells in which
+    bucket the test side ends. Rows of lower buckets are test, rows of higher
+    ones train; only the rows of that one bucket are ranked.
     """
-    high, low = F.floor(F.col("_score") / _HALF), F.col("_score") % _HALF
-    scored = df.withColumn("_score", score)
-    wanted = scored.agg(F.ceil(F.count("*") * F.lit(test_size)).alias("rest"))
-    first = _last_bucket(scored.groupBy(high.alias("bucket")).count(), wanted)
-    inside = scored.where(high == first.select("bucket").scalar())
-    second = _last_bucket(inside.groupBy(low.alias("bucket")).count(), first.select("rest"))
-    cut = (first.select("bucket").scalar() * _HALF) + second.select("bucket").scalar()
-
-    marked = scored.withColumn("_cut", cut).withColumn(
-        "_side", F.signum(F.col("_score") - F.col("_cut")).cast("int")
+    scored = df.withColumn("_score", score).withColumn("_bucket", F.floor(F.col("_score") / (HASH_RANGE // _BUCKETS)))
+    histogram = scored.groupBy("_bucket").agg(F.count("*").alias("_count"))
+    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everywhere = Window.partitionBy()
+    last = (
+        histogram.withColumn("_upto", F.sum("_count").over(upto))
+        .withColumn("_wanted", F.ceil(F.max("_upto").over(everywhere) * F.lit(test_size)))
+        .where((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_count") < F.col("_wanted")))
+        .select(F.struct("_bucket", (F.col("_wanted") - F.col("_upto") + F.col("_count")).alias("_rest")).alias("last"))
     )
-    tied = Window.partitionBy("_side").orderBy(*keys)
-    clear = marked.where("_side <> 0").withColumn("split", F.when(F.col("_side") < 0, "test").otherwise("train"))
+    placed = scored.withColumn("_last", last.scalar())
+    bucket, end = F.col("_bucket"), F.col("_last._bucket")
+    clear = placed.where(bucket != end).withColumn("split", F.when(bucket < end, "test").otherwise("train"))
+    ranks = Window.partitionBy("_bucket").orderBy("_score", *keys)
     ranked = (
-        marked.where("_side = 0")
-        .withColumn("_rank", F.row_number().over(tied))
-        .withColumn("split", F.when(F.col("_rank") <= second.select("rest").scalar(), "test").otherwise("train"))
+        placed.where(bucket == end)
+        .withColumn("_rank", F.row_number().over(ranks))
+        .withColumn("split", F.when(F.col("_rank") <= F.col("_last._rest"), "test").otherwise("train"))
     )
     return clear.select(*df.columns, "split").unionAll(ranked.select(*df.columns, "split"))
-
-
-def _last_bucket(histogram: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bucket that holds the wanted-th row, and how many of its rows are wanted."""
-    running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    need = wanted.scalar()
-    return (
-        histogram.withColumn("_upto", F.sum("count").over(running))
-        .where((F.col("_upto") >= need) & (F.col("_upto") - F.col("count") < need))
-        .select("bucket", (need - (F.col("_upto") - F.col("count"))).alias("rest"))
-    )

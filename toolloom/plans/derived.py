@@ -13,6 +13,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from toolloom.functions import sql
+
 BASES = [
     "/security/alerts",
     "/security/incidents",
@@ -95,7 +97,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _literals(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.expr(sql.array(values))
 
 
 def _at(values: list[str], index: Column) -> Column:

@@ -19,11 +19,11 @@ _OPERATION_KEYS = ["spec_id", "path_pos", "path", "method_pos", "method"]
 
 
 def _clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return derived.read(spark, d, "pages").select("page_id", clean_text(F.col("html")).alias("cleaned"))
+    return derived.read(spark, d, "pages").select("page_id", clean_text("html").alias("cleaned"))
 
 
 def _clean_documents(spark: SparkSession, d: str) -> DataFrame:
-    return derived.read(spark, d, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+    return derived.read(spark, d, "documents").select("doc_id", clean_text("text").alias("cleaned"))
 
 
 # The derived documents have two paths each, so there is nothing to spread.
