@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from toolloom import fixed_values as fixed
 from toolloom.functions import sql
 from toolloom.functions.args import RULES, Rule, example_args_json
-from toolloom.functions.text import clean_text, render_prompt
+from toolloom.functions.text import render_prompt
 from toolloom.functions.tools import call
 from toolloom.operators.spec import filter_has_summary, format_tools, spec_operations
 
@@ -26,7 +26,7 @@ def example_args(tools: DataFrame, seed: int = 42, rules: Sequence[Rule] = RULES
     return tools.selectExpr("*", f"{made} AS arguments")
 
 
-def expand_prompts(df: DataFrame, templates: Sequence[str] = fixed.PROMPT_TEMPLATES, summary: str = "description") -> DataFrame:
+def expand_prompts(df: DataFrame, templates: Sequence[str] = fixed.PROMPT_TEMPLATES, summary: str = "summary") -> DataFrame:
     """Every row with every template: adds ``template_id`` and ``instruction``."""
     exploded = df.select("*", F.posexplode(F.expr(sql.array(templates))).alias("template_id", "_template"))
     return exploded.withColumn("instruction", render_prompt("_template", sql.name(summary))).drop("_template")
@@ -53,7 +53,8 @@ def generate_samples(
         "path_pos",
         "method_pos",
         "tool_name",
-        clean_text("op.summary").alias("description"),
+        # With a summary there, the description is the cleaned summary.
+        F.col("description").alias("summary"),
         "input",
         F.expr(call("tool_name", "arguments")).alias("output"),
     )

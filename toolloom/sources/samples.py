@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from toolloom import schemas
 from toolloom.operators.samples import SAMPLE_COLUMNS
 
+# Splits are at most files plus tasks. Up to this many their table, about 100
+# bytes a row, is broadcast; beyond, it is joined by shuffle.
+_MAX_BROADCAST_SPLITS = 1_000_000
 _ROW_IN_TASK = (1 << 33) - 1
 
 
@@ -29,6 +32,7 @@ def _numbered(lines: DataFrame) -> DataFrame:
     A first pass counts the rows of every file split; the running total over the
     splits, a table of one row per split, gives each split its first number.
     """
+    few = len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= _MAX_BROADCAST_SPLITS
     placed = lines.select(
         *SAMPLE_COLUMNS,
         F.col("_metadata.file_path").alias("_file"),
@@ -45,7 +49,7 @@ def _numbered(lines: DataFrame) -> DataFrame:
             (F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
         )
     )
-    return placed.join(splits, ["_file", "_start"]).select(
+    return placed.join(F.broadcast(splits) if few else splits, ["_file", "_start"]).select(
         (F.col("_row") + F.col("_shift")).alias("sample_id"), *SAMPLE_COLUMNS
     )
 
