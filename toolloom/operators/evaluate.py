@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toolloom.functions import jsonx
-from toolloom.functions.jsonx import variant_kind
+from toolloom.functions.jsonx import variant_kind, variant_kind_sql
 
 CONTAINERS = ("object", "array")
 _MAP = "map<string,variant>"
@@ -170,7 +170,7 @@ def _with_verdict(parts: DataFrame, generated: str, expected: str) -> DataFrame:
 def _same_name() -> Column:
     """A missing name is an empty one. Numbers and booleans are equal by value; NaN equals nothing."""
     given, wanted = [F.coalesce(F.col(f"{s}_name"), F.lit('""')) for s in ("_g", "_e")]
-    kinds = [variant_kind(F.try_variant_get(F.col(s), "$.name", "variant")) for s in ("_g", "_e")]
+    kinds = [F.expr(variant_kind_sql(_part(s, "$.name"))) for s in ("_g", "_e")]
     texts_only = (kinds[0] != "number") & (kinds[1] != "number")
     numbers = [
         F.when(t == "true", 1.0).when(t == "false", 0.0).otherwise(t.try_cast("double")) for t in (given, wanted)
@@ -182,23 +182,22 @@ def _same_name() -> Column:
     )
 
 
-def _args(side: str) -> Column:
-    return F.try_variant_get(F.col(side), "$.arguments", "variant")
+def _part(side: str, path: str) -> str:
+    return f"try_variant_get({side}, '{path}', 'variant')"
 
 
 def _args_kind(side: str) -> Column:
     """No arguments at all are the same as an empty object."""
-    return F.coalesce(variant_kind(_args(side)), F.lit("object"))
+    return F.expr(f"coalesce({variant_kind_sql(_part(side, '$.arguments'))}, 'object')")
 
 
 def _argument_code(expected: Column) -> Column:
     """Verdict on two objects when not both of them hold an argument object."""
     wanted_kind, given_kind = _args_kind("_e"), _args_kind("_g")
-    first = F.when(
-        wanted_kind == "string",
-        F.substring(F.try_variant_get(_args("_e"), "$", "string"), 1, 1),
-    ).otherwise(F.try_variant_get(_args("_e"), "$[0]", "string"))
-    first_kind = variant_kind(F.try_variant_get(_args("_e"), "$[0]", "variant"))
+    text = F.expr("try_variant_get(_e, '$.arguments', 'string')")
+    item = F.expr("try_variant_get(_e, '$.arguments[0]', 'string')")
+    first = F.when(wanted_kind == "string", F.substring(text, 1, 1)).otherwise(item)
+    first_kind = F.expr(variant_kind_sql(_part("_e", "$.arguments[0]")))
     return (
         F.when(~wanted_kind.isin("object", "string", "array"), "expected_args_not_iterable")
         .when(
@@ -227,15 +226,15 @@ def _argument_code(expected: Column) -> Column:
 
 def _has(key: Column) -> Column:
     """Whether the generated arguments contain a key, item or piece of text."""
-    args, kind = _args("_g"), _args_kind("_g")
-    items = F.coalesce(F.try_variant_get(args, "$", "array<variant>"), F.array().cast("array<variant>"))
+    kind = _args_kind("_g")
+    items = F.expr("coalesce(try_variant_get(_g, '$.arguments', 'array<variant>'), array())")
     return (
         F.when(kind == "object", F.coalesce(F.map_contains_key(F.col("_g_map"), key), F.lit(False)))
         .when(
             kind == "array",
             F.exists(items, lambda v: (variant_kind(v) == "string") & (F.try_variant_get(v, "$", "string") == key)),
         )
-        .otherwise(F.try_variant_get(args, "$", "string").contains(key))
+        .otherwise(F.expr("try_variant_get(_g, '$.arguments', 'string')").contains(key))
     )
 
 
