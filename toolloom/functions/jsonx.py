@@ -87,7 +87,7 @@ def variant_kind_sql(value: str) -> str:
 
 def root_kind(text: Column) -> Column:
     """Kind of a valid JSON text by its first character: object, array, null or other."""
-    first = F.substring(F.ltrim(text, F.lit(_JSON_BLANKS)), 1, 1)
+    first = F.substring(F.btrim(text, F.lit(_JSON_BLANKS)), 1, 1)
     return F.when(first == "{", "object").when(first == "[", "array").when(first == "n", "null").otherwise("other")
 
 
