@@ -185,13 +185,9 @@ def test_partitioning_does_not_change_samples(spark):
 
 def test_large_spec_is_spread_over_tasks(spark):
     paths = {f"/security/alerts/{i}": {"get": LIST} for i in range(500)}
-    operations = spec.spec_operations(specs_of(spark, {"paths": paths}))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        parts = operations.select(F.spark_partition_id()).distinct().count()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert parts == 4
+    for spread, parts in ((True, 4), (7, 7), (False, 1)):
+        operations = spec.spec_operations(specs_of(spark, {"paths": paths}), spread=spread)
+        assert operations.select(F.spark_partition_id()).distinct().count() == parts
 
 
 def test_harvest_from_files(spark, tmp_path):

@@ -38,7 +38,7 @@ def generate_samples(
     namespaces: Sequence[str] | None = None,
     seed: int = 42,
     rules: Sequence[Rule] = RULES,
-    spread: bool = True,
+    spread: bool | int = True,
 ) -> DataFrame:
     """Samples of every kept operation of every spec, in one lazy plan.
 

@@ -58,18 +58,22 @@ def spec_operations(
     specs: DataFrame,
     namespaces: Sequence[str] | None = None,
     methods: Sequence[str] = fixed.VALID_METHODS,
-    spread: bool = True,
+    spread: bool | int = True,
 ) -> DataFrame:
     """Operations of a table of specs: ``(spec_id, path_pos, path, method_pos, method, op)``.
 
     Paths and methods are filtered while they are still text, before anything
     below them is parsed. A spec is one row, so one large document would leave
     all its work in one task: ``spread`` deals the kept paths out over the
-    cluster first. Turn it off when every document is known to be small.
+    cluster first, to that many tasks or, if True, to as many as the session has
+    shuffle partitions. The number is given to Spark, which would otherwise merge
+    partitions by their size as text, long before prompts multiply it. Turn it
+    off when every document is known to be small.
     """
     kept = filter_namespaces(spec_paths(specs), namespaces)
     if spread:
-        kept = kept.repartition("spec_id", "path_pos")
+        setting = specs.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        kept = kept.repartition(int(setting) if spread is True else spread, "spec_id", "path_pos")
     return parse_operations(filter_methods(path_methods(kept), methods))
 
 
