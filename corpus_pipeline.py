@@ -16,8 +16,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    taken = mixing.mix(docs, weights=(3, 1, 2), share=1.5).where("copies > 0").select(F.col("doc_id").alias("id"), F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id"))).select(*COLUMNS)
+    taken = mixing.mix(docs, weights=(3, 1, 2), share=1.5, keep=COLUMNS).where("copies > 0")
+    again = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return again.select(*[F.col(f"kept_{c}").alias(c) for c in COLUMNS])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,8 @@ def renamed(frame: DataFrame, **columns: str) -> DataFrame:
 def crc_remainder(key: Column, by: int) -> Column:
     """crc32 of the key as text, modulo by; the fold that train and held-out rows are told apart with."""
     return F.crc32(key.cast("string").cast("binary")) % by
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) where value is worked out once, even if body uses it inside the functions of arrays."""
+    return F.get(F.transform(F.array(value), body), 0)

@@ -109,31 +109,50 @@ def _newton(r: dict, taken: float, slope: float) -> None:
     r["low"], r["high"], r["tilt"] = low, high, new
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken; one row per document."""
-    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
-    counts = stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    sources = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
-    even = min(share, MOST * (1 - 1e-9)) / MOST
-    level = math.log(even / (1 - even))
-    tilted = tilts(counts, targets(sources, weights, share), level).withColumnRenamed("source", "s")
-    rate = F.when(F.col("size") == 0, 0.0).when(F.col("full"), F.lit(float(MOST))).otherwise(_rate(level, F.col("tilt"), F.col("size") / F.col("scale")))
+def _with_rates(docs: DataFrame, plan: DataFrame, base: float) -> DataFrame:
+    """docs (doc_id, source, size and what else they have) with what their source's row says, rate, whole and bucket.
+
+    One more copy goes to the documents whose bucket is not above the source's cut; buckets order the gaps between
+    the id's hash and the rate's fraction.
+    """
+    rate = F.when(F.col("size") == 0, 0.0).when(F.col("full"), F.lit(float(MOST))).otherwise(_rate(base, F.col("tilt"), F.col("size") / F.col("scale")))
     u = (F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    rated = (
-        sized.join(tilted, F.col("source").eqNullSafe(F.col("s")))
+    gap = u - (F.col("rate") - F.col("whole"))
+    return (
+        docs.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        .drop("s")
         .withColumn("rate", rate)
         .withColumn("whole", F.floor("rate"))
-        .withColumn("gap", u - (F.col("rate") - F.col("whole")))  # one more copy where it is below the source's offset
-        .select("doc_id", "source", "size", "source_size", "target", "rate", "whole", "gap")
+        .withColumn("bucket", F.least(F.floor((gap + 1) / 2 * BUCKETS), F.lit(BUCKETS - 1)))
     )
-    bucket = F.least(F.floor((F.col("gap") + 1) / 2 * BUCKETS), F.lit(BUCKETS - 1))
-    can = F.col("whole") < MOST
-    fixed = rated.groupBy("source", "target").agg(F.sum(F.col("size") * F.col("whole")).alias("sure"))
-    buckets = rated.where(can & (F.col("size") > 0)).groupBy(F.col("source").alias("s"), bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-    sums = buckets.join(fixed, F.col("source").eqNullSafe(F.col("s"))).withColumn("upto", F.col("sure") + F.sum("words").over(Window.partitionBy("s").orderBy("bucket")))
-    # the last bucket whose end is nearer to the target than its begin
-    taken_up = F.abs(F.col("upto") - F.col("target")) <= F.abs(F.col("upto") - F.col("words") - F.col("target"))
-    cut = sums.where(taken_up).groupBy(F.col("s")).agg(F.max("bucket").alias("cut"))
-    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + F.when(can & (bucket <= F.col("cut")), 1).otherwise(0)).cast("int")
-    final = rated.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("copies", copies)
-    return final.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def plan_mix(sized: DataFrame, weights: Sequence[float], share: float) -> tuple[DataFrame, float]:
+    """One row per source: source, source_size, target, scale, full, tilt, cut; and the base rate's logit. sized: doc_id, source, size."""
+    counts = stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    sources = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
+    even = min(share, MOST * (1 - 1e-9)) / MOST
+    base = math.log(even / (1 - even))
+    tilted = tilts(counts, targets(sources, weights, share), base)
+    rated = _with_rates(sized, tilted, base).where("size > 0")
+    free = F.col("whole") < MOST
+    found = rated.groupBy("source", "target", F.when(free, F.col("bucket")).alias("bucket")).agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col("whole")).alias("sure"))
+    inside = Window.partitionBy("source", "target")
+    sums = found.withColumn("sure", F.sum("sure").over(inside)).withColumn("upto", F.col("sure") + F.sum(F.when(F.col("bucket").isNotNull(), F.col("words"))).over(inside.orderBy("bucket")))
+    # the last bucket whose end is not farther from the target than its begin
+    nearer = F.abs(F.col("upto") - F.col("target")) <= F.abs(F.col("upto") - F.col("words") - F.col("target"))
+    cuts = {r.source: r.cut for r in sums.where("bucket is not null").where(nearer).groupBy("source").agg(F.max("bucket").alias("cut")).collect()}
+    rows = [(*r, cuts.get(r.source, -1)) for r in tilted.collect()]
+    schema = "source string, source_size long, target double, scale double, full boolean, tilt double, cut long"
+    return sized.sparkSession.createDataFrame(rows, schema), base
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, rate, copies, taken and the columns to keep; one row per document."""
+    named = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), word_count(docs[text_col]).alias("size"), *[docs[c].alias(f"kept_{c}") for c in keep])
+    sized = stored(named.select("doc_id", "source", "size"))
+    plan, base = plan_mix(sized, weights, share)
+    more = (F.col("whole") < MOST) & (F.col("bucket") <= F.col("cut"))
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + F.when(more, 1).otherwise(0)).cast("int")
+    final = _with_rates(named if keep else sized, plan, base).withColumn("copies", copies)
+    return final.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"), *[F.col(f"kept_{c}").alias(f"kept_{c}") for c in keep])

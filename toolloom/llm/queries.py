@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from toolloom.llm import mixing, token_files
+from toolloom.llm import mixing, quality, token_files
 from toolloom.llm.common import table
 
 
@@ -21,8 +21,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.apply_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "outside"
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mixing, op8_token_files)}
+    return {f.__name__: f for f in (op5_mixing, op8_token_files, op10_quality_rules)}
 
 
 def llm_checks() -> dict[str, str]:
