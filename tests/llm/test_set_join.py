@@ -1,0 +1,104 @@
+import random
+
+import pytest
+
+from toolloom.llm import set_join
+from toolloom.llm.graph import components
+
+from . import brute
+
+
+def corpus(seed, families=14, words=400):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(words)]
+    texts = []
+    passage = [rng.choice(vocab) for _ in range(40)]
+    for _ in range(families):
+        base = [rng.choice(vocab) for _ in range(rng.choice([1, 3, 5, 6, 8, 12, 20, 40, 70, 75, 110, 160, 300]))]
+        if rng.random() < 0.5:
+            base = passage + base
+        for _ in range(rng.randint(1, 9)):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 5])):
+                at, kind = rng.randrange(len(copy)), rng.random()
+                if kind < 0.5:
+                    copy[at] = rng.choice(vocab)
+                elif kind < 0.75:
+                    copy.insert(at, rng.choice(vocab))
+                elif len(copy) > 1:
+                    del copy[at]
+            texts.append(" ".join(copy).upper() if rng.random() < 0.1 else " ".join(copy))
+    rng.shuffle(texts)
+    return list(enumerate([*texts, None, "", " \n", "one", "One", "one two three four"]))
+
+
+def found(spark, rows, **more):
+    frame = spark.createDataFrame([(i, t, -1, "x") for i, t in rows], "doc_id long, text string, n long, digest string")
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in set_join.near_groups(frame, **more).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed):
+    rows = corpus(seed)
+    assert found(spark, rows) == brute.groups(rows)
+
+
+def test_too_few_segments_fall_back_to_single_shingles(spark):
+    rows = corpus(3, families=8)
+    tight = set_join.Scheme(80, 100, slack=0.2, more=1)
+    assert found(spark, rows, scheme=tight) == brute.groups(rows)
+
+
+def test_large_group_of_near_copies(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5000)}" for _ in range(165)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    assert found(spark, rows) == brute.groups(rows)
+
+
+def test_ties_are_links(spark):
+    # 9 words against 10: 5 and 6 shingles, 5 shared of 6; 8 against 10: 4 of 6
+    words = "a b c d e f g h i j".split()
+    rows = [(4, " ".join(words)), (7, " ".join(words[:9])), (9, " ".join(words[:8]))]
+    assert found(spark, rows) == {4: (6, 4), 7: (5, 4), 9: (4, 4)}  # 4 of 5 is 80 %
+    assert found(spark, rows) == brute.groups(rows)
+
+
+def test_signatures_of_near_sets_meet():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    scheme = set_join.Scheme(80, 100)
+    for n in (5, 9, 40, 63, 64, 70, 95, 96, 97, 200, 500, 2000):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        for _ in range(20):
+            away = rng.integers(0, n // 9 + 1)
+            new = rng.integers(0, n // 9 + 1)
+            b = np.concatenate([a[away:], rng.integers(0, 2**63, new).astype(np.uint64)])
+            same, union = n - away, n + new
+            if 100 * same < 80 * union:
+                continue
+            large = max(n, len(b))
+            k = scheme.bands(large)[0]
+            assert k in scheme.bands(min(n, len(b)))
+            x, y = scheme.signatures(np.sort(a), k), scheme.signatures(np.sort(b), k)
+            own = len(set((x if n == large else y).tolist()) - set((y if n == large else x).tolist()))
+            assert own <= scheme.differ(large)
+
+
+def test_empty_table_and_repeated_rows(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert set_join.near_groups(frame).count() == 0
+    frame = spark.createDataFrame([(3, "a b"), (3, "a b"), (None, "a b"), (None, None), (None, "z")], "doc_id long, text string")
+    assert sorted(set_join.near_groups(frame).collect(), key=str) == sorted([(3, 1, 3), (3, 1, 3), (None, 1, 3), (None, 0, None), (None, 1, None)], key=str)
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 95)], "a long, b long")
+    labels = {r.node: r.label for r in components(edges).collect()}
+    assert all(labels[i] == 1 for i in range(1, 61)) and labels[100] == labels[95] == labels[90] == 90

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from toolloom.llm import mixing, quality, token_files
+from toolloom.llm import mixing, quality, set_join, token_files
 from toolloom.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op7_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.near_groups(table(spark, sf_dir, "documents"), near=80, of=100)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_files.read_tokens(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -28,7 +32,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mixing, op8_token_files, op10_quality_rules)}
+    return {f.__name__: f for f in (op5_mixing, op7_set_join, op8_token_files, op10_quality_rules)}
 
 
 def llm_checks() -> dict[str, str]:
