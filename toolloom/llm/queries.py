@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from toolloom.llm import mixing, quality, set_join, token_files
-from toolloom.llm.common import table
+from toolloom.llm import mixing, quality, set_join, token_files, toxicity
+from toolloom.llm.common import crc_remainder, table
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), usable=crc_remainder(F.col("doc_id"), 5) != 0)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    doc_id = F.col("kept_doc_id")
+    return scored.select(doc_id.alias("doc_id"), (crc_remainder(doc_id, 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "outside"
@@ -32,7 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mixing, op7_set_join, op8_token_files, op10_quality_rules)}
+    return {f.__name__: f for f in (op5_mixing, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
 
 
 def llm_checks() -> dict[str, str]:

@@ -16,6 +16,7 @@ is never divided between frames, so memory grows with the longest document only.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -33,39 +34,76 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from toolloom.llm.common import renamed, scratch_dir, shuffle_partitions, stored
+from toolloom.llm.words import chunks
 
 FRAME_IDS = 1 << 16
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 _INDEX, _SEEK, _SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _MANIFEST = "shard int, file string, n_docs long, n_ids long"
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it prints, else one from U+0100 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in prints)
+    spare = {b: chr(0x100 + i) for i, b in enumerate(others)}
+    return [spare.get(b, chr(b)) for b in range(256)]
+
+
 class WordEncoder:
     """Ids of a text as the ids of its words in a row; words are remembered, in two generations of at most keep words.
 
-    Right for tokenizers that never join across white space, such as those that drop it.
+    Right for tokenizers that never join across white space, such as those that drop it. For lower-casing byte-level
+    vocabularies that split at the bounds of letter runs, words of Latin letters go to the model at once, and the
+    punctuation behind them on its own.
     """
 
     def __init__(self, tokenizer: str, keep: int = WORDS_KEPT):
         self.tokenizer, self.keep = Tokenizer.from_str(tokenizer), keep
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-
-    def _learn(self, new: list[bytes]) -> None:
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, found))
+        parts = json.loads(tokenizer)
+        steps = lambda x: [y["type"] for y in (x or {}).get("normalizers", (x or {}).get("pretokenizers", []))]
+        self.plain = steps(parts["normalizer"]) == ["NFC", "Replace", "Lowercase"] and steps(parts["pre_tokenizer"]) == ["Split", "ByteLevel"]
+        self.letters = _byte_letters()
+
+    def _word(self, word: bytes) -> bytes | None:
+        """The ids of a word of Latin letters and punctuation behind it; None for any other."""
+        base = word.rstrip(b".,;:!?")
+        if base.isalpha():
+            text = base.decode().lower()
+        else:
+            text = base.decode()
+            if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
+                return None
+            text = "".join([self.letters[b] for b in text.lower().encode()])
+        ids = np.array([t.id for t in self.tokenizer.model.tokenize(text)], np.uint32).tobytes()
+        if len(base) < len(word):
+            end = word[len(base) :]
+            ids += self.known.get(end) or self._learn([end])[end]
+        return ids
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        found = {}
+        if self.plain:
+            found = {w: ids for w in new if (ids := self._word(w)) is not None}
+            new = [w for w in new if w not in found]
+        for a in range(0, len(new), 1000):
+            part = new[a : a + 1000]
+            encoded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
+            found.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, encoded))
+        self.known.update(found)
+        return found
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()  # at the six ASCII characters of white space
-        known, older = self.known, self.older
+        words = (text if b"<|" in text else text.lower() if self.plain else text).split()  # at the six ASCII characters
+        known = self.known
         unknown = {w for w in words if w not in known}
         if unknown:
-            if len(known) + len(unknown) > self.keep:
-                self.older, self.known = older, known = known, {}
+            if len(known) + 2 * len(unknown) > self.keep:
+                self.older, self.known = known, (known := {})
                 unknown = set(words)
-            new = []
+            older, new = self.older, []
             for w in unknown:
                 if (ids := older.get(w)) is None:
                     new.append(w)
@@ -83,6 +121,7 @@ def _encoder(tokenizer: str) -> WordEncoder:
     key = zlib.crc32(tokenizer.encode())
     if key not in _encoders:
         _encoders.clear()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         _encoders[key] = WordEncoder(tokenizer)
     return _encoders[key]
 
@@ -176,7 +215,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int = 1, folder:
         encode, writer = None, None
         files, root = pafs.FileSystem.from_uri(folder)
         name = f"{root}/shard-{shard:06d}.bin"
-        for batch in batches:
+        for batch in chunks(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
                 if writer is None:
                     encode = _encoder(tokenizer.value)
