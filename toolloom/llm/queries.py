@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolloom.llm import mixing, quality, set_join, token_files, toxicity
+from toolloom.llm import decontaminate, mixing, quality, set_join, token_files, toxicity
 from toolloom.llm.common import crc_remainder, table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), similarity=0.8)
+    return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
@@ -41,7 +46,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mixing, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_decontaminate, op5_mixing, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
 
 
 def llm_checks() -> dict[str, str]:
