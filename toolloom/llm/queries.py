@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolloom.llm import decontaminate, mixing, quality, set_join, token_files, toxicity
+from toolloom.llm import decontaminate, lm_score, mixing, quality, set_join, token_files, toxicity
 from toolloom.llm.common import crc_remainder, table
 
 
@@ -17,6 +17,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder(F.col("doc_id"), 7) == 2
+    scored = lm_score.score_texts(table(spark, sf_dir, "documents"), train=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
@@ -46,7 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op5_mixing, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_decontaminate, op4_lm_score, op5_mixing, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
 
 
 def llm_checks() -> dict[str, str]:
