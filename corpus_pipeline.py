@@ -8,12 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolloom.llm import mixing, token_files
-from toolloom.llm.common import stored
+from toolloom.llm import decontaminate, mixing, set_join, token_files, toxicity
+from toolloom.llm.common import crc_remainder, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that score as toxic; learned from the labels of the training fold."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), usable=crc_remainder(F.col("doc_id"), 5) != 0)
+    scored = toxicity.score(docs, model, keep=COLUMNS).where("score < 0.5")
+    return scored.select(*[F.col(f"kept_{c}").alias(c) for c in COLUMNS])
+
+
+def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the least id; of repeated rows one. Documents without id stay."""
+    groups = set_join.near_groups(docs, near=80, of=100)
+    more = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(more, F.col("doc_id") == F.col("id"), "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark item."""
+    return decontaminate.without(docs, decontaminate.find(docs, table(spark, sf_dir, "benchmark"), similarity=0.8)).select(*COLUMNS)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     taken = mixing.mix(docs, weights=(3, 1, 2), share=1.5, keep=COLUMNS).where("copies > 0")
@@ -29,6 +48,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", clean),
+    ("near_duplicates", single),
+    ("decontamination", decontaminated),
     ("mixing", mixed),
     ("token_files", tokens),
 ]
