@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolloom.llm.common import shuffle_partitions, stored
+from toolloom.llm.exchange import narrow, split_keys, wide
 from toolloom.llm.words import Words, chunks, mix
 
 ORDER = 2
@@ -92,26 +93,6 @@ class Grams:
         return found
 
 
-def _narrow(keys: np.ndarray) -> bytes:
-    return (keys >> np.uint64(32)).astype("<u4").tobytes() + ((keys >> np.uint64(16)) & np.uint64(0xFFFF)).astype("<u2").tobytes()
-
-
-def _wide(raw: bytes) -> np.ndarray:
-    n = len(raw) // 6
-    return (np.frombuffer(raw, "<u4", n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(raw, "<u2", n, 4 * n).astype(np.uint64)
-
-
-def _split(keys: list[np.ndarray], buckets: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """For each bucket which of the sorted keys of each order belong to it, in order."""
-    homes = [(k % np.uint64(buckets)).astype(np.int64) for k in keys]
-    orders = [np.argsort(h, kind="stable") for h in homes]
-    bounds = [np.searchsorted(h[o], np.arange(buckets + 1)) for h, o in zip(homes, orders)]
-    for b in range(buckets):
-        mine = [o[x[b] : x[b + 1]] for o, x in zip(orders, bounds)]
-        if any(len(m) for m in mine):
-            yield b, mine
-
-
 _SENT = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("sizes", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary())), ("counts", pa.binary())])
 _TOTALS = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("totals", pa.binary()), ("tokens", pa.int64()), ("kinds", pa.int64())])
 
@@ -120,7 +101,7 @@ def _send(order: int, buckets: int):
     def send(table: pa.Table) -> pa.Table:
         grams = Grams(table.column("text").combine_chunks(), order)
         counts = grams.counted(table.column("train").to_numpy(zero_copy_only=False).astype(bool))
-        rows = [(b, [len(m) for m in mine], [_narrow(k[m]) for k, m in zip(grams.keys, mine)], np.concatenate([c[m] for c, m in zip(counts, mine)]).astype("<u4").tobytes()) for b, mine in _split(grams.keys, buckets)]
+        rows = [(b, [len(m) for m in mine], [narrow(k[m]) for k, m in zip(grams.keys, mine)], np.concatenate([c[m] for c, m in zip(counts, mine)]).astype("<u4").tobytes()) for b, mine in split_keys(grams.keys, buckets)]
         part = table.column("part")[0].as_py()
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.Table.from_arrays([pa.array([part] * len(rows), pa.int32()), *[pa.array(c, f.type) for c, f in zip(columns, list(_SENT)[1:])]], schema=_SENT)
@@ -138,7 +119,7 @@ def _add(table: pa.Table) -> pa.Table:
     tokens = kinds = 0
     for k in range(len(sizes[0])):
         own = [c[sum(s[:k]) : sum(s[: k + 1])] for c, s in zip(counts, sizes)]
-        names, which = np.unique(np.concatenate([_wide(x[k]) for x in keys]), return_inverse=True)
+        names, which = np.unique(np.concatenate([wide(x[k]) for x in keys]), return_inverse=True)
         totals = np.bincount(which, weights=np.concatenate(own), minlength=len(names)).astype(np.int64)
         if k == 0:
             tokens, kinds = int(totals.sum()), int((totals > 0).sum())
@@ -180,7 +161,7 @@ def _score(order: int, buckets: int, n: int, v: int):
         grams = Grams(docs.column("text").combine_chunks(), order)
         counts = [np.zeros(len(k), np.float64) for k in grams.keys]
         sent = {b: t for b, t in zip(totals.column("bucket").to_pylist(), totals.column("totals").to_pylist())}
-        for b, mine in _split(grams.keys, buckets):
+        for b, mine in split_keys(grams.keys, buckets):
             raw = sent[b]
             found = np.frombuffer(raw, "<u4" if len(raw) == 4 * sum(map(len, mine)) else "<i8")
             for c, m, x in zip(counts, mine, np.split(found, np.cumsum([len(m) for m in mine])[:-1])):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolloom.llm import decontaminate, lm_score, mixing, quality, set_join, token_files, toxicity
+from toolloom.llm import chunk_dedup, decontaminate, lm_score, mixing, pii, quality, set_join, threads, token_files, toxicity
 from toolloom.llm.common import crc_remainder, table
 
 
@@ -17,6 +17,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
 
 
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunk_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", F.inline("spans"))
+    return found.select("doc_id", F.col("start").alias("start_char"), F.col("end").alias("end_char"), "n_words", "stays")
+
+
+def op3_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = threads.threads(table(spark, sf_dir, "conversations"))
+    turns = F.transform("path", lambda p: F.struct(p["conv"].alias("conv_id"), p["turn"].alias("turn")))
+    return found.select("thread", turns.alias("path"), "depth", F.col("conv").alias("conv_id"), "turn", "role", "text", "has_quotes", "parent_conv", "parent_turn")
+
+
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder(F.col("doc_id"), 7) == 2
     scored = lm_score.score_texts(table(spark, sf_dir, "documents"), train=~held_out)
@@ -28,6 +39,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base, both = pii.listed(F.col("base")), pii.listed(pii.merged(F.col("base"), F.col("found")))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(base, 256).alias("base_sha256"), both.alias("spans"))
+
+
 def op7_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.near_groups(table(spark, sf_dir, "documents"), near=80, of=100)
 
@@ -52,7 +70,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op4_lm_score, op5_mixing, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_chunk_dedup, op3_threads, op4_lm_score, op5_mixing, op6_personal_data, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
 
 
 def llm_checks() -> dict[str, str]:

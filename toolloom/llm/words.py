@@ -28,6 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))[_LOWER]
+_RAW = mix(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = mix(np.arange(1001, 1001 + 64, dtype=np.uint64)) | np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
@@ -66,6 +67,16 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES, text: st
                 yield batch.slice(a, b - a)
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of the bytes of each span, upper and lower case apart; spans may overlap."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    power, inverse = _power(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_RAW[data] * power[: len(data)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 class Words:
     """start, end (bytes), doc (index of the text) and hash of each word of some texts; first: each text's first word."""
 
