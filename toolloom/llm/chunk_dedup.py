@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from toolloom.llm.common import shuffle_partitions, stored
-from toolloom.llm.exchange import narrow, split_keys, wide
+from toolloom.llm.exchange import dealt, narrow, split_keys, unpacked, wide
 from toolloom.llm.words import Words, chunks, mix, span_hashes
 
 CUT = 16
@@ -88,7 +88,8 @@ def _unique(table: pa.Table) -> pa.RecordBatch:
     i, h = ids[order], table.column("text_hash").to_numpy()[order]
     first = np.ones(len(order), bool)
     first[1:] = (i[1:] != i[:-1]) | (h[1:] != h[:-1])
-    return table.select(["doc_id", "text"]).take(pa.array(order[first])).combine_chunks().to_batches()[0]
+    chosen = table.select(["doc_id", "text"]).take(pa.array(order[first])).combine_chunks()
+    return pa.RecordBatch.from_arrays([chosen.column("doc_id").chunk(0), unpacked(chosen.column("text"))], ["doc_id", "text"])
 
 
 def _pieces(batch: pa.RecordBatch):
@@ -195,7 +196,7 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id
     named = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     chars = named.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0)).alias("n")).first().n
     parts = max(shuffle_partitions(spark), math.ceil(chars / PART_CHARS))
-    dealt = named.withColumn("text_hash", F.xxhash64("text")).withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int"))
-    sent = dealt.groupBy("part").applyInArrow(_send(parts), "part int, bucket int, keys binary, several binary")
+    texts = dealt(named.withColumn("text_hash", F.xxhash64("text")), parts)
+    sent = texts.groupBy("part").applyInArrow(_send(parts), "part int, bucket int, keys binary, several binary")
     codes = stored(sent.groupBy("bucket").applyInArrow(_judge, "part int, bucket int, codes binary"))
-    return dealt.groupBy("part").cogroup(codes.groupBy("part")).applyInArrow(_cut(parts, least_words), _SPANS)
+    return texts.groupBy("part").cogroup(codes.groupBy("part")).applyInArrow(_cut(parts, least_words), _SPANS)
