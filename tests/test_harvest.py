@@ -179,15 +179,54 @@ def test_round_trip_of_every_derived_sample(spark):
 
 def test_partitioning_does_not_change_samples(spark):
     specs = derived.specs(spark, "/root/testdata/sf0.001")
-    seen = [sorted(samples.generate_samples(specs.repartition(n), spread=s).collect()) for n, s in ((1, True), (7, False))]
-    assert seen[0] == seen[1]
+    seen = [sorted(samples.generate_samples(specs.repartition(n), spread=s).collect()) for n, s in ((1, 0), (7, None), (2, 1_000_000))]
+    assert seen[0] == seen[1] == seen[2]
 
 
 def test_large_spec_is_spread_over_tasks(spark):
     paths = {f"/security/alerts/{i}": {"get": LIST} for i in range(500)}
-    for spread, parts in ((True, 4), (7, 7), (False, 1)):
-        operations = spec.spec_operations(specs_of(spark, {"paths": paths}), spread=spread)
+    documents = specs_of(spark, {"paths": paths}, one(LIST)).coalesce(1)
+    for spread, parts in ((2000, 5), (None, 1), (10_000_000, 1)):
+        operations = spec.spec_operations(documents, spread=spread)
+        assert operations.count() == 501
         assert operations.select(F.spark_partition_id()).distinct().count() == parts
+    assert "Exchange" not in spec.spec_operations(documents, spread=None)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_paths_and_methods_keep_first_place_and_last_value(spark):
+    get = lambda name: json.dumps({**LIST, "operationId": name})
+    text = '{"paths":{"/security/alerts":{"get":%s},"/security/cases":{"get":%s,"post":%s,"get":%s},"/security/alerts":{"get":%s}}}' % tuple(get(n) for n in "abcde")
+    found = spec.spec_operations(spark.createDataFrame([("s", text)], "spec_id string, content string")).collect()
+    assert sorted((r.path_pos, r.path, r.method_pos, r.method, r.op.operationId) for r in found) == [
+        (0, "/security/alerts", 0, "get", "e"), (1, "/security/cases", 0, "get", "d"), (1, "/security/cases", 1, "post", "c"),
+    ]
+
+
+def test_one_odd_parameter_takes_no_other_with_it(spark):
+    function, _ = tool(spark, {**LIST, "parameters": [{"name": "p", "in": "query"}, 5, "x", None, [1], {"name": "q", "in": "query", "required": True}]})
+    assert list(function["parameters"]["properties"]) == ["p", "q"] and function["parameters"]["required"] == ["q"]
+
+
+@pytest.mark.parametrize("text, error", [(None, "missing"), ("[1]", "not_an_object"), ("5", "not_an_object"), ('{"paths":{}', "not_json"), ('{"paths":{}} x', "not_json"), ('{"paths":{},}', "not_json"), ("", "not_json"), ('{"paths":{}}{}', "not_json")])
+def test_unusable_specs_stop_or_are_told(spark, text, error):
+    rows = spark.createDataFrame([("bad", text), ("good", json.dumps(one(LIST)))], "spec_id string, content string")
+    assert [tuple(r) for r in spec.spec_rejects(rows).collect()] == [("bad", error)]
+    assert spec.spec_operations(rows, on_error="skip").count() == 1
+    with pytest.raises(Exception, match="unusable spec bad"):
+        spec.spec_operations(rows).collect()
+
+
+def test_very_long_numbers_and_texts_are_no_error(spark):
+    text = '{"x":%s,"y":"%s","paths":{"/security/alerts":{"get":%s}}}' % ("1" * 3000, "a" * 3_000_000, json.dumps(LIST))
+    assert spec.spec_operations(spark.createDataFrame([("s", text)], "spec_id string, content string")).count() == 1
+
+
+def test_the_folder_of_a_spec_changes_no_sample(spark):
+    text = json.dumps(one({**LIST, "parameters": [{"name": n, "in": "query"} for n in ("alertId", "userId", "query", "$filter")]}))
+    rows = spark.createDataFrame([("/a/x.json", text), ("/b/y.json", text)], "spec_id string, content string")
+    made = samples.generate_samples(rows).collect()
+    sides = [{(r.instruction, r.input, r.output) for r in made if r.spec_id == i} for i in ("/a/x.json", "/b/y.json")]
+    assert sides[0] == sides[1] and len(made) == 2 * len(fixed.PROMPT_TEMPLATES)
 
 
 def test_harvest_from_files(spark, tmp_path):

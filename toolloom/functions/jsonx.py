@@ -18,7 +18,9 @@ OPTIONS = {
     "allowSingleQuotes": "false",
     "allowUnquotedControlChars": "false",
     "allowNonNumericNumbers": "true",
-    "maxNumLen": "100000",
+    # Spark's reader stops at 1,000 digits and 100,000,000 characters by default.
+    "maxNumLen": str(2**31 - 1),
+    "maxStringLen": str(2**31 - 1),
 }
 _STRICT = {**OPTIONS, "allowNonNumericNumbers": "false"}
 _JSON_BLANKS = " \t\n\r"

@@ -12,17 +12,22 @@ from toolloom.functions import sql
 from toolloom.functions.args import RULES, Rule, example_args_json
 from toolloom.functions.text import render_prompt
 from toolloom.functions.tools import call
-from toolloom.operators.spec import filter_has_summary, format_tools, spec_operations
+from toolloom.operators.spec import LARGE_SPEC, filter_has_summary, format_tools, spec_operations
 
 SAMPLE_COLUMNS = ["instruction", "input", "output"]
+OPERATION_KEY = "concat_ws(' ', method, path)"
+# Where a sample comes from, in the order of the documents.
+SAMPLE_ORDER = ["spec_id", "path_pos", "method_pos", "template_id"]
 
 
-def example_args(tools: DataFrame, seed: int = 42, rules: Sequence[Rule] = RULES) -> DataFrame:
+def example_args(tools: DataFrame, seed: int = 42, rules: Sequence[Rule] = RULES, key: str = OPERATION_KEY) -> DataFrame:
     """Add ``arguments``, JSON text with one example value per property.
 
-    The choice hangs on the seed, the operation and the parameter name only.
+    The choice hangs on the seed, the operation and the parameter name only, not
+    on the file that the operation comes from. ``key`` is SQL of what tells
+    operations apart.
     """
-    made = example_args_json("properties", "concat_ws(' ', spec_id, method, path)", seed, rules)
+    made = example_args_json("properties", key, seed, rules)
     return tools.selectExpr("*", f"{made} AS arguments")
 
 
@@ -38,7 +43,7 @@ def generate_samples(
     namespaces: Sequence[str] | None = None,
     seed: int = 42,
     rules: Sequence[Rule] = RULES,
-    spread: bool | int = True,
+    spread: int | None = LARGE_SPEC,
 ) -> DataFrame:
     """Samples of every kept operation of every spec, in one lazy plan.
 

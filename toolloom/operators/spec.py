@@ -11,7 +11,11 @@ from toolloom import fixed_values as fixed
 from toolloom import schemas
 from toolloom.functions import tools
 from toolloom.functions.routing import contains_any
-from toolloom.functions.text import clean_text
+from toolloom.functions.jsonx import OPTIONS
+from toolloom.functions.text import clean_text, strip
+
+# Characters from which on the paths of a document are spread.
+LARGE_SPEC = 1_000_000
 
 
 def filter_namespaces(df: DataFrame, namespaces: Sequence[str] | None = None) -> DataFrame:
@@ -30,17 +34,55 @@ def filter_has_summary(operations: DataFrame) -> DataFrame:
     return operations.where(clean_text("op.summary") != "")
 
 
-def spec_paths(specs: DataFrame) -> DataFrame:
-    """``(spec_id, path_pos, path, item)``, the item as JSON text."""
-    paths = F.from_json("content", schemas.SPEC_PATHS)["paths"]
-    return specs.select("spec_id", F.posexplode(paths).alias("path_pos", "path", "item"))
+def _judged(specs: DataFrame) -> DataFrame:
+    """``_paths`` of each document and ``_error``, from one parse of the text wrapped together with its own hash."""
+    wrapped = F.concat(F.lit('{"spec":'), F.col("content"), F.lit(',"mark":"'), F.xxhash64("content"), F.lit('"}'))
+    parsed = specs.withColumn("_parsed", F.from_json(wrapped, schemas.WRAPPED_SPEC, OPTIONS))
+    error = (
+        F.when(F.col("content").isNull(), "missing")
+        .when(~F.coalesce(F.col("_parsed.mark") == F.xxhash64("content").cast("string"), F.lit(False)), "not_json")
+        .when(~strip(F.col("content")).startswith("{"), "not_an_object")
+        .when(F.col("_parsed.spec").isNull(), "not_json")  # a broken object is skipped by the reader
+    )
+    return parsed.withColumn("_paths", F.col("_parsed.spec.paths")).withColumn("_error", error).drop("_parsed")
+
+
+def spec_rejects(specs: DataFrame) -> DataFrame:
+    """``(spec_id, error)`` of documents that are no JSON object: missing, not_json or not_an_object."""
+    return _judged(specs).where(F.col("_error").isNotNull()).select("spec_id", F.col("_error").alias("error"))
+
+
+def _last_of_each_key(entries: str) -> str:
+    """SQL of an array of (key, value): a repeated key keeps its first place and its last value."""
+    plain = f"map_entries({entries})"
+    kept = f"transform(array_distinct(map_keys({entries})), k -> element_at(filter({plain}, e -> e.key = k), -1))"
+    return f"CASE WHEN size(array_distinct(map_keys({entries}))) = size({entries}) THEN {plain} ELSE {kept} END"
+
+
+def spec_paths(specs: DataFrame, on_error: str = "raise") -> DataFrame:
+    """``(spec_id, path_pos, path, item)``, the item as JSON text.
+
+    A document that is no JSON object stops the query; with ``on_error="skip"``
+    it has no paths, and :func:`spec_rejects` tells which these are.
+    """
+    if on_error not in ("raise", "skip"):
+        raise ValueError(f"unknown on_error: {on_error}")
+    judged = _judged(specs)
+    if on_error == "raise":
+        stop = F.raise_error(F.concat(F.lit("unusable spec "), F.coalesce("spec_id", F.lit("")), F.lit(": "), F.col("_error")))
+        judged = judged.withColumn("_paths", F.when(F.col("_error").isNotNull(), stop.cast("map<string,string>")).otherwise(F.col("_paths")))
+    else:
+        judged = judged.where(F.col("_error").isNull())
+    entries = judged.select("spec_id", F.posexplode(F.expr(_last_of_each_key("_paths"))).alias("path_pos", "_entry"))
+    return entries.select("spec_id", "path_pos", F.col("_entry.key").alias("path"), F.col("_entry.value").alias("item"))
 
 
 def path_methods(paths: DataFrame) -> DataFrame:
     """One row per key of a path item, its value as JSON text."""
-    item = F.from_json("item", schemas.PATH_ITEM)
-    return paths.select(
-        "spec_id", "path_pos", "path", F.posexplode(item).alias("method_pos", "method", "op_json")
+    items = paths.withColumn("_item", F.from_json("item", schemas.PATH_ITEM, OPTIONS))
+    entries = items.select("spec_id", "path_pos", "path", F.posexplode(F.expr(_last_of_each_key("_item"))).alias("method_pos", "_entry"))
+    return entries.select(
+        "spec_id", "path_pos", "path", "method_pos", F.col("_entry.key").alias("method"), F.col("_entry.value").alias("op_json")
     )
 
 
@@ -50,7 +92,11 @@ def parse_operations(methods: DataFrame) -> DataFrame:
     A filter on one field is pushed below and parses that field alone, which
     is cheaper than carrying the whole parsed rows up to it.
     """
-    op = F.from_json("op_json", schemas.OPERATION)
+    typed = F.from_json("op_json", schemas.OPERATION, OPTIONS)
+    # One parameter that is no object would take all with it: then each is read on its own.
+    texts = F.from_json("op_json", "parameters ARRAY<STRING>", OPTIONS)["parameters"]
+    each = F.transform(texts, lambda p: F.from_json(p, schemas.PARAMETER, OPTIONS))
+    op = typed.withField("parameters", F.coalesce(typed["parameters"], F.filter(each, lambda p: p.isNotNull())))
     return methods.select("spec_id", "path_pos", "path", "method_pos", "method", op.alias("op"))
 
 
@@ -58,23 +104,31 @@ def spec_operations(
     specs: DataFrame,
     namespaces: Sequence[str] | None = None,
     methods: Sequence[str] = fixed.VALID_METHODS,
-    spread: bool | int = True,
+    spread: int | None = LARGE_SPEC,
+    on_error: str = "raise",
 ) -> DataFrame:
     """Operations of a table of specs: ``(spec_id, path_pos, path, method_pos, method, op)``.
 
     Paths and methods are filtered while they are still text, before anything
-    below them is parsed. A spec is one row, so one large document would leave
-    all its work in one task: ``spread`` deals the kept paths out over the
-    cluster first, to that many tasks or, if True, to as many as the session has
-    shuffle partitions. The number is given to Spark, which would otherwise merge
-    partitions by their size as text, long before prompts multiply it. Turn it
-    off when every document is known to be small.
+    below them is parsed. A spec is one row, so a large document would leave all
+    its work in one task: the paths of documents of more than ``spread``
+    characters are dealt out over the cluster, to as many tasks as the session
+    has shuffle partitions or the input has, whatever is more. The number is given to Spark, which
+    would otherwise merge partitions by their size as text, long before prompts
+    multiply it. Smaller documents stay where they are read. None spreads nothing.
     """
-    kept = filter_namespaces(spec_paths(specs), namespaces)
-    if spread:
-        setting = specs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        kept = kept.repartition(int(setting) if spread is True else spread, "spec_id", "path_pos")
-    return parse_operations(filter_methods(path_methods(kept), methods))
+    def kept(some: DataFrame) -> DataFrame:
+        return filter_namespaces(spec_paths(some, on_error), namespaces)
+
+    if spread is None:
+        paths = kept(specs)
+    else:
+        is_large = F.length("content") > spread
+        setting = int(specs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(setting, specs.rdd.getNumPartitions())
+        large = kept(specs.where(is_large)).repartition(tasks, "spec_id", "path_pos")
+        paths = kept(specs.where(F.coalesce(~is_large, F.lit(True)))).unionByName(large)
+    return parse_operations(filter_methods(path_methods(paths), methods))
 
 
 def format_tools(operations: DataFrame) -> DataFrame:

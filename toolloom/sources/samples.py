@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from toolloom import schemas
 from toolloom.operators.samples import SAMPLE_COLUMNS
 
-# Splits are at most files plus tasks. Up to this many their table, about 100
-# bytes a row, is broadcast; beyond, it is joined by shuffle.
-_MAX_BROADCAST_SPLITS = 1_000_000
 _ROW_IN_TASK = (1 << 33) - 1
 
 
@@ -29,27 +26,26 @@ def read_samples(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def _numbered(lines: DataFrame) -> DataFrame:
     """Dense row numbers without sorting or shuffling the rows.
 
-    A first pass counts the rows of every file split; the running total over the
-    splits, a table of one row per split, gives each split its first number.
+    A first pass counts the rows of every file split. Running totals give each
+    split its first number: inside its file, and over the files, so that no task
+    sees more than the splits of one file or one row per file. How the table of splits
+    is joined is left to Spark.
     """
-    few = len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= _MAX_BROADCAST_SPLITS
     placed = lines.select(
         *SAMPLE_COLUMNS,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK)).alias("_row"),
     )
-    earlier = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        placed.groupBy("_file", "_start")
-        .agg(F.count("*").alias("_count"), F.min("_row").alias("_first"))
-        .select(
-            "_file",
-            "_start",
-            (F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-        )
-    )
-    return placed.join(F.broadcast(splits) if few else splits, ["_file", "_start"]).select(
+    before = Window.unboundedPreceding, -1
+    counts = placed.groupBy("_file", "_start").agg(F.count("*").alias("_count"), F.min("_row").alias("_first"))
+    in_file = F.sum("_count").over(Window.partitionBy("_file").orderBy("_start").rowsBetween(*before))
+    files = counts.groupBy("_file").agg(F.sum("_count").alias("_size"))
+    over_files = F.sum("_size").over(Window.orderBy("_file").rowsBetween(*before))
+    begins = files.select("_file", F.coalesce(over_files, F.lit(0)).alias("_begin"))
+    splits = counts.withColumn("_earlier", F.coalesce(in_file, F.lit(0))).join(begins, "_file")
+    splits = splits.select("_file", "_start", (F.col("_begin") + F.col("_earlier") - F.col("_first")).alias("_shift"))
+    return placed.join(splits, ["_file", "_start"]).select(
         (F.col("_row") + F.col("_shift")).alias("sample_id"), *SAMPLE_COLUMNS
     )
 

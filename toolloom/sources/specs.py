@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from toolloom.functions.jsonx import is_valid_json
 from toolloom.functions.text import strip
 
-_NOT_A_MAPPING = "spec must be a YAML/JSON object"
+_NOT_A_MAPPING = "root is not a mapping"
 
 
 def read_specs(spark: SparkSession, path: str | list[str], fmt: str = "json", on_error: str = "raise") -> DataFrame:
