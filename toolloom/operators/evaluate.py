@@ -13,26 +13,34 @@ from pyspark.sql import functions as F
 
 from toolloom.functions import jsonx
 from toolloom.functions.jsonx import variant_kind, variant_kind_sql
+from toolloom.operators.samples import SAMPLE_ORDER
 
 CONTAINERS = ("object", "array")
 _MAP = "map<string,variant>"
 
 
-def take_first(df: DataFrame, n: int | None, order_col: str, dense: bool = False) -> DataFrame:
-    """The first ``n`` rows by ``order_col``; None or 0 keeps all.
+def take_first(df: DataFrame, n: int | None, order_col: str | list[str], dense: bool = False) -> DataFrame:
+    """The first ``n`` rows by ``order_col``, one column or several; None or 0 keeps all.
 
     With a ``dense`` order column (0, 1, 2, ... as the sample reader numbers
     rows) this is a filter; otherwise a top-n sort.
     """
     if not n:
         return df
-    return df.where(F.col(order_col) < n) if dense else df.orderBy(order_col).limit(n)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    return df.where(F.col(order[0]) < n) if dense else df.orderBy(*order).limit(n)
 
 
 def pair_predictions(samples: DataFrame, predictions: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Each sample with its prediction; one that is missing is an error row."""
+    """Each sample with its prediction; one that is missing is an error row.
+
+    Of several predictions for one sample the least counts: one without an error
+    first, then by text, time and tokens.
+    """
     wanted = [c for c in ("generated", "inference_time", "num_tokens", "error") if c in predictions.columns]
-    found = predictions.select(F.col(key), F.lit(True).alias("_found"), *wanted)
+    ranked = [F.col("error").isNotNull().alias("_failed"), *wanted] if "error" in wanted else wanted
+    one = predictions.groupBy(key).agg(F.min(F.struct(*ranked)).alias("_one")) if ranked else predictions.select(key).distinct()
+    found = one.select(F.col(key), F.lit(True).alias("_found"), *[F.col(f"_one.{c}") for c in wanted])
     paired = samples.withColumnRenamed("output", "expected").join(found, key, "left")
     given = F.col("error") if "error" in wanted else F.lit(None).cast("string")
     error = F.when(F.col("_found").isNull(), "missing_prediction").otherwise(given)
@@ -90,11 +98,16 @@ def evaluate_dataset(
     predictions: DataFrame,
     max_samples: int | None = None,
     key: str = "sample_id",
-    order_col: str | None = None,
+    order_col: str | list[str] | None = None,
     dense: bool = False,
 ) -> DataFrame:
-    """First samples, paired and scored; metrics are computed from the result."""
-    first = take_first(samples, max_samples, order_col or key, dense)
+    """First samples, paired and scored; metrics are computed from the result.
+
+    Harvested samples come in the order of their documents, others in that of
+    the key, unless told otherwise.
+    """
+    harvested = all(c in samples.columns for c in SAMPLE_ORDER)
+    first = take_first(samples, max_samples, order_col or (SAMPLE_ORDER if harvested else key), dense)
     return evaluate_samples(pair_predictions(first, predictions, key))
 
 

@@ -27,7 +27,7 @@ def batch_generate(
     batch_size: int = 64,
     spread: int | None = None,
 ) -> DataFrame:
-    """Add ``generated``, ``inference_time``, ``num_tokens`` and ``error``.
+    """Add ``generated``, ``inference_time``, ``num_tokens``, ``error`` and ``error_message``.
 
     ``make_predictor`` runs once per task, in the Python worker. When a batch
     fails its prompts are tried one by one, so an exception costs only its own
@@ -47,12 +47,13 @@ def batch_generate(
                 prompts = part.column(part.schema.get_field_index(prompt)).to_pylist()
                 rows = _predict(predict, prompts, max_new_tokens, temperature)
                 columns = [part.column(part.schema.get_field_index(c)) for c in kept]
-                text, seconds, tokens, errors = zip(*rows)
+                text, seconds, tokens, errors, messages = zip(*rows)
                 columns += [
                     pa.array(text, pa.string()),
                     pa.array(seconds, pa.float64()),
                     pa.array(tokens, pa.int64()),
                     pa.array(errors, pa.string()),
+                    pa.array(messages, pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=output.names)
 
@@ -68,12 +69,12 @@ def _predict(predict: Predictor, prompts: list, max_new_tokens: int, temperature
         done = [next(answers) if p is not None else (None, 0, "missing_prompt") for p in prompts]
         each = (time.perf_counter() - started) / max(len(given), 1)
         return [
-            (None, 0.0, 0, error) if error else (text.strip(), each, int(n), None) for text, n, error in done
+            (None, 0.0, 0, error, None) if error else (text.strip(), each, int(n), None, None) for text, n, error in done
         ]
     except Exception as failure:  # noqa: BLE001 - a failing model is a result here
         if len(prompts) > 1:
             return [r for p in prompts for r in _predict(predict, [p], max_new_tokens, temperature)]
-        return [(None, 0.0, 0, f"generation_failed: {failure}")]
+        return [(None, 0.0, 0, "generation_failed", str(failure))]
 
 
 def generate_tool_calls(df: DataFrame, make_predictor: Callable[[], Predictor], **options) -> DataFrame:

@@ -51,6 +51,24 @@ def eval_metrics(results: DataFrame) -> DataFrame:
     )
 
 
+def metrics_by(results: DataFrame, *by: str) -> DataFrame:
+    """Counts and rates for each value of the columns, rolled up to one total row.
+
+    ``is_total`` marks the row over everything; null in a column of any other row
+    is a subtotal or a null value, told apart by ``level``, Spark's grouping id.
+    """
+    totals = results.rollup(*by).agg(
+        F.grouping_id().alias("level"),
+        F.count("*").alias("total_samples"),
+        F.count_if("is_valid_json").alias("valid_json_count"),
+        F.count_if("name_correct").alias("correct_tool_name_count"),
+        F.count_if("arguments_correct").alias("correct_arguments_count"),
+        F.count_if(_is_error()).alias("error_count"),
+    )
+    rates = [_ratio(F.col(count), F.col("total_samples"), F.col("total_samples") > 0).alias(rate) for rate, count in RATES.items()]
+    return totals.select(*by, "level", (F.col("level") == (1 << len(by)) - 1).alias("is_total"), *COUNTS, *rates, "error_count")
+
+
 def _ratio(part: Column, whole: Column, defined: Column) -> Column:
     return F.when(defined, part / whole).otherwise(0.0)
 
@@ -102,10 +120,10 @@ def card_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def dataset_profile(samples: DataFrame) -> DataFrame:
-    """What a dataset card states: number of samples and size category."""
-    return samples.agg(F.count("*").alias("num_samples")).withColumn(
-        "size_category", size_category(F.col("num_samples"))
-    )
+    """What a dataset card states: number of samples, of distinct tools, and size category."""
+    tool = F.get_json_object("input", "$.function.name")
+    counted = samples.agg(F.count("*").alias("num_samples"), F.count_distinct(tool).alias("num_tools"))
+    return counted.withColumn("size_category", size_category(F.col("num_samples")))
 
 
 def size_category(n: Column) -> Column:

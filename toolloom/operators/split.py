@@ -19,49 +19,49 @@ def train_test_split(
     test_size: float = fixed.TEST_SIZE,
     seed: int = fixed.SPLIT_SEED,
     mode: str = "hash",
+    group_by: str | list[str] | None = None,
 ) -> DataFrame:
     """Add ``split``, train or test; every row gets exactly one.
 
     ``hash`` decides row by row, so it needs no shuffle and a row keeps its side
     when others are added. ``exact`` puts exactly ceil(n * test_size) rows in
-    test; its key has to be unique.
+    test; its key has to be unique. With ``group_by`` whole groups are dealt out
+    instead of rows: rows that share it are never on both sides, and ``exact``
+    counts groups.
     """
     if not 0 < test_size < 1:
         raise ValueError("test_size must be between 0 and 1")
-    keys = [key] if isinstance(key, str) else list(key)
+    chosen = key if group_by is None else group_by
+    keys = [chosen] if isinstance(chosen, str) else list(chosen)
     score = F.expr(hash32(f"concat_ws('|', '{seed}', {', '.join(sql.name(k) for k in keys)})"))
     if mode == "hash":
         is_test = score < int(test_size * HASH_RANGE)
         return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
     if mode == "exact":
-        return _exact(df, keys, score, test_size)
+        return _exact(df, keys, score, test_size, group_by is not None)
     raise ValueError(f"unknown mode: {mode}")
 
 
-def _exact(df: DataFrame, keys: list[str], score: Column, test_size: float) -> DataFrame:
-    """Exact size without ordering all rows.
+def _exact(df: DataFrame, keys: list[str], score: Column, test_size: float, grouped: bool) -> DataFrame:
+    """Exact size without ordering all rows, from two scans of the keys alone.
 
     A histogram of the score, of a fixed number of buckets, tells in which
-    bucket the test side ends. Rows of lower buckets are test, rows of higher
-    ones train; only the rows of that one bucket are ranked.
+    bucket the test side ends, and a second look at that bucket after which
+    score and key. Every row is then compared with that one.
     """
-    scored = df.withColumn("_score", score).withColumn("_bucket", F.floor(F.col("_score") / (HASH_RANGE // _BUCKETS)))
-    histogram = scored.groupBy("_bucket").agg(F.count("*").alias("_count"))
-    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everywhere = Window.partitionBy()
+    place = F.struct(score.alias("score"), *[F.col(sql.name(k)) for k in keys])
+    places = df.select(place.alias("place"))
+    places = places.distinct() if grouped else places
+    bucketed = places.withColumn("bucket", F.floor(F.col("place.score") / (HASH_RANGE // _BUCKETS)))
+    histogram = bucketed.groupBy("bucket").agg(F.count("*").alias("n"))
+    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = (
-        histogram.withColumn("_upto", F.sum("_count").over(upto))
-        .withColumn("_wanted", F.ceil(F.max("_upto").over(everywhere) * F.lit(test_size)))
-        .where((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_count") < F.col("_wanted")))
-        .select(F.struct("_bucket", (F.col("_wanted") - F.col("_upto") + F.col("_count")).alias("_rest")).alias("last"))
+        histogram.withColumn("upto", F.sum("n").over(upto))
+        .withColumn("wanted", F.ceil(F.max("upto").over(Window.partitionBy()) * F.lit(test_size)))
+        .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
+        .select(F.struct("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest")).alias("last"))
     )
-    placed = scored.withColumn("_last", last.scalar())
-    bucket, end = F.col("_bucket"), F.col("_last._bucket")
-    clear = placed.where(bucket != end).withColumn("split", F.when(bucket < end, "test").otherwise("train"))
-    ranks = Window.partitionBy("_bucket").orderBy("_score", *keys)
-    ranked = (
-        placed.where(bucket == end)
-        .withColumn("_rank", F.row_number().over(ranks))
-        .withColumn("split", F.when(F.col("_rank") <= F.col("_last._rest"), "test").otherwise("train"))
-    )
-    return clear.select(*df.columns, "split").unionAll(ranked.select(*df.columns, "split"))
+    end = bucketed.withColumn("last", last.scalar()).where(F.col("bucket") == F.col("last.bucket"))
+    ranked = end.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("place")))
+    border = ranked.where(F.col("rank") == F.col("last.rest")).select("place")
+    return df.withColumn("split", F.when(place <= border.scalar(), "test").otherwise("train"))

@@ -139,7 +139,7 @@ def _s(text: str) -> str:
 
 _ARGS = f"""
 keyed AS (
-  SELECT props.*, '42|' || spec_id || ' ' || method || ' ' || path || '|' || name AS key
+  SELECT props.*, '42|' || method || ' ' || path || '|' || name AS key
   FROM props JOIN called USING (n)
 ),
 valued AS (
@@ -171,7 +171,7 @@ arguments AS (
 _SAMPLES = f"""
 templates(template_id, template) AS ({_values(enumerate(fixed.PROMPT_TEMPLATES))}),
 samples AS (
-  SELECT spec_id || '/' || slot || '/1/' || template_id AS sample_id,
+  SELECT spec_id, slot, template_id, spec_id || '/' || slot || '/1/' || template_id AS sample_id,
     replace(template, '{{action}}', lower(description)) AS instruction,
     input,
     '{{"name": "' || tool_name || '", "arguments": ' || coalesce(arguments, '{{}}') || '}}' AS output
@@ -283,7 +283,7 @@ def _block(role: str, content: str) -> str:
 
 
 def _user(instruction: str, tool: str) -> str:
-    return f"('User Request: ' || {instruction} || {_q(chr(10) + 'Available Tool: ')} || {tool})"
+    return f"({_q(fixed.USER_MESSAGE.split('{')[0])} || {instruction} || {_q(chr(10) + 'Available Tool: ')} || {tool})"
 
 
 def _prompt(instruction: str, tool: str) -> str:
@@ -315,7 +315,7 @@ SELECT spec_id, slot AS path_pos, path, 1 AS method_pos, method FROM kept""",
         "format_tools": f"WITH {_TOOLS} SELECT spec_id, path, tool_name, description, input FROM tools",
         "example_args": f"""WITH {_OPS}, {_ARGS}
 SELECT spec_id, path, method, coalesce(arguments, '{{}}') AS arguments FROM called LEFT JOIN arguments USING (n)""",
-        "generate_samples": f"WITH {_TOOLS}, {_ARGS}, {_SAMPLES} SELECT * FROM samples",
+        "generate_samples": f"WITH {_TOOLS}, {_ARGS}, {_SAMPLES} SELECT sample_id, instruction, input, output FROM samples",
         "train_test_split": f"""SELECT l_orderkey, l_linenumber,
   {_split("l_orderkey || '|' || l_linenumber")} AS split FROM lineitem""",
         "train_test_split_exact": f"""WITH ranked AS (
@@ -324,6 +324,8 @@ SELECT spec_id, path, method, coalesce(arguments, '{{}}') AS arguments FROM call
 SELECT o_orderkey, CASE WHEN r <= ceil(n * CAST({fixed.TEST_SIZE} AS DOUBLE)) THEN 'test' ELSE 'train' END AS split FROM ranked""",
         "take_first": f"""WITH {_PAIRS}
 SELECT sample_id, instruction, expected FROM pairs ORDER BY sample_id LIMIT 500""",
+        "take_first_samples": f"""WITH {_TOOLS}, {_ARGS}, {_SAMPLES}
+SELECT sample_id FROM samples ORDER BY spec_id, slot, template_id LIMIT 300""",
         "chat_messages": f"""WITH {_REQUESTS}
 SELECT request_id, CAST(0 AS BIGINT) AS position, 'system' AS role, {_q(system_prompt())} AS content FROM found
 UNION ALL SELECT request_id, 1, 'user', {_user('request', 'definition')} FROM found
@@ -336,8 +338,28 @@ SELECT request_id, {_TRAINING} AS text, {_split("request_id")} AS split FROM fou
 SELECT request_id, tool_text, CASE WHEN tool_text IS NULL THEN 'missing_tool' ELSE 'ok' END AS status,
   {_prompt('request', 'tool_text')} AS prompt FROM given""",
         "flag_overlength": f"""WITH counted AS (
-  SELECT doc_id, CAST(len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\x0b\\f\\r]')) AS BIGINT) AS n_tokens FROM documents)
+  SELECT doc_id, CAST(len(regexp_extract_all(regexp_replace(text, '{_WS}+', ' ', 'g'), '[\\pL\\pM\\pN_]+|[^\\pL\\pM\\pN_ ]')) AS BIGINT) AS n_tokens FROM documents)
 SELECT doc_id, n_tokens, n_tokens > {fixed.MAX_SEQ_LENGTH} AS over_length FROM counted""",
+        "conversations_to_text": f"""SELECT conv_id, count(*) AS n_turns,
+  string_agg({_q(_OPEN[0])} || coalesce(role, '') || {_q(_OPEN[1])} || coalesce(text, '') || {_q(_CLOSE)}, '' ORDER BY turn) AS text
+FROM conversations GROUP BY conv_id""",
+        "spec_rejects": """SELECT CAST(p_partkey AS VARCHAR) AS spec_id,
+  CASE p_partkey % 12 WHEN 3 THEN 'not_an_object' WHEN 8 THEN 'missing' ELSE 'not_json' END AS error
+FROM part WHERE p_partkey % 12 IN (0, 1, 2, 3, 4, 8)""",
+        "split_grouped": f"""SELECT o_orderkey, {_split("o_custkey")} AS split FROM orders""",
+        "split_grouped_exact": f"""WITH groups AS (
+  SELECT o_custkey, row_number() OVER (ORDER BY substr(md5('{fixed.SPLIT_SEED}|' || o_custkey), 1, 8), o_custkey) AS r,
+    count(*) OVER () AS n FROM orders GROUP BY o_custkey)
+SELECT o_orderkey, CASE WHEN r <= ceil(n * CAST({fixed.TEST_SIZE} AS DOUBLE)) THEN 'test' ELSE 'train' END AS split
+FROM orders JOIN groups USING (o_custkey)""",
+        "metrics_by_tool": f"""WITH {_PAIRS}, named AS (
+  SELECT *, CASE WHEN contains(expected, '"name": "' || event_type) THEN event_type END AS tool FROM pairs)
+SELECT tool, grouping(tool) = 1 AS is_total, count(*) AS total_samples,
+  count(*) FILTER (WHERE valid) AS valid_json_count, count(*) FILTER (WHERE name) AS correct_tool_name_count,
+  count(*) FILTER (WHERE args) AS correct_arguments_count,
+  count(*) FILTER (WHERE valid) / count(*) AS json_validity_rate, count(*) FILTER (WHERE name) / count(*) AS tool_name_accuracy,
+  count(*) FILTER (WHERE args) / count(*) AS argument_accuracy, count(*) FILTER (WHERE error IS NOT NULL) AS error_count
+FROM named GROUP BY ROLLUP (tool)""",
         "filter_requests": f"WITH {_REQUESTS} SELECT request_id, request FROM wanted",
         "route_tool": f"WITH {_REQUESTS} SELECT request_id, {_cascade()} AS tool_key FROM requests",
         "lookup_tool": f"""WITH {_REQUESTS}, keyed AS (
@@ -387,12 +409,12 @@ SELECT json_validity_rate * 100 AS json_validity_rate, tool_name_accuracy * 100
   argument_accuracy * 100 AS argument_accuracy FROM metrics""",
         "eval_errors": f"""WITH {_PAIRS}
 SELECT sample_id AS index, instruction, error FROM pairs WHERE error IS NOT NULL""",
-        "dataset_profile": f"""WITH {_TOOLS}, {_ARGS}, {_SAMPLES}, n AS (SELECT count(*) AS num_samples FROM samples)
-SELECT num_samples, CASE WHEN num_samples < 1000 THEN 'n<1K' WHEN num_samples < 10000 THEN '1K<n<10K'
+        "dataset_profile": f"""WITH {_TOOLS}, {_ARGS}, {_SAMPLES}, n AS (SELECT count(*) AS num_samples, (SELECT count(DISTINCT tool_name) FROM tools) AS num_tools FROM samples)
+SELECT num_samples, num_tools, CASE WHEN num_samples < 1000 THEN 'n<1K' WHEN num_samples < 10000 THEN '1K<n<10K'
   WHEN num_samples < 100000 THEN '10K<n<100K' WHEN num_samples < 1000000 THEN '100K<n<1M' ELSE '1M<n<10M' END AS size_category FROM n""",
         "generate_tool_calls": """WITH sized AS (SELECT doc_id, CAST(length(text) AS BIGINT) AS n FROM documents)
 SELECT doc_id, CASE WHEN n % 10 = 3 THEN NULL WHEN n % 2 = 1 THEN '{"chars": ' || n || '}' ELSE 'chars: ' || n END AS generated,
   CASE WHEN n % 10 = 3 THEN 0 ELSE n % 7 END AS num_tokens,
-  CASE WHEN n % 10 = 3 THEN 'generation_failed: refused' END AS error,
+  CASE WHEN n % 10 = 3 THEN 'generation_failed' END AS error, CASE WHEN n % 10 = 3 THEN 'refused' END AS error_message,
   CASE WHEN n % 10 <> 3 AND n % 2 = 1 THEN n END AS chars FROM sized""",
     }

@@ -202,11 +202,29 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples_and_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The pairs taken apart; every tenth prediction is missing."""
+    """The pairs taken apart; every tenth prediction is missing, every seventh comes again with another answer."""
     both = pairs(spark, sf_dir)
     samples = both.select("sample_id", "instruction", F.col("expected").alias("output"))
     predictions = both.where("sample_id % 10 <> 9").select("sample_id", "generated", "inference_time", "num_tokens")
-    return samples, predictions
+    again = predictions.where("sample_id % 7 = 3").withColumn("generated", F.lit("~ another answer"))
+    return samples, predictions.unionByName(again)
+
+
+def flawed_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The specs, of which some are cut, doubled, a list, followed by junk or missing."""
+    case = F.col("spec_id").cast("bigint") % 12
+    text = F.col("content")
+    flawed = (
+        F.when(case == 0, F.expr("substring(content, 1, length(content) - 1)"))
+        .when(case == 1, F.concat(text, text))
+        .when(case == 2, F.concat(text, F.lit(" and more")))
+        .when(case == 3, F.concat(F.lit("["), text, F.lit("]")))
+        .when(case == 4, F.expr("concat(substring(content, 1, length(content) - 1), ',}')"))
+        .when(case == 8, F.lit(None).cast("string"))
+        .when(case == 9, F.concat(F.lit(" \n"), text, F.lit("\t")))
+        .otherwise(text)
+    )
+    return specs(spark, sf_dir).withColumn("content", flawed)
 
 
 PHRASES = [

@@ -26,9 +26,8 @@ def _clean_documents(spark: SparkSession, d: str) -> DataFrame:
     return derived.read(spark, d, "documents").select("doc_id", clean_text("text").alias("cleaned"))
 
 
-# The derived documents have two paths each, so there is nothing to spread.
 def _operations(spark: SparkSession, d: str, namespaces: list[str] | None = None) -> DataFrame:
-    return spec.spec_operations(derived.specs(spark, d), namespaces, spread=False)
+    return spec.spec_operations(derived.specs(spark, d), namespaces)
 
 
 def _spec_operations(spark: SparkSession, d: str) -> DataFrame:
@@ -41,6 +40,10 @@ def _spec_operations(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _spec_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return spec.spec_rejects(derived.flawed_specs(spark, d))
+
+
 def _filter_operations(spark: SparkSession, d: str) -> DataFrame:
     return spec.filter_has_summary(_operations(spark, d)).select(*_OPERATION_KEYS)
 
@@ -56,7 +59,7 @@ def _example_args(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _generate_samples(spark: SparkSession, d: str) -> DataFrame:
-    made = samples.generate_samples(derived.specs(spark, d), spread=False)
+    made = samples.generate_samples(derived.specs(spark, d))
     return made.select("sample_id", "instruction", "input", "output")
 
 
@@ -69,6 +72,19 @@ def _split_exact(spark: SparkSession, d: str) -> DataFrame:
     return train_test_split(derived.read(spark, d, "orders").select("o_orderkey"), "o_orderkey", mode="exact")
 
 
+def _split_grouped(mode: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        rows = derived.read(spark, d, "orders").select("o_orderkey", "o_custkey")
+        return train_test_split(rows, "o_orderkey", mode=mode, group_by="o_custkey").select("o_orderkey", "split")
+
+    return query
+
+
+def _take_first_samples(spark: SparkSession, d: str) -> DataFrame:
+    made = samples.generate_samples(derived.specs(spark, d))
+    return evaluate.take_first(made, 300, samples.SAMPLE_ORDER).select("sample_id")
+
+
 def _take_first(spark: SparkSession, d: str) -> DataFrame:
     pairs = derived.pairs(spark, d).select("sample_id", "instruction", "expected")
     return evaluate.take_first(pairs, 500, "sample_id")
@@ -118,6 +134,10 @@ def _flag_overlength(spark: SparkSession, d: str) -> DataFrame:
     return flagged.select("doc_id", F.col("n_tokens").cast("bigint").alias("n_tokens"), "over_length")
 
 
+def _conversations_to_text(spark: SparkSession, d: str) -> DataFrame:
+    return chat.conversations_to_text(derived.read(spark, d, "conversations"))
+
+
 def _filter_requests(spark: SparkSession, d: str) -> DataFrame:
     return requests.filter_requests(derived.requests(spark, d))
 
@@ -185,6 +205,11 @@ def _eval_metrics(spark: SparkSession, d: str) -> DataFrame:
     return metrics.eval_metrics(_results(spark, d))
 
 
+def _metrics_by_tool(spark: SparkSession, d: str) -> DataFrame:
+    named = _results(spark, d).withColumn("tool", F.get_json_object("expected", "$.name"))
+    return metrics.metrics_by(named, "tool").drop("level", "overall_accuracy")
+
+
 def _metrics_report(spark: SparkSession, d: str) -> DataFrame:
     return metrics.metrics_report(_eval_metrics(spark, d))
 
@@ -202,7 +227,7 @@ def _eval_errors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dataset_profile(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.dataset_profile(samples.generate_samples(derived.specs(spark, d), spread=False))
+    return metrics.dataset_profile(samples.generate_samples(derived.specs(spark, d)))
 
 
 def stub_predictor() -> inference.Predictor:
@@ -220,7 +245,7 @@ def _generate_tool_calls(spark: SparkSession, d: str) -> DataFrame:
     prompts = derived.read(spark, d, "documents").select("doc_id", F.col("text").alias("prompt"))
     answered = inference.generate_tool_calls(prompts, stub_predictor)
     return answered.select(
-        "doc_id", "generated", "num_tokens", "error", F.try_variant_get("parsed", "$.chars", "bigint").alias("chars")
+        "doc_id", "generated", "num_tokens", "error", "error_message", F.try_variant_get("parsed", "$.chars", "bigint").alias("chars")
     )
 
 
@@ -229,17 +254,22 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_text_pages": _clean_text,
         "clean_text_documents": _clean_documents,
         "spec_operations": _spec_operations,
+        "spec_rejects": _spec_rejects,
         "filter_operations": _filter_operations,
         "format_tools": _format_tools,
         "example_args": _example_args,
         "generate_samples": _generate_samples,
         "train_test_split": _split_hash,
         "train_test_split_exact": _split_exact,
+        "split_grouped": _split_grouped("hash"),
+        "split_grouped_exact": _split_grouped("exact"),
         "take_first": _take_first,
+        "take_first_samples": _take_first_samples,
         "chat_messages": _chat_messages,
         "training_text": _training_text,
         "inference_prompts": _inference_prompts,
         "flag_overlength": _flag_overlength,
+        "conversations_to_text": _conversations_to_text,
         "filter_requests": _filter_requests,
         "route_tool": _route_tool,
         "lookup_tool": _lookup_tool,
@@ -251,6 +281,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_predictions": _pair_predictions,
         "evaluate_dataset": _evaluate_dataset,
         "eval_metrics": _eval_metrics,
+        "metrics_by_tool": _metrics_by_tool,
         "metrics_report": _metrics_report,
         "metrics_text": _metrics_text,
         "card_metrics": _card_metrics,
