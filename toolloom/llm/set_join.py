@@ -3,7 +3,7 @@
 Method: the universe of shingles is hashed into segments, as many for each band of set sizes as two sets of that band
 may differ in, and some more. A pair that is near enough differs in at most H shingles, so of any H + 1 segments of one set at
 least one is the same in the other. Segments are looked up by the hash of their content. Which H + 1 segments of a set are
-used is free: the cheapest ones are, those whose content the fewest sets have. A set with H + 1 segments that no other has
+used is free: the cheapest ones are, those whose content the fewest sets have; by these it asks, and by these it is found. A set with H + 1 segments that no other has
 costs nothing and leaves at once; empty segments are never used. Sets below SMALL shingles have a segment for each shingle.
 The few sets whose shingles fall into too few segments are compared by an inverted index over single shingles.
 
@@ -40,6 +40,7 @@ SLACK = 1.3
 MORE = 12
 BUCKET_SIGNATURES = 1_500_000
 FEW = 6
+BITMAP = 512
 ROUNDS = 3
 
 
@@ -150,9 +151,6 @@ def _signed(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
     return docs.mapInArrow(sign, "bucket int, owners binary, bands binary, counts binary, signatures binary, facts binary")
 
 
-_SHARED = pa.schema([("bucket", pa.int32()), ("digest", pa.int64()), ("band", pa.int32()), ("n", pa.int32()), ("used", pa.int32()), ("shared", pa.int32()), ("signatures", pa.binary()), ("commons", pa.binary())])
-
-
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin, and the end; the keys are sorted."""
     n = len(keys[0])
@@ -164,99 +162,223 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each (set, band) the signatures that other sets have as well, and by how many they are had.
-
-    Rows with used say how many segments the set has; they come once for each set and band.
+_SHARED = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("digests", pa.binary()), ("bands", pa.binary()), ("counts", pa.binary()), ("signatures", pa.binary()), ("commons", pa.binary()), ("facts", pa.binary())])
+_SHARED_SQL = "bucket int, group int, digests binary, bands binary, counts binary, signatures binary, commons binary, facts binary"
+
+
+def _shared(groups: int):
+    """Of one bucket: the signatures that several sets have, with their number of sets, for each (set, band); packed by group of digests."""
+
+    def shared(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        facts = np.unique(np.concatenate([np.frombuffer(x.as_py(), _FACT) for x in table.column("facts")]))
+        owners, bands, signatures = [], [], []
+        for o, b, c, s in zip(*(table.column(n).to_pylist() for n in ("owners", "bands", "counts", "signatures"))):
+            o, s = np.frombuffer(o, np.int64), np.frombuffer(s, np.uint32)
+            c = np.frombuffer(c, np.uint16 if len(c) == 2 * len(o) else np.uint32)
+            owners.append(np.repeat(o, c)), bands.append(np.repeat(np.frombuffer(b, np.uint8), c)), signatures.append(s)
+        owner, band, sig = np.concatenate(owners), np.concatenate(bands), np.concatenate(signatures)
+        order = np.lexsort((owner, band, sig))
+        owner, band, sig = owner[order], band[order], sig[order]
+        once = _runs(sig, band, owner)[:-1]  # the same set comes from several tasks
+        owner, band, sig = owner[once], band[once], sig[once]
+        bounds = _runs(sig, band)
+        common = np.repeat(np.diff(bounds), np.diff(bounds))
+        some = common > 1
+        owner, band, sig, common = owner[some], band[some], sig[some], common[some].astype(np.uint32)
+        order = np.lexsort((sig, band, owner, owner % groups))
+        owner, band, sig, common = owner[order], band[order], sig[order], common[order]
+        at = _runs(owner, band)
+        unit, n = at[:-1], np.diff(at)
+        home, fact_home = owner[unit] % groups, facts["digest"] % groups
+        facts = facts[np.argsort(fact_home, kind="stable")]
+        edges = np.arange(groups + 1)
+        units, rows, news = np.searchsorted(home, edges), np.searchsorted(owner % groups, edges), np.searchsorted(np.sort(fact_home), edges)
+        out = [(bucket, g, _pack(owner[unit[u:v]]), _pack(band[unit[u:v]]), _pack(n[u:v].astype(np.uint32)), _pack(sig[x:y]), _pack(common[x:y]), _pack(facts[p:q])) for g, (u, v, x, y, p, q) in enumerate(zip(units, units[1:], rows, rows[1:], news, news[1:])) if v > u or q > p]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SHARED)], schema=_SHARED)
+
+    return shared
+
+
+_CHOSEN = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("digests", pa.binary()), ("bands", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("signatures", pa.binary()), ("asks", pa.binary())])
+_CHOSEN_SQL = "bucket int, group int, digests binary, bands binary, sizes binary, counts binary, signatures binary, asks binary"
+
+
+def _choose(scheme: Scheme):
+    """Allocation, of one group of digests: by which of its segments each set asks and is found.
+
+    Segments in the order of how many sets have them, then by hash, are in the same order for any two sets; so the first
+    one that two near sets share is among the first H + 1 of both. A set asks by those, H for partners that are not larger,
+    and is found by those, H for partners of any size. own: segments that no other set has come first and cost nothing. Row -1: the digests
+    that are still open, and whether they have too few segments.
     """
-    bucket = table.column("bucket")[0].as_py()
-    facts = np.unique(np.concatenate([np.frombuffer(x.as_py(), _FACT) for x in table.column("facts")]))
-    owners, bands, signatures = [], [], []
-    for o, b, c, s in zip(*(table.column(n).to_pylist() for n in ("owners", "bands", "counts", "signatures"))):
-        o, s = np.frombuffer(o, np.int64), np.frombuffer(s, np.uint32)
-        c = np.frombuffer(c, np.uint16 if len(c) == 2 * len(o) else np.uint32)
-        owners.append(np.repeat(o, c)), bands.append(np.repeat(np.frombuffer(b, np.uint8), c)), signatures.append(s)
-    owner, band, sig = np.concatenate(owners), np.concatenate(bands), np.concatenate(signatures)
-    order = np.lexsort((owner, band, sig))
-    owner, band, sig = owner[order], band[order], sig[order]
-    once = _runs(sig, band, owner)[:-1]  # the same set comes from several tasks
-    owner, band, sig = owner[once], band[once], sig[once]
-    bounds = _runs(sig, band)
-    common = np.repeat(np.diff(bounds), np.diff(bounds))
-    some = common > 1
-    owner, band, sig, common = owner[some], band[some], sig[some], common[some].astype(np.uint32)
-    order = np.lexsort((band, owner))
-    owner, band, sig, common = owner[order], band[order], sig[order], common[order]
-    at = _runs(owner, band)
-    out = [[bucket] * (len(at) - 1), owner[at[:-1]], band[at[:-1]], None, None, np.diff(at), [_pack(sig[a:b]) for a, b in zip(at, at[1:])], [_pack(common[a:b]) for a, b in zip(at, at[1:])]]
-    nulls = [None] * (len(at) - 1)
-    return pa.concat_tables([
-        pa.Table.from_arrays([pa.array(nulls if c is None else c, f.type) for c, f in zip(out, _SHARED)], schema=_SHARED),
-        pa.Table.from_arrays([pa.array([bucket] * len(facts), pa.int32()), pa.array(facts["digest"]), pa.array(facts["band"]), pa.array(facts["n"]), pa.array(facts["used"]), pa.array([0] * len(facts), pa.int32()), pa.array([None] * len(facts), pa.binary()), pa.array([None] * len(facts), pa.binary())], schema=_SHARED),
-    ])
-
-
-_CHOSEN = pa.schema([("bucket", pa.int32()), ("digest", pa.int64()), ("band", pa.int32()), ("n", pa.int32()), ("signatures", pa.binary()), ("asks", pa.binary())])
-
-
-def _choose(table: pa.Table) -> pa.Table:
-    """Allocation: which of its shared signatures each set asks others by; `need` of them, the least common first."""
-    table = table.combine_chunks()
-    digest_, band, need = (table.column(c).to_numpy() for c in ("digest", "band", "need"))
-    order = np.lexsort((band, digest_))
-    at = _runs(digest_[order], band[order])
-    signatures, commons = table.column("signatures"), table.column("commons")
-    rows, asks = [], []
-    for a, b in zip(at, at[1:]):
-        mine = order[a:b].tolist()
-        c = [np.frombuffer(commons[i].as_py(), np.uint32) for i in mine]
-        s = np.concatenate([np.frombuffer(signatures[i].as_py(), np.uint32) for i in mine])
-        flat = np.concatenate(c)
-        chosen = np.zeros(len(flat), np.uint8)
-        if need[mine[0]] > 0:
-            chosen[np.lexsort((s, flat))[: need[mine[0]]]] = 1
-        ends = np.cumsum([len(x) for x in c])
-        rows += mine
-        asks += [_pack(x) for x in np.split(chosen, ends[:-1])]
-    kept = table.select(["bucket", "digest", "band", "n", "signatures"]).take(pa.array(rows, pa.int64()))
-    return kept.append_column("asks", pa.array(asks, pa.binary())).cast(_CHOSEN)
+
+    def choose(table: pa.Table) -> pa.Table:
+        group = table.column("group")[0].as_py()
+        facts = np.sort(np.concatenate([np.frombuffer(x.as_py(), _FACT) for x in table.column("facts")]), order=["digest", "band"])
+        owners, bands, buckets, sigs, commons = [], [], [], [], []
+        for k, d, b, c, s, m in zip(*(table.column(n).to_pylist() for n in ("bucket", "digests", "bands", "counts", "signatures", "commons"))):
+            c = np.frombuffer(c, np.uint32)
+            owners.append(np.repeat(np.frombuffer(d, np.int64), c)), bands.append(np.repeat(np.frombuffer(b, np.uint8), c))
+            sigs.append(np.frombuffer(s, np.uint32)), commons.append(np.frombuffer(m, np.uint32)), buckets.append(np.full(int(c.sum()), k, np.int32))
+        owner, band, bucket, sig, common = (np.concatenate(x) for x in (owners, bands, buckets, sigs, commons))
+        order = np.lexsort((bucket, sig, common, band, owner))
+        owner, band, bucket, sig, common = owner[order], band[order], bucket[order], sig[order], common[order]
+        bounds = _runs(owner, band)
+        firsts, shared_by = bounds[:-1], np.diff(bounds)
+        keys = facts[["digest", "band"]].copy()
+        mine = np.empty(len(firsts), keys.dtype)
+        mine["digest"], mine["band"] = owner[firsts], band[firsts]
+        place = np.searchsorted(keys, mine)
+        n, used = facts["n"].astype(np.int64), facts["used"].astype(np.int64)
+        shared = np.zeros(len(facts), np.int64)
+        shared[place] = shared_by
+        own = used - shared
+        larger = n >= np.array([scheme.begin(int(k)) for k in range(int(facts["band"].max()) + 1)])[facts["band"]]
+        differ = np.array([scheme.differ(int(x)) for x in n])
+        differ_at_most = np.array([scheme.differ_at_most(int(x)) for x in n])
+        odd = larger & (used <= differ)
+        asks = np.where(larger & ~odd, np.maximum(differ + 1 - own, 0), 0)
+        found = np.maximum(differ_at_most + 1 - own, 0)
+        is_open = odd | (found > 0)
+        rank = np.arange(len(owner)) - np.repeat(firsts, shared_by)
+        keep = rank < np.repeat(found[place], shared_by)
+        ask = (rank < np.repeat(asks[place], shared_by))[keep].astype(np.uint8)
+        size = np.repeat(n[place], shared_by)[keep].astype(np.uint32)
+        owner, band, bucket, sig = owner[keep], band[keep], bucket[keep], sig[keep]
+        order = np.argsort(bucket, kind="stable")
+        owner, band, bucket, sig, ask, size = (x[order] for x in (owner, band, bucket, sig, ask, size))
+        out = []
+        edges = _runs(bucket)
+        for x, y in zip(edges, edges[1:]):
+            units = _runs(owner[x:y], band[x:y])
+            first = units[:-1] + x
+            out.append((int(bucket[x]), group, _pack(owner[first]), _pack(band[first]), _pack(size[first]), _pack(np.diff(units).astype(np.uint32)), _pack(sig[x:y]), _pack(ask[x:y])))
+        if is_open.any():
+            names, which = np.unique(facts["digest"][is_open], return_inverse=True)
+            flags = np.zeros(len(names), np.uint8)
+            np.maximum.at(flags, which, odd[is_open].astype(np.uint8))
+            out.append((-1, group, _pack(names), None, None, None, None, _pack(flags)))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(_CHOSEN), _CHOSEN)], schema=_CHOSEN)
+
+    return choose
+
+
+def _open_digests(chosen: DataFrame) -> DataFrame:
+    """digest, odd of the sets that may have a partner."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d, o in zip(batch.column("digests").to_pylist(), batch.column("asks").to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(d, np.int64)), pa.array(np.frombuffer(o, np.uint8) > 0)], ["digest", "odd"])
+
+    return chosen.where("bucket = -1").select("digests", "asks").mapInArrow(unpack, "digest long, odd boolean")
+
+
+_LABELLED = pa.schema([*_CHOSEN, pa.field("labels", pa.binary()), pa.field("bitmaps", pa.binary())])
+_LABELLED_SQL = _CHOSEN_SQL + ", labels binary, bitmaps binary"
+
+
+def _relabel(chosen: pa.Table, known: pa.Table) -> pa.Table:
+    """Of one group: label and bitmap of each digest next to it. known: node, label, bitmap."""
+    node, label = known.column("node").to_numpy(), known.column("label").to_numpy()
+    order = np.argsort(node)
+    node, label = node[order], label[order]
+    bitmaps = np.frombuffer(b"".join(known.column("bitmap").to_pylist()), np.uint64).reshape(len(order), -1)[order]
+    places = [np.searchsorted(node, np.frombuffer(d, np.int64)) for d in chosen.column("digests").to_pylist()]
+    columns = [pa.array([_pack(x[at]) for at in places], pa.binary()) for x in (label, bitmaps)]
+    return pa.Table.from_arrays([*(chosen.column(f.name) for f in _CHOSEN), *columns], schema=_LABELLED)
+
+
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """digest, bitmap: each shingle flips one of BITMAP bits. Two bitmaps never differ in more bits than the sets in shingles."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = (np.frombuffer(x.as_py(), np.uint64) % np.uint64(BITMAP) for x in batch.column("shingles"))
+            bits = [_pack(np.packbits(np.bincount(x.astype(np.int64), minlength=BITMAP) % 2 == 1)) for x in shingles]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(bits, pa.binary())], ["digest", "bitmap"])
+
+    return sets.mapInArrow(fold, "digest long, bitmap binary")
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+class _Entries:
+    """The entries of one bucket by segment: rows bound[i] to bound[i + 1] have one segment. unit: the set of each entry."""
+
+    def __init__(self, table: pa.Table, turn: int):
+        read = lambda c, t: [np.frombuffer(x.as_py(), t) for x in table.column(c)]
+        names = (("digests", np.int64), ("bands", np.uint8), ("sizes", np.uint32), ("counts", np.uint32))
+        self.digest, self.band, n, counts = (np.concatenate(read(c, t)) for c, t in names)
+        self.n = n.astype(np.int64)
+        labelled = "labels" in table.column_names
+        self.label = np.concatenate(read("labels", np.int64)) if labelled else self.digest
+        self.bitmap = np.concatenate([x.reshape(-1, BITMAP // 64) for x in read("bitmaps", np.uint64)]) if labelled else None
+        sig, ask = np.concatenate(read("signatures", np.uint32)), np.concatenate(read("asks", np.uint8))
+        unit = np.repeat(np.arange(len(counts)), counts)
+        rank = mix(self.digest.view(np.uint64) + np.uint64(977 * (turn + 2)))
+        order = np.lexsort((rank[unit], self.band[unit], sig))
+        self.unit, self.ask, self.sig = unit[order], ask[order].astype(bool), sig[order]
+        self.bound = _runs(self.sig, self.band[self.unit])
+
+
+def _crowded(buckets: int):
+    """Of one bucket: the entries of segments that more than FEW sets of more than one component have; the others are settled."""
+
+    def crowded(table: pa.Table) -> pa.Table:
+        e = _Entries(table, 0)
+        bucket = table.column("bucket")[0].as_py()
+        keep = np.zeros(len(e.unit), bool)
+        for a, b in zip(e.bound, e.bound[1:]):
+            keep[a:b] = b - a > FEW and e.ask[a:b].any() and (e.label[e.unit[a:b]] != e.label[e.unit[a]]).any()
+        unit, sig, ask = e.unit[keep], e.sig[keep], e.ask[keep]
+        home = e.digest[unit] % buckets
+        order = np.lexsort((sig, unit, home))
+        unit, sig, ask, home = unit[order], sig[order], ask[order], home[order]
+        out = []
+        edges = _runs(home)
+        for x, y in zip(edges, edges[1:]):
+            at = _runs(unit[x:y])
+            u = unit[x:y][at[:-1]]
+            out.append((bucket, int(home[x]), _pack(e.digest[u]), _pack(e.band[u]), _pack(e.n[u].astype(np.uint32)), _pack(np.diff(at).astype(np.uint32)), _pack(sig[x:y]), _pack(ask[x:y].astype(np.uint8))))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(_CHOSEN), _CHOSEN)], schema=_CHOSEN)
+
+    return crowded
+
+
 def _pairs(scheme: Scheme, turn: int):
-    """Of one bucket: the candidate pairs of round `turn` (-1: all pairs that are still in different components)."""
+    """Of one bucket: candidate pairs. Turn 0: all of segments of up to FEW sets, of others each set with the first one.
+
+    Later turns: each set with one of the largest component there. Turn -1: all that are still in different components and
+    whose bitmaps don't differ too much.
+    """
 
     def pairs(table: pa.Table) -> pa.Table:
-        digest_, band, n, label = (table.column(c).to_numpy() for c in ("digest", "band", "n", "label"))
-        sig = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("signatures")]
-        counts = [len(x) for x in sig]
-        row = np.repeat(np.arange(len(counts)), counts)
-        sig, ask = np.concatenate(sig), np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("asks")])
-        own = digest_[row]
-        rank = mix(own.view(np.uint64) + np.uint64(977 * (turn + 2)))
-        order = np.lexsort((rank, band[row], sig))
-        row, ask = row[order], ask[order].astype(bool)
-        bounds = _runs(sig[order], band[row])
+        e = _Entries(table, turn)
         left, right = [], []
-        for a, b in zip(bounds, bounds[1:]):
-            if b - a < 2 or not ask[a:b].any():
+        for a, b in zip(e.bound, e.bound[1:]):
+            unit, ask = e.unit[a:b], e.ask[a:b]
+            if b - a < 2 or not ask.any():
                 continue
-            r, q = row[a:b], ask[a:b]
-            names, which, sizes = np.unique(label[r], return_inverse=True, return_counts=True)
+            n, own = e.n[unit], e.digest[unit]
+            names, which, sizes = np.unique(e.label[unit], return_inverse=True, return_counts=True)
             if len(names) == 1:
                 continue
-            if len(r) <= FEW or turn < 0:
-                for i in range(len(r) - 1):  # with those behind it, where one of the two asks
-                    j = np.flatnonzero((which[i + 1 :] != which[i]) & (q[i + 1 :] | q[i]) & scheme.fits(n[r[i + 1 :]], n[r[i]])) + i + 1
-                    left.append(np.repeat(digest_[r[i]], len(j))), right.append(digest_[r[j]])
+            if len(unit) <= FEW or turn < 0:
+                for i in range(len(unit) - 1):  # with those behind it, where one of the two asks
+                    j = np.flatnonzero((which[i + 1 :] != which[i]) & (ask[i + 1 :] | ask[i]) & scheme.fits(n[i + 1 :], n[i])) + i + 1
+                    if turn < 0 and len(j):
+                        apart = np.bitwise_count(e.bitmap[unit[j]] ^ e.bitmap[unit[i]]).sum(axis=1, dtype=np.int64)
+                        j = j[apart <= (n[j] + n[i]) * (scheme.of - scheme.near) // (scheme.of + scheme.near)]
+                    left.append(np.full(len(j), own[i])), right.append(own[j])
             else:
                 large = int(np.argmax(sizes))
                 i = int(np.flatnonzero(which == large)[0])
-                j = np.flatnonzero((which != large) & scheme.fits(n[r], n[r[i]])) if sizes[large] > 1 else np.arange(1, len(r))
-                j = j[scheme.fits(n[r[j]], n[r[i]]) & (j != i)]
-                left.append(np.repeat(digest_[r[i]], len(j))), right.append(digest_[r[j]])
+                j = np.flatnonzero(which != large)
+                j = j[scheme.fits(n[j], n[i])]
+                left.append(np.full(len(j), own[i])), right.append(own[j])
         if not left:
             return _PAIR.empty_table()
         x, y = np.concatenate(left), np.concatenate(right)
@@ -324,38 +446,40 @@ def near_groups(docs: DataFrame, near: int = 80, of: int = 100, id_col: str = "d
     sizes = stored(_sizes(docs))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     buckets = max(shuffle_partitions(docs.sparkSession), math.ceil(0.6 * total / BUCKET_SIGNATURES))
-    shared = stored(_signed(docs, scheme, buckets).groupBy("bucket").applyInArrow(_shared, "bucket int, digest long, band int, n int, used int, shared int, signatures binary, commons binary"))
-
-    size, step = F.col("n"), of + near
-    differ = F.floor(2 * size * (of - near) / step)
-    differ_at_most = F.floor((size + F.floor(size * of / near)) * (of - near) / step)
-    begin = F.when(F.col("band") == 0, 0).otherwise(F.ceil(F.lit(float(SMALL)) * F.pow(F.lit(BAND), F.col("band") - 1)))
-    units = shared.groupBy("digest", "band").agg(F.max("n").alias("n"), F.max("used").alias("used"), F.sum("shared").alias("shared"))
-    # own: segments that no other set has; a set that has more of them than it may differ in has no partner
-    states = units.withColumn("own", F.col("used") - F.col("shared")).withColumn("larger", size >= begin).withColumn("odd", F.col("larger") & (F.col("used") <= differ))
-    states = states.withColumn("need", F.when(F.col("larger") & ~F.col("odd"), F.greatest(differ + 1 - F.col("own"), F.lit(0))).otherwise(0))
-    open_ = stored(states.where(F.col("odd") | (F.col("own") <= differ_at_most)).select(F.col("digest"), F.col("band"), F.col("n").cast("int").alias("n"), F.col("need").cast("int").alias("need"), "odd"))
-    asked = shared.where("shared > 0").select("bucket", "digest", "band", "signatures", "commons").join(open_.select("digest", "band", "n", "need"), ["digest", "band"])
-    chosen = stored(asked.groupBy(F.pmod(F.xxhash64("digest"), F.lit(4 * buckets)).alias("group")).applyInArrow(lambda t: _choose(t), "bucket int, digest long, band int, n int, signatures binary, asks binary"))
-    sets = stored(_sets(docs, open_.select("digest").distinct(), sizes.select("doc_id", "digest")))
+    shared = stored(_signed(docs, scheme, buckets).groupBy("bucket").applyInArrow(_shared(buckets), _SHARED_SQL))
+    chosen = stored(shared.groupBy("group").applyInArrow(_choose(scheme), _CHOSEN_SQL))
+    open_ = stored(_open_digests(chosen))
+    chosen = chosen.where("bucket >= 0")
+    sets = stored(_sets(docs, open_.select("digest"), sizes.select("doc_id", "digest")))
 
     links = None
     odd = open_.where("odd").select("digest").distinct()
     if not odd.isEmpty():
         links = stored(_by_shingle(docs, sets.join(odd, "digest", "left_semi"), near, of))
-    labels = None
+    labels = components(links) if links is not None else None
+    bitmaps = None
     for turn in [*range(ROUNDS), -1]:
-        entry = chosen.withColumn("label", F.col("digest")) if labels is None else chosen.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-        pairs = stored(entry.groupBy("bucket").applyInArrow(_pairs(scheme, turn), "a long, b long").distinct())
+        entries = chosen
+        if turn != 0:  # what is left after the first turn
+            if bitmaps is None:
+                bitmaps = stored(_bitmaps(sets))
+            known = bitmaps.withColumnRenamed("digest", "node").withColumn("label", F.col("node"))
+            if labels is not None:
+                known = bitmaps.join(labels, F.col("digest") == F.col("node"), "left").select(F.col("digest").alias("node"), F.coalesce("label", "digest").alias("label"), "bitmap")
+            by_group = known.select("node", "label", "bitmap", F.pmod("node", F.lit(buckets)).cast("int").alias("group")).groupBy("group")
+            labelled = chosen.groupBy("group").cogroup(by_group).applyInArrow(_relabel, _LABELLED_SQL)
+            entries = labelled
+            if turn == 1:
+                chosen = stored(labelled.groupBy("bucket").applyInArrow(_crowded(buckets), _CHOSEN_SQL))
+                entries = chosen.groupBy("group").cogroup(by_group).applyInArrow(_relabel, _LABELLED_SQL)
+        pairs = stored(entries.groupBy("bucket").applyInArrow(_pairs(scheme, turn), "a long, b long").distinct())
         if pairs.isEmpty():
-            if turn < 0 or turn == 0:
+            if turn <= 0:
                 break
             continue
         found = _verified(pairs, sets, near, of)
         links = stored(found if links is None else links.unionByName(found))
         labels = components(links)
-    if labels is None and links is not None:
-        labels = components(links)
     classes = sizes.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("first"))
     if labels is not None:
         named = classes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
