@@ -18,7 +18,7 @@ Null and empty texts have the end as their only token. A-Z count as a-z; words a
 \\x09-\\x0D. Rows with a null id are scored like others and train if the given condition says so. Repeated rows count as often as they
 occur. Without training texts all known counts are 0. An empty table gives an empty result. Only the named columns are looked at.
 
-Words and n-grams are told apart by 48 bits of their hash besides their bucket.
+Words are told apart by 48 bits of their hash, longer n-grams by 40, besides their bucket.
 """
 
 from __future__ import annotations
@@ -32,11 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolloom.llm.common import shuffle_partitions, stored
-from toolloom.llm.exchange import narrow, split_keys, wide
+from toolloom.llm.exchange import dealt, long, narrow, short, split_keys, unpacked, wide
 from toolloom.llm.words import Words, chunks, mix
 
 ORDER = 2
 PART_CHARS = 6_000_000
+KEY_BYTES = (6, 5)
 STRENGTHS = (4.0, 64.0, 1024.0, 16384.0, math.inf)
 START, END = np.uint64(0x51A7), np.uint64(0xE4D)
 _FACTOR = mix(np.arange(71, 71 + 16, dtype=np.uint64)) | np.uint64(1)
@@ -99,9 +100,9 @@ _TOTALS = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("totals", pa
 
 def _send(order: int, buckets: int):
     def send(table: pa.Table) -> pa.Table:
-        grams = Grams(table.column("text").combine_chunks(), order)
+        grams = Grams(unpacked(table.column("text")), order)
         counts = grams.counted(table.column("train").to_numpy(zero_copy_only=False).astype(bool))
-        rows = [(b, [len(m) for m in mine], [narrow(k[m]) for k, m in zip(grams.keys, mine)], np.concatenate([c[m] for c, m in zip(counts, mine)]).astype("<u4").tobytes()) for b, mine in split_keys(grams.keys, buckets)]
+        rows = [(b, [len(m) for m in mine], [narrow(k[m], KEY_BYTES[i > 0]) for i, (k, m) in enumerate(zip(grams.keys, mine))], short(np.concatenate([c[m] for c, m in zip(counts, mine)]))) for b, mine in split_keys(grams.keys, buckets)]
         part = table.column("part")[0].as_py()
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.Table.from_arrays([pa.array([part] * len(rows), pa.int32()), *[pa.array(c, f.type) for c, f in zip(columns, list(_SENT)[1:])]], schema=_SENT)
@@ -113,13 +114,13 @@ def _add(table: pa.Table) -> pa.Table:
     """Of one bucket: for each part the totals of its n-grams, in its order. Part -1 says how many training tokens and kinds there are."""
     bucket = table.column("bucket")[0].as_py()
     sizes = table.column("sizes").to_pylist()
-    counts = [np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")]
+    counts = [long(x.as_py(), sum(s)) for x, s in zip(table.column("counts"), sizes)]
     keys = table.column("keys").to_pylist()
     out = [[] for _ in sizes]
     tokens = kinds = 0
     for k in range(len(sizes[0])):
         own = [c[sum(s[:k]) : sum(s[: k + 1])] for c, s in zip(counts, sizes)]
-        names, which = np.unique(np.concatenate([wide(x[k]) for x in keys]), return_inverse=True)
+        names, which = np.unique(np.concatenate([wide(x[k], KEY_BYTES[k > 0]) for x in keys]), return_inverse=True)
         totals = np.bincount(which, weights=np.concatenate(own), minlength=len(names)).astype(np.int64)
         if k == 0:
             tokens, kinds = int(totals.sum()), int((totals > 0).sum())
@@ -127,7 +128,7 @@ def _add(table: pa.Table) -> pa.Table:
         for i, s in enumerate(sizes):
             out[i].append(totals[which[at : at + s[k]]])
             at += s[k]
-    packed = [np.concatenate(x).astype("<i8" if max(map(lambda y: int(y.max(initial=0)), x)) >= 1 << 32 else "<u4").tobytes() for x in out]
+    packed = [short(np.concatenate(x)) for x in out]
     n = len(packed)
     return pa.Table.from_arrays([pa.array([*table.column("part").to_pylist(), -1], pa.int32()), pa.array([bucket] * (n + 1), pa.int32()), pa.array([*packed, None], pa.binary()), pa.array([None] * n + [tokens], pa.int64()), pa.array([None] * n + [kinds], pa.int64())], schema=_TOTALS)
 
@@ -158,12 +159,11 @@ def _score(order: int, buckets: int, n: int, v: int):
         schema = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         if not docs.num_rows:
             return schema.empty_table()
-        grams = Grams(docs.column("text").combine_chunks(), order)
+        grams = Grams(unpacked(docs.column("text")), order)
         counts = [np.zeros(len(k), np.float64) for k in grams.keys]
         sent = {b: t for b, t in zip(totals.column("bucket").to_pylist(), totals.column("totals").to_pylist())}
         for b, mine in split_keys(grams.keys, buckets):
-            raw = sent[b]
-            found = np.frombuffer(raw, "<u4" if len(raw) == 4 * sum(map(len, mine)) else "<i8")
+            found = long(sent[b], sum(map(len, mine)))
             for c, m, x in zip(counts, mine, np.split(found, np.cumsum([len(m) for m in mine])[:-1])):
                 c[m] = x
         begins = grams.bound[:-1]
@@ -186,11 +186,11 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, id_col: str
     named = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     chars = named.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0)).alias("n")).first().n
     parts = max(shuffle_partitions(spark), math.ceil(chars / PART_CHARS))
-    dealt = named.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int"))
-    sent = dealt.groupBy("part").applyInArrow(_send(order, parts), "part int, bucket int, sizes array<long>, keys array<binary>, counts binary")
+    texts = dealt(named, parts)
+    sent = texts.groupBy("part").applyInArrow(_send(order, parts), "part int, bucket int, sizes array<long>, keys array<binary>, counts binary")
     totals = stored(sent.groupBy("bucket").applyInArrow(_add, "part int, bucket int, totals binary, tokens long, kinds long"))
     sums = totals.where("part = -1").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     pieces = totals.where("part >= 0").select("part", "bucket", "totals")
-    both = dealt.groupBy("part").cogroup(pieces.groupBy("part"))
+    both = texts.groupBy("part").cogroup(pieces.groupBy("part"))
     scored = both.applyInArrow(_score(order, parts, sums.n, sums.v), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "train", "n_tokens", "n_known", F.lit(sums.n).cast("long").alias("train_tokens"), F.lit(sums.v).cast("long").alias("kinds"), "base_score", "score")
