@@ -79,7 +79,8 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
     texts = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
     split_docs = texts.select("doc_id", "text_hash", words(F.col("text")).alias("words"))
-    every = split_docs.select("doc_id", "text_hash", F.explode(F.array(*[F.struct(F.lit(s).alias("size"), shingles(F.col("words"), s).alias("hashes")) for s in sizes])).alias("s")) if len(sizes) > 1 else split_docs.select("doc_id", "text_hash", F.struct(F.lit(sizes[0]).alias("size"), shingles(F.col("words"), sizes[0]).alias("hashes")).alias("s"))
+    by_size = [F.struct(F.lit(s).alias("size"), shingles(F.col("words"), s).alias("hashes")) for s in sizes]
+    every = split_docs.select("doc_id", "text_hash", (F.explode(F.array(*by_size)) if len(sizes) > 1 else by_size[0]).alias("s"))
     shown = every.select("doc_id", "text_hash", F.col("s.size").alias("size"), F.posexplode("s.hashes").alias("at", "hash"))
     side = F.broadcast(places) if places.count() <= MOST_BROADCAST else places
     starts = shown.join(side, ["hash", "size"]).select("doc_id", "text_hash", "n", "size", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start_word")).distinct()

@@ -102,7 +102,10 @@ def _send(order: int, buckets: int):
     def send(table: pa.Table) -> pa.Table:
         grams = Grams(unpacked(table.column("text")), order)
         counts = grams.counted(table.column("train").to_numpy(zero_copy_only=False).astype(bool))
-        rows = [(b, [len(m) for m in mine], [narrow(k[m], KEY_BYTES[i > 0]) for i, (k, m) in enumerate(zip(grams.keys, mine))], short(np.concatenate([c[m] for c, m in zip(counts, mine)]))) for b, mine in split_keys(grams.keys, buckets)]
+        rows = []
+        for b, mine in split_keys(grams.keys, buckets):
+            keys = [narrow(k[m], KEY_BYTES[i > 0]) for i, (k, m) in enumerate(zip(grams.keys, mine))]
+            rows.append((b, [len(m) for m in mine], keys, short(np.concatenate([c[m] for c, m in zip(counts, mine)]))))
         part = table.column("part")[0].as_py()
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.Table.from_arrays([pa.array([part] * len(rows), pa.int32()), *[pa.array(c, f.type) for c, f in zip(columns, list(_SENT)[1:])]], schema=_SENT)
@@ -130,7 +133,8 @@ def _add(table: pa.Table) -> pa.Table:
             at += s[k]
     packed = [short(np.concatenate(x)) for x in out]
     n = len(packed)
-    return pa.Table.from_arrays([pa.array([*table.column("part").to_pylist(), -1], pa.int32()), pa.array([bucket] * (n + 1), pa.int32()), pa.array([*packed, None], pa.binary()), pa.array([None] * n + [tokens], pa.int64()), pa.array([None] * n + [kinds], pa.int64())], schema=_TOTALS)
+    columns = ([*table.column("part").to_pylist(), -1], [bucket] * (n + 1), [*packed, None], [None] * n + [tokens], [None] * n + [kinds])
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TOTALS)], schema=_TOTALS)
 
 
 def traverse(grams: Grams, counts: list[np.ndarray], n: int, v: int) -> Iterator[np.ndarray]:
@@ -172,7 +176,8 @@ def _score(order: int, buckets: int, n: int, v: int):
         each = np.stack([np.add.reduceat(x, begins) for x in traverse(grams, counts, n, v)])
         top = each.max(axis=0)
         mean = top + np.log10(np.power(10.0, each - top).mean(axis=0))
-        return pa.Table.from_arrays([docs.column("doc_id").combine_chunks(), docs.column("train").combine_chunks(), pa.array(np.diff(grams.bound)), pa.array(known), pa.array(each[-1]), pa.array(mean)], schema=schema)
+        given = [docs.column(c).combine_chunks() for c in ("doc_id", "train")]
+        return pa.Table.from_arrays([*given, *map(pa.array, (np.diff(grams.bound), known, each[-1], mean))], schema=schema)
 
     return score
 

@@ -179,7 +179,8 @@ def _hashed(frame: DataFrame, column: str) -> DataFrame:
 def patterns_and_instances(scanned: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(side, word, kind, score) of the sure patterns and (value, kind, score) of the accepted identifiers."""
     seen = scanned.select(F.explode(F.concat("spans", "others")).alias("s")).select("s.*")
-    sides = seen.select("kind", "value", F.explode(F.array(F.struct(F.lit("before").alias("side"), F.col("before").alias("text")), F.struct(F.lit("after").alias("side"), F.col("after").alias("text")))).alias("p"))
+    both = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("before", "after")])
+    sides = seen.select("kind", "value", F.explode(both).alias("p"))
     edges = stored(sides.where("p.text <> ''").groupBy("p.side", "p.text", "value", "kind").agg(F.count(F.lit(1)).alias("times")))
     support = edges.where("kind is not null").groupBy("side", "text", "kind").agg(F.count_distinct("value").alias("values"))
     usable = support.where(F.col("values") >= LEAST_SEEDS).select("side", "text").distinct()

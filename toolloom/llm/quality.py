@@ -96,7 +96,9 @@ def fences(measured: DataFrame) -> DataFrame:
     """lang, source, and for each measure the quartiles that its fences stand on; one row per group that occurs."""
     good = measured.where(~base_failed())
     sketch = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(m).alias(m) for m in MEASURES])
-    groups = stored(measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")).withColumnsRenamed({"lang": "g_lang", "source": "g_source"}).join(sketch, F.col("g_lang").eqNullSafe(F.col("lang")) & F.col("g_source").eqNullSafe(F.col("source")), "left").drop("lang", "source", "rows"))
+    present = measured.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source")).distinct()
+    same = F.col("g_lang").eqNullSafe(F.col("lang")) & F.col("g_source").eqNullSafe(F.col("source"))
+    groups = stored(present.join(sketch, same, "left").drop("lang", "source"))
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES]]
     full = groups.where("n > 0")
     langs = full.groupBy(F.col("g_lang").alias("l_lang")).agg(*merged).withColumnsRenamed({"n": "l_n"} | {m: f"l_{m}" for m in MEASURES})

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from toolloom.llm.common import renamed, shuffle_partitions, stored
 from toolloom.llm.graph import components
-from toolloom.llm.words import SHINGLE, Words, chunks, mix
+from toolloom.llm.words import Words, chunks, mix
 
 SMALL = 64
 BAND = 1.5
@@ -162,7 +162,8 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
-_SHARED = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("digests", pa.binary()), ("bands", pa.binary()), ("counts", pa.binary()), ("signatures", pa.binary()), ("commons", pa.binary()), ("facts", pa.binary())])
+_PLACE = [("bucket", pa.int32()), ("group", pa.int32())]
+_SHARED = pa.schema(_PLACE + [(n, pa.binary()) for n in ("digests", "bands", "counts", "signatures", "commons", "facts")])
 _SHARED_SQL = "bucket int, group int, digests binary, bands binary, counts binary, signatures binary, commons binary, facts binary"
 
 
@@ -194,13 +195,17 @@ def _shared(groups: int):
         facts = facts[np.argsort(fact_home, kind="stable")]
         edges = np.arange(groups + 1)
         units, rows, news = np.searchsorted(home, edges), np.searchsorted(owner % groups, edges), np.searchsorted(np.sort(fact_home), edges)
-        out = [(bucket, g, _pack(owner[unit[u:v]]), _pack(band[unit[u:v]]), _pack(n[u:v].astype(np.uint32)), _pack(sig[x:y]), _pack(common[x:y]), _pack(facts[p:q])) for g, (u, v, x, y, p, q) in enumerate(zip(units, units[1:], rows, rows[1:], news, news[1:])) if v > u or q > p]
+        out = []
+        for g in range(groups):
+            u, x, p = (slice(e[g], e[g + 1]) for e in (units, rows, news))
+            if u.stop > u.start or p.stop > p.start:
+                out.append((bucket, g, *map(_pack, (owner[unit[u]], band[unit[u]], n[u].astype(np.uint32), sig[x], common[x], facts[p]))))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SHARED)], schema=_SHARED)
 
     return shared
 
 
-_CHOSEN = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("digests", pa.binary()), ("bands", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("signatures", pa.binary()), ("asks", pa.binary())])
+_CHOSEN = pa.schema(_PLACE + [(n, pa.binary()) for n in ("digests", "bands", "sizes", "counts", "signatures", "asks")])
 _CHOSEN_SQL = "bucket int, group int, digests binary, bands binary, sizes binary, counts binary, signatures binary, asks binary"
 
 
@@ -253,7 +258,8 @@ def _choose(scheme: Scheme):
         for x, y in zip(edges, edges[1:]):
             units = _runs(owner[x:y], band[x:y])
             first = units[:-1] + x
-            out.append((int(bucket[x]), group, _pack(owner[first]), _pack(band[first]), _pack(size[first]), _pack(np.diff(units).astype(np.uint32)), _pack(sig[x:y]), _pack(ask[x:y])))
+            counts = np.diff(units).astype(np.uint32)
+            out.append((int(bucket[x]), group, *map(_pack, (owner[first], band[first], size[first], counts, sig[x:y], ask[x:y]))))
         if is_open.any():
             names, which = np.unique(facts["digest"][is_open], return_inverse=True)
             flags = np.zeros(len(names), np.uint8)
@@ -342,7 +348,8 @@ def _crowded(buckets: int):
         for x, y in zip(edges, edges[1:]):
             at = _runs(unit[x:y])
             u = unit[x:y][at[:-1]]
-            out.append((bucket, int(home[x]), _pack(e.digest[u]), _pack(e.band[u]), _pack(e.n[u].astype(np.uint32)), _pack(np.diff(at).astype(np.uint32)), _pack(sig[x:y]), _pack(ask[x:y].astype(np.uint8))))
+            sizes, counts = e.n[u].astype(np.uint32), np.diff(at).astype(np.uint32)
+            out.append((bucket, int(home[x]), *map(_pack, (e.digest[u], e.band[u], sizes, counts, sig[x:y], ask[x:y].astype(np.uint8)))))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(_CHOSEN), _CHOSEN)], schema=_CHOSEN)
 
     return crowded
@@ -429,7 +436,8 @@ def _by_shingle(docs: DataFrame, odd: DataFrame, near: int, of: int) -> DataFram
                 sets = [s for s in sets if len(s)]
                 sizes = [len(s) for s in sets]
                 flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat([digest(s) for s in sets], sizes).astype(np.int64)), pa.array(np.repeat(sizes, sizes).astype(np.int64)), pa.array(flat)], [column, f"n_{column}", "shingle"])
+                keys = [np.repeat(x, sizes).astype(np.int64) for x in ([digest(s) for s in sets], sizes)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*keys, flat)], [column, f"n_{column}", "shingle"])
 
         return explode
 

@@ -38,7 +38,12 @@ WINDOW = 6
 WORDS_KEPT = 300_000
 EDGE = ".,;:!?\"'()[]{}<>«»“”„‘’…-–—*_~/\\|"
 QUOTES = "\"«»“”„‟"
-REPORTING = frozenset("say says said saying write writes wrote written call calls called word words term quote quoted quotes quoting cited alleged comment commented reported insult insulted slur sagt sagte schrieb nannte wort zitat dit disait appelle mot citation dijo dice llamó palabra cita escribió".split())
+REPORTING = {
+    *("say", "says", "said", "saying", "write", "writes", "wrote", "written", "call", "calls", "called", "word", "words", "term"),
+    *("quote", "quoted", "quotes", "quoting", "cited", "alleged", "comment", "commented", "reported", "insult", "insulted", "slur"),
+    *("sagt", "sagte", "schrieb", "nannte", "wort", "zitat", "dit", "disait", "appelle", "mot", "citation"),
+    *("dijo", "dice", "llamó", "palabra", "cita", "escribió"),
+}
 FEATURES = 7
 
 
@@ -196,7 +201,9 @@ def _term_counts(labelled: DataFrame) -> DataFrame:
 
     def flush(counts) -> pa.RecordBatch:
         keys = list(counts[0].keys() | counts[1].keys())
-        out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())], ["term", "stem", "toxic", "other"])
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_())]
+        columns += [pa.array([counts[y][k] for k in keys], pa.int64()) for y in (1, 0)]
+        out = pa.RecordBatch.from_arrays(columns, ["term", "stem", "toxic", "other"])
         counts[0].clear(), counts[1].clear()
         return out
 
