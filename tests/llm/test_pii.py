@@ -51,5 +51,16 @@ def test_context_discovers_unseen_forms(spark):
     assert pii.masked(rows[100 - 60][1], [{"kind": "email", "start": 13, "end": 30}]) == "please mail: <email> today"
 
 
+def test_contexts_far_from_the_seeds(spark):
+    """Seeds at the first word only; from word to word the kind goes on by values that stand at both."""
+    texts = [f"mail: user{i}@host{i}.org" for i in range(300)]
+    texts += [f"{w} first{i}[at]site.777" for i in range(50) for w in ("mail:", "writes")]
+    texts += [f"{w} second{i}[at]site.777" for i in range(6) for w in ("writes", "contact")]
+    texts += ["contact last[at]site.777", "lonely other[at]site.777"]
+    found = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    values = {(r.value, r.kind) for r in found.select(F.explode("found").alias("s")).select("s.*").collect()}
+    assert values == {(f"{v}[at]site.777", "email") for v in [f"first{i}" for i in range(50)] + [f"second{i}" for i in range(6)] + ["last"]}
+
+
 def test_empty_table(spark):
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -4,8 +4,9 @@ Base: e-mail addresses, IP addresses, card and phone numbers by their form. They
 are the seeds and all other tokens that look like identifiers (three digits or more, or an @), its patterns the word before and
 the word after an instance. In turns, a pattern's score for a kind is the mean score of what it stands next to, over all its occurrences
 in the corpus, whatever follows; an identifier's score is that of 1 - (1 - s) .. (1 - s) over its patterns that have at least LEAST_SEEDS different
-instances of the kind and a score of at least SURE. Identifiers at or above ACCEPT join the kind and lend their patterns support in the next
-turn. Words that stand next to identifiers by chance occur too often elsewhere to score.
+instances of the kind and a score of at least SURE. Identifiers at or above ACCEPT join the kind: in the next
+turn they are instances of all their patterns, of those without any seed too. Support only grows, so the turns end: when no identifier is new
+and no score rises by more than SETTLED. Words that stand next to identifiers by chance occur too often elsewhere to score.
 
 Null and empty texts have no spans. Whole texts are searched, in time that grows with their length. Overlapping spans of different kinds are all kept; a found span never
 overlaps a base span. Copies of a text are one witness: instances are told apart by their characters. Rows with null or repeated
@@ -27,10 +28,10 @@ from toolloom.llm.common import renamed, stored
 from toolloom.llm.words import Words, chunks
 
 KINDS = ("email", "ip", "card", "phone")
-TURNS = 3
 LEAST_SEEDS = 5
 SURE = 0.5
 ACCEPT = 0.8
+SETTLED = 1e-6
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -182,25 +183,29 @@ def patterns_and_instances(scanned: DataFrame, docs: DataFrame) -> tuple[DataFra
     both = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("before", "after")])
     sides = seen.select("kind", "value", F.explode(both).alias("p"))
     edges = stored(sides.where("p.text <> ''").groupBy("p.side", "p.text", "value", "kind").agg(F.count(F.lit(1)).alias("times")))
-    support = edges.where("kind is not null").groupBy("side", "text", "kind").agg(F.count_distinct("value").alias("values"))
-    usable = support.where(F.col("values") >= LEAST_SEEDS).select("side", "text").distinct()
-    totals = _hashed(usable, "text").join(_word_counts(docs), "word").groupBy("side", "text").agg(F.sum("n").alias("total"))
-    totals = stored(totals)
-    edges = stored(edges.join(totals, ["side", "text"]))
-    open_ = edges.where("kind is null").select("side", "text", "value").distinct()
-    patterns = accepted = None
-    for _ in range(TURNS):
+    # a pattern never counts that would have too few instances or too low a score if all it stands next to were accepted
+    most = edges.groupBy("side", "text").agg(F.count_distinct("value").alias("values"), F.sum("times").alias("most")).where(F.col("values") >= LEAST_SEEDS)
+    counted = _hashed(most.select("side", "text", "most"), "text").join(_word_counts(docs), "word").groupBy("side", "text").agg(F.max("most").alias("most"), F.sum("n").alias("total"))
+    totals = stored(counted.where(F.col("most") >= SURE * F.col("total")).select("side", "text", "total"))
+    edges = stored(edges.join(totals, ["side", "text"]).drop("total"))
+    seeds = edges.where("kind is not null").select("side", "text", "kind", "value", F.col("times").cast("double").alias("mass"))
+    open_ = edges.where("kind is null").drop("kind")
+    accepted = None
+    while True:
         # the value of an edge with a kind counts for that kind, that of one without for every kind that it was accepted for
-        seeds = edges.where("kind is not null").groupBy("side", "text", "kind").agg(F.sum("times").cast("double").alias("mass"), F.count_distinct("value").alias("values"))
         mass = seeds
         if accepted is not None:
-            more = edges.where("kind is null").drop("kind").join(accepted, "value").groupBy("side", "text", "kind").agg(F.sum(F.col("times") * F.col("score")).alias("mass"), F.count_distinct("value").alias("values"))
-            mass = seeds.unionByName(more).groupBy("side", "text", "kind").agg(F.sum("mass").alias("mass"), F.sum("values").alias("values"))
-        scored = mass.join(totals, ["side", "text"]).withColumn("score", F.least(F.col("mass") / F.col("total"), F.lit(1.0)))
-        patterns = stored(scored.where((F.col("values") >= LEAST_SEEDS) & (F.col("score") >= SURE)).select("side", "text", "kind", "score"))
+            mass = seeds.unionByName(open_.join(accepted, "value").select("side", "text", "kind", "value", (F.col("times") * F.col("score")).alias("mass")))
+        held = mass.groupBy("side", "text", "kind").agg(F.sum("mass").alias("mass"), F.count_distinct("value").alias("values")).where(F.col("values") >= LEAST_SEEDS)
+        scored = held.join(totals, ["side", "text"]).withColumn("score", F.least(F.col("mass") / F.col("total"), F.lit(1.0)))
+        patterns = stored(scored.where(F.col("score") >= SURE).select("side", "text", "kind", "score"))
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))
+        before = accepted
         accepted = stored(open_.join(patterns, ["side", "text"]).groupBy("value", "kind").agg((1 - doubt).alias("score")).where(F.col("score") >= ACCEPT))
-        if accepted.isEmpty():
+        rise = accepted
+        if before is not None:
+            rise = accepted.join(before.withColumnRenamed("score", "was"), ["value", "kind"], "left").where(F.col("was").isNull() | (F.col("score") - F.col("was") > SETTLED))
+        if rise.isEmpty():
             break
     return patterns, accepted
 
