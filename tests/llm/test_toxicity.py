@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -46,6 +47,25 @@ def test_automaton_is_edit_distance():
         assert (found[0] if found else None) == best, word
 
 
+def test_terms_are_left_out_only_where_a_beginning_finds_them():
+    row = lambda term, stem, toxic: SimpleNamespace(term=term, stem=stem, toxic=toxic, other=0)
+    found = [row("pig", False, 40), row("pigface", False, 10), row("pigh", True, 9), row("assh", True, 30), row("ass", False, 8), row("asshat", False, 7), row("asshol", True, 6)]
+    terms = tx._choose_terms(found, 100, 100)
+    assert [t[:2] for t in terms] == [("pig", False), ("assh", True), ("pigface", False), ("pigh", True), ("ass", False)]
+    scanner = tx.Scanner(terms)
+    clean = scanner.features("some day")
+    assert all(scanner.features(f"some {w} day") != clean for w in ("pig", "pigface", "pighead", "ass", "asshat", "asshole"))
+    heavier = tx.Lexicon([("ass", True, 1.0), ("assh", True, 3.0)])
+    assert heavier.match("asshat") == (0, 1) and heavier.match("asset") == (0, 0)
+
+
+def test_beginnings_stand_by_words_that_no_term_before_finds(spark):
+    texts = [("a kretinoid here", 1)] * 30 + [(f"some kretal{x} there", 1) for x in "abcd"] * 5 + [("a fine day", 0)] * 60
+    sample = spark.createDataFrame(texts, "text string, toxic int")
+    terms = [("kretinoid", False, 9.0), ("kretinoi", True, 9.0), ("kret", True, 9.0), ("kretal", True, 9.0)]
+    assert [t[:2] for t in tx._own_evidence(sample, terms, 2, 50, 60)] == [("kretinoid", False), ("kret", True)]
+
+
 def test_context_tells_quotation():
     words = lambda t: t.lower().split()
     assert tx.quotation(words('he said "you moron" to me'), 3) >= 1

@@ -92,8 +92,7 @@ class Lexicon:
             self.states[key] = len(self.sets)
             self.sets.append(key), self.steps.append({})
             found = [(edits, number) for node, edits in key for number in self.ends[node] if edits <= self.allowed(*self.terms[number][:2])]
-            best = lambda some: min(((e, n) for e, n in some), key=lambda x: (x[0], -self.terms[x[1]][2], x[1]), default=None)
-            self.whole.append(best(found)), self.begun.append(best([x for x in found if self.terms[x[1]][1]]))
+            self.whole.append(self._nearer(*found)), self.begun.append(self._nearer(*[x for x in found if self.terms[x[1]][1]]))
         return self.states[key]
 
     def _step(self, state: int, letter: str) -> int:
@@ -110,7 +109,7 @@ class Lexicon:
         return found
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(edits, number) of the nearest term, if any."""
+        """(edits, number) of the nearest term, if any; of equally near ones the heaviest."""
         if len(self.sets) > 200_000:
             self.__init__(self.terms)
         state, best = self.start, None
@@ -119,12 +118,12 @@ class Lexicon:
             state = self._step(state, letter) if following is None else following
             if state < 0:
                 return best
-            if (begun := self.begun[state]) and (best is None or begun < best):
-                best = begun
-                if best[0] == 0:
-                    return best
-        whole = self.whole[state]
-        return whole if whole and (best is None or whole < best) else best
+            if begun := self.begun[state]:
+                best = self._nearer(best, begun)
+        return self._nearer(best, self.whole[state])
+
+    def _nearer(self, *found: tuple[int, int] | None) -> tuple[int, int] | None:
+        return min((x for x in found if x), key=lambda x: (x[0], -self.terms[x[1]][2], x[1]), default=None)
 
 
 class Scanner:
@@ -211,21 +210,61 @@ def _term_counts(labelled: DataFrame) -> DataFrame:
 
 
 def _choose_terms(found: list, n_toxic: int, n_other: int) -> list[tuple[str, bool, float]]:
-    """The terms in the order of texts times weight; of words and beginnings that continue each other only the first."""
+    """The terms in the order of texts times weight, without those that continue a beginning taken before, which finds all their words."""
     scored = []
     for r in found:
         odds = math.log((r.toxic + 0.5) / (n_toxic + 1)) - math.log((r.other + 0.5) / (n_other + 1))
         scored.append((-round(r.toxic * odds, 6), -len(r.term) - (not r.stem), r.term, r.stem, odds))
-    taken: dict[str, bool] = {}
+    beginnings: set[str] = set()
     terms = []
     for _, _, term, stem, odds in sorted(scored):
-        if any(term[:n] in taken for n in range(1, len(term) + 1)) or any(t.startswith(term) for t in taken):
+        if any(term[:n] in beginnings for n in range(1, len(term) + 1)):
             continue
-        taken[term] = stem
+        if stem:
+            beginnings.add(term)
         terms.append((term, stem, odds))
     return terms
 
 
+def _own_evidence(sample: DataFrame, terms: list[tuple[str, bool, float]], least: int, n_toxic: int, n_other: int) -> list[tuple[str, bool, float]]:
+    """The terms that pass by the words that no term before finds; their weights are those of these words.
+
+    To the driver comes, for each text, by which terms its words are found, each combination once.
+    """
+    number = {(text, stem): i for i, (text, stem, _) in enumerate(terms)}
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            rows = []
+            for text in part.column("text").to_pylist():
+                found = set()
+                for w in {w.strip(EDGE) for w in (text or "").lower().split()}:
+                    by = [number[k] for k in [(w, False), *((w[:n], True) for n in PREFIXES if n <= len(w))] if k in number]
+                    if by:
+                        found.add(tuple(by))
+                rows.append([list(x) for x in found])
+            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(rows, pa.list_(pa.list_(pa.int32())))], ["toxic", "found"])
+
+    texts: dict[tuple[int, ...], tuple[set[int], set[int]]] = {}
+    for i, r in enumerate(sample.mapInArrow(find, "toxic int, found array<array<int>>").collect()):
+        for by in r.found:
+            texts.setdefault(tuple(by), (set(), set()))[r.toxic].add(i)
+    finds: dict[int, list[tuple[int, ...]]] = {}
+    for by in texts:
+        for i in by:
+            finds.setdefault(i, []).append(by)
+    kept: set[int] = set()
+    out = []
+    for i, (text, stem, _) in enumerate(terms):
+        left = [texts[by] for by in finds.get(i, []) if kept.isdisjoint(by)]
+        other, toxic = (len(set().union(*(x[y] for x in left))) for y in (0, 1))
+        odds = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((other + 0.5) / (n_other + 1))
+        if toxic >= least and odds - 1.5 * math.sqrt(1 / (toxic + 0.5) + 1 / (other + 0.5)) > math.log(4):
+            kept.add(i)
+            out.append((text, stem, odds))
+    return out
+
+
 def _regression(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Logistic regression by Newton steps."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -263,7 +302,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1.0)) - F.log((F.col("other") + 0.5) / (n[0] + 1.0))
     sure = odds - 1.5 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
     found = _term_counts(sample).where((F.col("toxic") >= least) & (sure > math.log(4))).orderBy(F.desc(F.col("toxic") * odds), "term", "stem").limit(MOST_TERMS).collect()
-    terms = _choose_terms(found, n[1], n[0])
+    terms = _own_evidence(sample, _choose_terms(found, n[1], n[0]), least, n[1], n[0])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(terms)
