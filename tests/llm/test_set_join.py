@@ -98,6 +98,24 @@ def test_empty_table_and_repeated_rows(spark):
     assert sorted(set_join.near_groups(frame).collect(), key=str) == sorted([(3, 1, 3), (3, 1, 3), (None, 1, 3), (None, 0, None), (None, 1, None)], key=str)
 
 
+def test_more_buckets_than_signatures(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = [(7, " ".join(f"w{i}" for i in range(100)))]
+        assert found(spark, rows) == brute.groups(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_null_ids_do_not_multiply(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(12)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    sizes = set_join._sizes(docs)
+    sets = set_join._sets(docs, sizes.select("digest"), sizes.select("doc_id", "digest"))
+    joined = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert sets.count() == 12 and "(digest#" in joined[joined.index("Join Inner") :].split("\n")[0]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 95)], "a long, b long")
     labels = {r.node: r.label for r in components(edges).collect()}

@@ -200,6 +200,8 @@ def _shared(groups: int):
             u, x, p = (slice(e[g], e[g + 1]) for e in (units, rows, news))
             if u.stop > u.start or p.stop > p.start:
                 out.append((bucket, g, *map(_pack, (owner[unit[u]], band[unit[u]], n[u].astype(np.uint32), sig[x], common[x], facts[p]))))
+        if not out:
+            return _SHARED.empty_table()
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SHARED)], schema=_SHARED)
 
     return shared
@@ -398,12 +400,18 @@ def _pairs(scheme: Scheme, turn: int):
 def _sets(docs: DataFrame, wanted: DataFrame, sizes: DataFrame) -> DataFrame:
     """digest, shingles (packed) of the wanted digests; each from one document that has it."""
     one = sizes.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("d")).select(F.col("digest").alias("wanted"), F.col("d.doc_id").alias("id"))
-    texts = docs.join(one, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "wanted")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            found = [digest(s) for s in Words(part.column("text")).shingle_sets()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(found, pa.int64())], ["doc_id", "text", "digest"])
+
+    # by both: rows with null or repeated ids do not multiply
+    texts = docs.mapInArrow(digests, "doc_id long, text string, digest long").join(one, (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
-            found = [(w, _pack(s)) for w, s in zip(part.column("wanted").to_pylist(), Words(part.column("text")).shingle_sets()) if digest(s) == w]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], ["digest", "shingles"])
+            yield pa.RecordBatch.from_arrays([part.column("wanted"), pa.array([_pack(s) for s in Words(part.column("text")).shingle_sets()], pa.binary())], ["digest", "shingles"])
 
     return texts.mapInArrow(sets, "digest long, shingles binary").dropDuplicates(["digest"])
 
