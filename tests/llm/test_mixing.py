@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from toolloom.llm import mixing
@@ -43,7 +44,8 @@ def test_targets_and_totals(spark):
         taken[r.source] = taken.get(r.source, 0) + r.taken
     assert len(found) == len(rows)
     assert all(abs(taken[s] - want[s]) <= 300 for s in want)
-    assert sorted(map(str, found)) == sorted(map(str, mixing.mix(frame.repartition(7)).collect()))
+    for parts in (1, 7, 13):
+        assert sorted(map(str, found)) == sorted(map(str, mixing.mix(frame.repartition(parts)).collect()))
 
 
 def test_rates_meet_the_targets_before_rounding(spark):
@@ -56,3 +58,9 @@ def test_keep_columns_and_empty_table(spark):
     frame = spark.createDataFrame(corpus(3, 20), "doc_id long, text string, source string, size int")
     assert {r.kept_size for r in mixing.mix(frame, keep=["size", "text"]).collect()} == set(range(20))
     assert mixing.mix(frame.where("false")).count() == 0
+
+
+def test_a_mix_that_does_not_settle_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    with pytest.raises(ArithmeticError):
+        mixing.mix(spark.createDataFrame(corpus(4), "doc_id long, text string, source string, size int"))

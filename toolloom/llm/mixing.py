@@ -4,11 +4,11 @@ A document of size x gets the rate 2 / (1 + exp(-(b + l * x / m))): the rates ne
 base rate that meet the token target of each source, tilted exponentially by size, never above MOST copies. b belongs to
 the base rate, m is the mean size of the source's words, and l is the source's multiplier, the solution of the convex dual, found by
 Newton steps that are kept inside a bracket. Every step is one aggregation over the counts of (source, size), which
-hold all that the dual depends on.
+hold all that the dual depends on; its sums are of integers, so neither partitioning nor retries change a rate.
 
 Rates become copies by a hash of the id: whole copies, and one more where the hash falls below the fraction. The
 source's offset to that comparison is then set from sums by hash bucket so that the words taken meet the target as
-near as one bucket of documents allows. No rows are drawn at random: reruns agree.
+near as one bucket of documents allows. No rows are drawn at random: reruns agree in every column.
 
 Null texts and ids are allowed (size 0; one null id hashes as the text "null"); documents of size 0 take 0 words. Null
 is a source of its own, after all others. Rows with equal id and size share their fate. Sources without words have target 0. Empty tables
@@ -69,44 +69,59 @@ def _rate(base: float, tilt: Column, x: Column) -> Column:
     return MOST / (1 + F.exp(-(F.lit(base) + tilt * x)))
 
 
+def _exactly(words: Column, factor: Column, bits: int) -> Column:
+    """Sum of words * factor with the factor cut to so many binary places: integers, so the order of rows is of no matter."""
+    whole = F.floor(factor * float(1 << bits)).cast("decimal(18,0)")
+    return F.coalesce(F.sum(words.cast("decimal(19,0)") * whole), F.lit(0)).cast("double") / float(1 << bits)
+
+
+def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Joins on the source, null being one; the right side's other columns come along."""
+    named = right.withColumnRenamed("source", "_source")
+    return left.join(named, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
+
+
 def tilts(sizes: DataFrame, wanted: DataFrame, base: float) -> DataFrame:
     """wanted with scale, full and tilt. sizes: source, size, n (documents); wanted: source, source_size, target.
 
-    One aggregation a step; what comes to the driver is three sums for each source.
+    One aggregation a step; the multipliers and their brackets are a table of one row per source, written at each step.
+    Only the question whether any is still open comes to the driver. A source that STEPS steps don't settle is an error.
     """
-    spark = sizes.sparkSession
-    sums = F.sum(F.col("n") * F.col("size") * F.col("size")), F.sum(F.col("n") * F.col("size"))
-    scale = sizes.groupBy(F.col("source").alias("s")).agg((sums[0] / F.greatest(sums[1], F.lit(1))).alias("scale"))
-    begin = wanted.join(scale, F.col("source").eqNullSafe(F.col("s"))).select("source", "source_size", "target", "scale").collect()
-    state = {r.source: r.asDict() | {"full": r.target >= MOST * r.source_size * (1 - 1e-12), "tilt": 0.0, "low": None, "high": None} for r in begin}
-    schema = "source string, source_size long, target double, scale double, full boolean, tilt double"
-    frame = lambda rows: spark.createDataFrame([tuple(r[k] for k in ("source", "source_size", "target", "scale", "full", "tilt")) for r in rows], schema)
+    squares = F.sum((F.col("n") * F.col("size")).cast("decimal(19,0)") * F.col("size").cast("decimal(18,0)")).cast("double")
+    scale = sizes.groupBy("source").agg((squares / F.greatest(F.sum(F.col("n") * F.col("size")), F.lit(1))).alias("scale"))
+    full = F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12)
+    none = F.lit(None).cast("double")
+    begin = _same_source(wanted, scale).select("source", "source_size", "target", "scale", full.alias("full"), F.lit(0.0).alias("tilt"), none.alias("low"), none.alias("high"))
+    state = stored(begin.withColumn("open", ~F.col("full") & (F.col("source_size") > 0)))
     x = F.col("size") / F.col("scale")
     rate = _rate(base, F.col("tilt"), x)
     words = F.col("n") * F.col("size")
-    open_ = [r for r in state.values() if not r["full"] and r["source_size"] > 0]
     for _ in range(STEPS):
-        if not open_:
-            break
-        joined = sizes.where("size > 0").withColumnRenamed("source", "s").join(frame(open_), F.col("source").eqNullSafe(F.col("s")))
-        step = joined.groupBy("source").agg(F.sum(words * rate).alias("taken"), F.sum(words * x * rate * (1 - rate / MOST)).alias("slope"))
-        for found in step.collect():
-            _newton(state[found.source], found.taken, found.slope)
-        open_ = [r for r in open_ if not r.get("done")]
-    return frame(state.values())
-
-
-def _newton(r: dict, taken: float, slope: float) -> None:
-    """One step of a source's multiplier: Newton's if it stays inside the bracket, else the bracket is halved or widened."""
-    if abs(taken - r["target"]) <= CLOSE * r["target"]:
-        r["done"] = True
-        return
-    low, high = r["low"], r["high"]
-    low, high = (low, r["tilt"]) if taken > r["target"] else (r["tilt"], high)
-    new = r["tilt"] + (r["target"] - taken) / slope if slope > 0 else math.inf
-    if not ((low is None or new > low) and (high is None or new < high) and abs(new - r["tilt"]) < 8 * (1 + abs(r["tilt"]))):
-        new = min(2 * high, high - 1) if low is None else max(2 * low, low + 1) if high is None else (low + high) / 2
-    r["low"], r["high"], r["tilt"] = low, high, new
+        if state.where("open").isEmpty():
+            return state.drop("low", "high", "open")
+        joined = _same_source(sizes.where("size > 0"), state.where("open"))
+        taken = _exactly(words, rate, 52).alias("taken")
+        slope = _exactly(words, x * rate * (1 - rate / MOST), 30).alias("slope")
+        state = stored(_newton(_same_source(state, joined.groupBy("source").agg(taken, slope), "left")))
+    if not state.where("open").isEmpty():
+        raise ArithmeticError(f"{STEPS} steps did not settle the mix: {state.where('open').drop('low', 'high').limit(5).collect()}")
+    return state.drop("low", "high", "open")
+
+
+def _newton(state: DataFrame) -> DataFrame:
+    """One step of each open multiplier: Newton's if it stays inside the bracket, else the bracket is halved or widened."""
+    gap = F.col("target") - F.col("taken")
+    moves = F.col("open") & (F.abs(gap) > CLOSE * F.col("target"))
+    above = gap < 0
+    bracket = state.withColumn("open", moves).withColumns(
+        {"low": F.when(moves & ~above, F.col("tilt")).otherwise(F.col("low")), "high": F.when(moves & above, F.col("tilt")).otherwise(F.col("high"))}
+    )
+    tilt, low, high = F.col("tilt"), F.col("low"), F.col("high")
+    step = F.when(F.col("slope") > 0, tilt + gap / F.col("slope"))
+    inside = F.coalesce(step > low, F.lit(True)) & F.coalesce(step < high, F.lit(True)) & (F.abs(step - tilt) < 8 * (1 + F.abs(tilt)))
+    other = F.when(low.isNull(), F.least(2 * high, high - 1)).when(high.isNull(), F.greatest(2 * low, low + 1)).otherwise((low + high) / 2)
+    new = F.when(step.isNotNull() & inside, step).otherwise(other)
+    return bracket.withColumn("tilt", F.when(F.col("open"), new).otherwise(tilt)).drop("taken", "slope")
 
 
 def _with_rates(docs: DataFrame, plan: DataFrame, base: float) -> DataFrame:
@@ -119,8 +134,7 @@ def _with_rates(docs: DataFrame, plan: DataFrame, base: float) -> DataFrame:
     u = (F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     gap = u - (F.col("rate") - F.col("whole"))
     return (
-        docs.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .drop("s")
+        _same_source(docs, plan)
         .withColumn("rate", rate)
         .withColumn("whole", F.floor("rate"))
         .withColumn("bucket", F.least(F.floor((gap + 1) / 2 * BUCKETS), F.lit(BUCKETS - 1)))
@@ -141,10 +155,8 @@ def plan_mix(sized: DataFrame, weights: Sequence[float], share: float) -> tuple[
     sums = found.withColumn("sure", F.sum("sure").over(inside)).withColumn("upto", F.col("sure") + F.sum(F.when(F.col("bucket").isNotNull(), F.col("words"))).over(inside.orderBy("bucket")))
     # the last bucket whose end is not farther from the target than its begin
     nearer = F.abs(F.col("upto") - F.col("target")) <= F.abs(F.col("upto") - F.col("words") - F.col("target"))
-    cuts = {r.source: r.cut for r in sums.where("bucket is not null").where(nearer).groupBy("source").agg(F.max("bucket").alias("cut")).collect()}
-    rows = [(*r, cuts.get(r.source, -1)) for r in tilted.collect()]
-    schema = "source string, source_size long, target double, scale double, full boolean, tilt double, cut long"
-    return sized.sparkSession.createDataFrame(rows, schema), base
+    cuts = sums.where("bucket is not null").where(nearer).groupBy("source").agg(F.max("bucket").alias("cut"))
+    return stored(_same_source(tilted, cuts, "left").withColumn("cut", F.coalesce("cut", F.lit(-1)))), base
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: Sequence[str] = ()) -> DataFrame:
