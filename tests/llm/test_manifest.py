@@ -1,0 +1,115 @@
+import hashlib
+import random
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from toolloom.llm import manifest
+from toolloom.llm.queries import llm_checks, llm_queries
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tree int, rank int, digest string, id int"
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(x):
+    return "-" if x is None else f"{len(str(x).encode())}:{x}"
+
+
+def leaf_of(row, text):
+    doc, _, lang, source, n, *_ = row
+    return H(*map(field, (doc, source, lang, n, text)))
+
+
+def levels(nodes):
+    while len(nodes) > 1:
+        nodes = [H(*nodes[i : i + 3]) for i in range(0, len(nodes), 3)]
+    return nodes[0]
+
+
+def siblings(nodes, at):
+    found = []
+    while len(nodes) > 1:
+        run = nodes[at - at % 3 : at - at % 3 + 3]
+        found += [[run[: at % 3], run[at % 3 + 1 :]]]
+        nodes = [H(*nodes[i : i + 3]) for i in range(0, len(nodes), 3)]
+        at //= 3
+    return found
+
+
+def brute(rows):
+    trees = {}
+    for row in rows:
+        trees.setdefault(row[3], []).append((row[0] is not None, row[0] or 0, leaf_of(row, row[1]), row))
+    names = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    for s in names:
+        trees[s].sort(key=lambda x: x[:3])
+    subroots = [levels([x[2] for x in trees[s]]) for s in names]
+    root, out = levels(subroots), []
+    for place, s in enumerate(names):
+        digests = [x[2] for x in trees[s]]
+        for at, (_, _, leaf, row) in enumerate(trees[s]):
+            path = siblings(digests, at) + siblings(subroots, place)
+            now = row[1]
+            if row[0] is not None and now is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                now = now.replace("\n", "")
+            fold = leaf_of(row, now)
+            for left, right in path:
+                fold = H(*left, fold, *right)
+            out.append((row[0], leaf, subroots[place], root, H(*[d for p in path for side in p for d in side]), fold, fold == root))
+    return sorted(out, key=str)
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        text = rng.choice([None, "", "a\nb", "x", "é\n\n", "long " * 2000])
+        rows.append((i * 7 % 1000, text, rng.choice(["en", None]), "hot" if rng.random() < 0.4 else rng.choice(["a", "B", "é", None, "", "ab", "z"]), rng.choice([None, i]), 1, 2, "d", 4))
+    return rows
+
+
+def query(spark, rows, tmp_path):
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    return sorted(map(tuple, llm_queries()["op12_manifest"](spark, str(tmp_path)).collect()), key=str)
+
+
+@pytest.mark.parametrize("n", [1, 4, 130])
+def test_equals_brute_force(spark, tmp_path, n):
+    rows = corpus(n, n)
+    if n > 100:
+        rows += [rows[5], rows[5], (None, "no id\n", "en", "hot", 1, 1, 2, "d", 4), (None, None, None, "hot", 1, 1, 2, "d", 4)]
+    assert query(spark, rows, tmp_path) == brute(rows)
+    columns = "doc_id, leaf, subroot, root, proof_sha256, folded_root, verified"
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(connection.execute(f"select {columns} from ({llm_checks()['op12_manifest']})").fetchall(), key=str) == brute(rows)
+
+
+def test_an_empty_table_has_no_rows(spark, tmp_path):
+    assert query(spark, [], tmp_path) == []
+
+
+def test_some_leaves_are_requested(spark):
+    leaves = spark.range(100).select(F.when(F.col("id") % 3 > 0, F.lit("t")).alias("tree"), F.col("id").alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    leaves = manifest.ranked(leaves, "tree", ["n"]).cache()
+    assert [r.rank for r in leaves.where("tree = 't'").orderBy("n").collect()] == list(range(66))
+    every = {(r.tree, r.rank): r for r in manifest.proofs(leaves.drop("n")).collect()}
+    wanted = spark.createDataFrame([("t", 0), ("t", 65), (None, 17)], "tree string, rank long")
+    some = {(r.tree, r.rank): r for r in manifest.proofs(leaves.drop("n"), wanted).collect()}
+    assert len(every) == 100 and some == {k: every[k] for k in (("t", 0), ("t", 65), (None, 17))}
+    folded = manifest.proofs(leaves.drop("n")).where(manifest.folded(F.col("digest"), F.col("proof")) != F.col("root"))
+    assert folded.isEmpty()
+
+
+def test_heights(spark):
+    found = spark.range(1, 800).select("id", manifest._height(F.col("id")).alias("h")).collect()
+
+    def height(n):
+        return 0 if n == 1 else 1 + height(-(-n // 3))
+
+    assert all(r.h == height(r.id) for r in found)

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolloom.llm import chunk_dedup, decontaminate, lm_score, mixing, pii, quality, set_join, threads, token_files, toxicity
+from toolloom.llm import alignment, chunk_dedup, decontaminate, lm_score, manifest, mixing, pii, quality, set_join, threads, token_files, toxicity
+from toolloom.llm.checks import llm_checks
 from toolloom.llm.common import crc_remainder, table
 
 
@@ -69,9 +70,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    parts = alignment.aligned_parts(table(spark, sf_dir, "documents"), *files)
+    found = alignment.align(parts, alignment.pair_counts(parts))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = F.when(crc_remainder(docs["doc_id"], 2) == 0, F.replace(docs["text"], F.lit("\n"), F.lit(""))).otherwise(docs["text"])
+    found = manifest.verify(docs, {"text": cut})
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_chunk_dedup, op3_threads, op4_lm_score, op5_mixing, op6_personal_data, op7_set_join, op8_token_files, op9_toxicity, op10_quality_rules)}
+    dealt = (
+        op1_decontaminate, op2_chunk_dedup, op3_threads, op4_lm_score, op5_mixing, op6_personal_data, op7_set_join, op8_token_files,
+        op9_toxicity, op10_quality_rules, op11_alignment, op12_manifest,
+    )
+    return {f.__name__: f for f in dealt}
 
 
-def llm_checks() -> dict[str, str]:
-    return {}
+__all__ = ["llm_checks", "llm_queries"]
