@@ -68,5 +68,23 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path,
 FROM folded"""
 
 
+METRIC_JOIN = """WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.98 ELSE FALSE END
+),
+reached(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+least AS (SELECT x, min(y) AS y FROM reached GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id, vec_id <= coalesce(y, vec_id) AS kept
+FROM embeddings LEFT JOIN counted ON counted.x = vec_id LEFT JOIN least ON least.x = vec_id"""
+
+
 def llm_checks() -> dict[str, str]:
-    return {"op12_manifest": MANIFEST}
+    return {"op12_manifest": MANIFEST, "op13_metric_join": METRIC_JOIN}

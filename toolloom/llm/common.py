@@ -57,3 +57,17 @@ def crc_remainder(key: Column, by: int) -> Column:
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) where value is worked out once, even if body uses it inside the functions of arrays."""
     return F.get(F.transform(F.array(value), body), 0)
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", share: int = 1000) -> DataFrame:
+    """left joined to right, which has one row for each key, however many rows of left have the same key.
+
+    Keys that hold more than 1 / share of left's rows are fewer than share: their rows of right are broadcast, and only
+    the others are shuffled. Both sides are read several times, so they should be stored. Null keys join nothing.
+    """
+    many = left.count() / share
+    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > many).select(*keys)
+    hot_rows = F.broadcast(right.join(F.broadcast(hot), keys, "left_semi").withColumn("_hot", F.lit(True)))
+    marked = left.join(hot_rows.select(*keys, "_hot"), keys, "left")
+    others = marked.where("_hot is null").drop("_hot").join(right, keys, how)
+    return left.join(hot_rows.drop("_hot"), keys).unionByName(others)

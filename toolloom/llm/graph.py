@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import stored
+from toolloom.llm.common import join_hot, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,3 +24,21 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
         if after.where("moved").isEmpty():
             return labels
+
+
+def spread_components(edges: DataFrame) -> DataFrame:
+    """As components, but a node of very many edges, or a label that very many nodes share, is no one task's work.
+
+    The labels of such nodes are broadcast, which are a thousand at most; see join_hot.
+    """
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b"))
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    while True:
+        near = join_hot(both, labels.select(F.col("node").alias("b"), "label"), ["b"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        better = stored(labels.join(near, "node", "left").select("node", F.least("label", "near").alias("new"), F.col("label").alias("old")))
+        jump = better.select(F.col("node").alias("new"), F.col("new").alias("further"))
+        least = F.least("new", "further")
+        after = stored(join_hot(better, jump, ["new"], "left").select("node", least.alias("label"), (least < F.col("old")).alias("moved")))
+        labels = after.select("node", "label")
+        if after.where("moved").isEmpty():
+            return labels

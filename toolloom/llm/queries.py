@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolloom.llm import alignment, chunk_dedup, decontaminate, lm_score, manifest, mixing, pii, quality, set_join, threads, token_files, toxicity
+from toolloom.llm import alignment, chunk_dedup, decontaminate, lm_score, manifest, metric_join, mixing, pii, quality, set_join, threads, token_files, toxicity
 from toolloom.llm.checks import llm_checks
 from toolloom.llm.common import crc_remainder, table
 
@@ -84,10 +84,15 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = metric_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     dealt = (
         op1_decontaminate, op2_chunk_dedup, op3_threads, op4_lm_score, op5_mixing, op6_personal_data, op7_set_join, op8_token_files,
-        op9_toxicity, op10_quality_rules, op11_alignment, op12_manifest,
+        op9_toxicity, op10_quality_rules, op11_alignment, op12_manifest, op13_metric_join,
     )
     return {f.__name__: f for f in dealt}
 
