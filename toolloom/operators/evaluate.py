@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from toolloom.functions import jsonx
+from toolloom.functions import jsonx, sql
 from toolloom.functions.jsonx import variant_kind, variant_kind_sql
 from toolloom.operators.samples import SAMPLE_ORDER
+from toolloom.sources.scratch import written
 
 CONTAINERS = ("object", "array")
+# Rows that a top-n sort may bring together in one task.
+SMALL = 10_000
 _MAP = "map<string,variant>"
 
 
@@ -23,26 +26,71 @@ def take_first(df: DataFrame, n: int | None, order_col: str | list[str], dense:
     """The first ``n`` rows by ``order_col``, one column or several; None or 0 keeps all.
 
     With a ``dense`` order column (0, 1, 2, ... as the sample reader numbers
-    rows) this is a filter; otherwise a top-n sort.
+    rows) this is a filter. Up to ``SMALL`` rows are a top-n sort, in which a task
+    keeps no more than these. Beyond that the n-th key is looked up (see
+    :func:`_upto`) and rows are compared with it; they come in no order.
     """
     if not n:
         return df
     order = [order_col] if isinstance(order_col, str) else list(order_col)
-    return df.where(F.col(order[0]) < n) if dense else df.orderBy(*order).limit(n)
+    if dense:
+        return df.where(F.col(order[0]) < n)
+    return df.orderBy(*order).limit(n) if n <= SMALL else _upto(df, n, order)
+
+
+def _upto(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """First n rows without any task that sorts them all.
+
+    The keys alone are dealt into ranges and written. The ranges' sizes tell in which the
+    n-th key is, and only that range is ranked. Rows before that key are in; of
+    those with the very same key as many as are still wanted.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[F.col(sql.name(c)) for c in order])
+    keys = written(df.select(key.alias("key")).repartitionByRange(ranges, "key").withColumn("piece", F.spark_partition_id()))
+    rest = n
+    for piece, size in sorted(tuple(r) for r in keys.groupBy("piece").count().collect()):  # one row a range
+        if rest <= size:
+            break
+        rest -= size
+    else:
+        return df
+    ranked = keys.where(F.col("piece") == piece).withColumn("rank", F.row_number().over(Window.partitionBy("piece").orderBy("key")))
+    first_alike = ranked.withColumn("alike", F.min("rank").over(Window.partitionBy("piece", "key")))
+    # the n-th key and how many rows with that very key are wanted
+    border = first_alike.where(F.col("rank") == rest).select(F.struct("key", (F.col("rank") - F.col("alike") + 1).alias("wanted")).alias("border"))
+    known = df.withColumn("_key", key).withColumn("_border", border.scalar())
+    sooner = known.where(F.col("_key") < F.col("_border.key"))
+    alike = known.where(F.col("_key") == F.col("_border.key"))
+    chosen = alike.withColumn("_rank", F.row_number().over(Window.partitionBy("_key").orderBy("_key"))).where(F.col("_rank") <= F.col("_border.wanted"))
+    return sooner.select(*df.columns).unionByName(chosen.select(*df.columns))
+
+
+def ranked_predictions(predictions: DataFrame) -> tuple[list[str], Column]:
+    """The columns of an answer that are there, and a struct of which the least is the answer that counts.
+
+    One without an error comes first, then one with a text, then by text, time and tokens.
+    """
+    wanted = [c for c in ("generated", "inference_time", "num_tokens", "error") if c in predictions.columns]
+    worse = [F.col(c).isNotNull() if c == "error" else F.col(c).isNull() for c in ("error", "generated") if c in wanted]
+    ranks = [w.alias(f"_worse{i}") for i, w in enumerate(worse)]
+    return wanted, F.struct(*ranks, *wanted) if wanted else F.struct(F.lit(True).alias("_found"))
 
 
 def pair_predictions(samples: DataFrame, predictions: DataFrame, key: str = "sample_id") -> DataFrame:
     """Each sample with its prediction; one that is missing is an error row.
 
-    Of several predictions for one sample the least counts: one without an error
-    first, then by text, time and tokens.
+    Of several predictions for one sample the best by :func:`ranked_predictions` counts.
     """
-    wanted = [c for c in ("generated", "inference_time", "num_tokens", "error") if c in predictions.columns]
-    ranked = [F.col("error").isNotNull().alias("_failed"), *wanted] if "error" in wanted else wanted
-    one = predictions.groupBy(key).agg(F.min(F.struct(*ranked)).alias("_one")) if ranked else predictions.select(key).distinct()
+    wanted, rank = ranked_predictions(predictions)
+    one = predictions.groupBy(key).agg(F.min(rank).alias("_one"))
     found = one.select(F.col(key), F.lit(True).alias("_found"), *[F.col(f"_one.{c}") for c in wanted])
-    paired = samples.withColumnRenamed("output", "expected").join(found, key, "left")
-    given = F.col("error") if "error" in wanted else F.lit(None).cast("string")
+    return with_missing(samples.withColumnRenamed("output", "expected").join(found, key, "left"), "error" in wanted)
+
+
+def with_missing(paired: DataFrame, has_error: bool) -> DataFrame:
+    """Samples without a prediction (``_found`` is null) as error rows."""
+    given = F.col("error") if has_error else F.lit(None).cast("string")
     error = F.when(F.col("_found").isNull(), "missing_prediction").otherwise(given)
     return paired.withColumn("error", error).drop("_found")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,18 +22,18 @@ COUNTS = [
     "correct_arguments_count",
 ]
 
+# Registers of a sketch of distinct names, as a power of two.
+SKETCH_BITS = 14
+
 
 def _is_error() -> Column:
     return F.coalesce(F.col("error") != "", F.lit(False))
 
 
-def eval_metrics(results: DataFrame) -> DataFrame:
-    """One row: counts, rates over all rows, and timing; all zero without rows.
-
-    Seconds are summed as decimals, so the sum does not depend on task order.
-    """
+def _totals() -> list[Column]:
+    """What all measures are made of. Seconds are summed as decimals, so the sum does not depend on task order."""
     seconds = F.coalesce(F.sum(F.col("inference_time").cast("decimal(18,6)")), F.lit(0)).cast("double")
-    totals = results.agg(
+    return [
         F.count("*").alias("total_samples"),
         F.count_if("is_valid_json").alias("valid_json_count"),
         F.count_if("name_correct").alias("correct_tool_name_count"),
@@ -39,34 +41,47 @@ def eval_metrics(results: DataFrame) -> DataFrame:
         F.count_if(_is_error()).alias("error_count"),
         seconds.alias("total_inference_time"),
         F.coalesce(F.sum("num_tokens"), F.lit(0)).alias("total_tokens"),
-    )
+    ]
+
+
+def _measures() -> list[Column]:
+    """Counts, rates over all rows and timing, from the totals."""
     total, time = F.col("total_samples"), F.col("total_inference_time")
-    return totals.select(
-        *COUNTS,
+    return [
+        *[F.col(count) for count in COUNTS],
         *[_ratio(F.col(count), total, total > 0).alias(rate) for rate, count in RATES.items()],
-        "total_inference_time",
+        time,
         _ratio(time, total, (total > 0) & (time > 0)).alias("avg_inference_time"),
         _ratio(F.col("total_tokens"), time, time > 0).alias("tokens_per_second"),
-        "error_count",
-    )
+        F.col("error_count"),
+    ]
+
+
+def eval_metrics(results: DataFrame) -> DataFrame:
+    """One row: counts, rates over all rows, and timing; all zero without rows."""
+    return results.agg(*_totals()).select(*_measures())
 
 
 def metrics_by(results: DataFrame, *by: str) -> DataFrame:
-    """Counts and rates for each value of the columns, rolled up to one total row.
+    """All measures for each value of the columns, rolled up to one total row, which equals :func:`eval_metrics`.
 
     ``is_total`` marks the row over everything; null in a column of any other row
     is a subtotal or a null value, told apart by ``level``, Spark's grouping id.
     """
-    totals = results.rollup(*by).agg(
-        F.grouping_id().alias("level"),
-        F.count("*").alias("total_samples"),
-        F.count_if("is_valid_json").alias("valid_json_count"),
-        F.count_if("name_correct").alias("correct_tool_name_count"),
-        F.count_if("arguments_correct").alias("correct_arguments_count"),
-        F.count_if(_is_error()).alias("error_count"),
-    )
-    rates = [_ratio(F.col(count), F.col("total_samples"), F.col("total_samples") > 0).alias(rate) for rate, count in RATES.items()]
-    return totals.select(*by, "level", (F.col("level") == (1 << len(by)) - 1).alias("is_total"), *COUNTS, *rates, "error_count")
+    totals = results.rollup(*by).agg(F.grouping_id().alias("level"), *_totals())
+    return totals.select(*by, "level", (F.col("level") == (1 << len(by)) - 1).alias("is_total"), *_measures())
+
+
+def metrics_by_window(results: DataFrame, time: str, length: str, slide: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """All measures for each window of event time and value of the columns: ``window_start``, ``window_end``, ``by``, measures.
+
+    The same aggregation serves a table and a stream; on a stream with a watermark
+    a window's row comes once the watermark has passed its end. Rows without a time
+    belong to no window. With ``slide`` shorter than ``length`` a row counts in several windows.
+    """
+    spans = F.window(F.col(time), length, slide) if slide else F.window(F.col(time), length)
+    totals = results.groupBy(spans.alias("_span"), *by).agg(*_totals())
+    return totals.select(F.col("_span.start").alias("window_start"), F.col("_span.end").alias("window_end"), *by, *_measures())
 
 
 def _ratio(part: Column, whole: Column, defined: Column) -> Column:
@@ -126,6 +141,30 @@ def dataset_profile(samples: DataFrame) -> DataFrame:
     return counted.withColumn("size_category", size_category(F.col("num_samples")))
 
 
+def profile_parts(samples: DataFrame, *by: str) -> DataFrame:
+    """A profile of each part of a dataset, such as a file, that can be merged: ``by``, ``num_samples``, ``tools``.
+
+    ``tools`` is a sketch of the distinct tool names of a few KB whatever the part's size,
+    so a dataset that grows by a file needs the profile of that file alone.
+    """
+    tool = F.get_json_object("input", "$.function.name")
+    return samples.groupBy(*by).agg(F.count("*").alias("num_samples"), F.hll_sketch_agg(tool, F.lit(SKETCH_BITS)).alias("tools"))
+
+
+def merge_profiles(parts: DataFrame, *by: str) -> DataFrame:
+    """Profiles of parts, such as those of files, as coarser ones; again profiles that can be merged."""
+    return parts.groupBy(*by).agg(F.sum("num_samples").alias("num_samples"), F.hll_union_agg("tools").alias("tools"))
+
+
+def profile_of_parts(parts: DataFrame) -> DataFrame:
+    """:func:`dataset_profile` from the profiles of its parts; ``num_tools`` is an estimate.
+
+    Its relative standard error is 1.04 / 2^(SKETCH_BITS / 2), 0.8 percent; small numbers are exact.
+    """
+    whole = merge_profiles(parts).select(F.coalesce("num_samples", F.lit(0)).alias("num_samples"), F.coalesce(F.hll_sketch_estimate("tools"), F.lit(0)).alias("num_tools"))
+    return whole.withColumn("size_category", size_category(F.col("num_samples")))
+
+
 def size_category(n: Column) -> Column:
     """Size bucket in the notation of dataset cards; a power of ten opens its bucket."""
     steps = ["1K", "10K", "100K", "1M", "10M", "100M", "1B", "10B", "100B", "1T"]

@@ -40,7 +40,7 @@ def expand_prompts(df: DataFrame, templates: Sequence[str] = fixed.PROMPT_TEMPLA
 def generate_samples(
     specs: DataFrame,
     templates: Sequence[str] = fixed.PROMPT_TEMPLATES,
-    namespaces: Sequence[str] | None = None,
+    namespaces: Sequence[str] | DataFrame | None = None,
     seed: int = 42,
     rules: Sequence[Rule] = RULES,
     spread: int | None = LARGE_SPEC,

@@ -13,13 +13,20 @@ from toolloom.functions import tools
 from toolloom.functions.routing import contains_any
 from toolloom.functions.jsonx import OPTIONS
 from toolloom.functions.text import clean_text, strip
+from toolloom.operators.patterns import filter_patterns
 
 # Characters from which on the paths of a document are spread.
 LARGE_SPEC = 1_000_000
 
 
-def filter_namespaces(df: DataFrame, namespaces: Sequence[str] | None = None) -> DataFrame:
-    """Keep rows whose ``path`` contains a namespace; an empty list keeps all."""
+def filter_namespaces(df: DataFrame, namespaces: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """Keep rows whose ``path`` contains a namespace; an empty list keeps all.
+
+    A list becomes one expression. A table with a column ``namespace`` may be of any
+    size: see :func:`toolloom.operators.patterns.match_patterns`.
+    """
+    if isinstance(namespaces, DataFrame):
+        return filter_patterns(df, namespaces)
     wanted = fixed.TARGET_NAMESPACES if namespaces is None else list(namespaces)
     return df.where(contains_any(F.col("path"), wanted)) if wanted else df
 
@@ -102,7 +109,7 @@ def parse_operations(methods: DataFrame) -> DataFrame:
 
 def spec_operations(
     specs: DataFrame,
-    namespaces: Sequence[str] | None = None,
+    namespaces: Sequence[str] | DataFrame | None = None,
     methods: Sequence[str] = fixed.VALID_METHODS,
     spread: int | None = LARGE_SPEC,
     on_error: str = "raise",

@@ -187,24 +187,19 @@ cases(r, generated_t, expected_t, valid, name, args, error) AS ({_values((i, *p)
 pairs AS (
   SELECT event_id AS sample_id, 'Do ' || event_type AS instruction, event_type, r,
     {_FILL.format("generated_t")} AS generated, {_FILL.format("expected_t")} AS expected,
-    value / 100 AS inference_time, user_id AS num_tokens, valid, name, args, error
+    value / 100 AS inference_time, user_id AS num_tokens, valid, name, args, error, ts
   FROM events JOIN cases ON r = event_id % {len(derived.PAIRS)}
 )"""
 
 
-def _metrics(source: str) -> str:
-    return f"""
-counted AS (
-  SELECT count(*) AS total_samples, count(*) FILTER (WHERE valid) AS valid_json_count,
+_TOTALS = """count(*) AS total_samples, count(*) FILTER (WHERE valid) AS valid_json_count,
     count(*) FILTER (WHERE name) AS correct_tool_name_count,
     count(*) FILTER (WHERE args) AS correct_arguments_count,
     count(*) FILTER (WHERE error IS NOT NULL) AS error_count,
     CAST(coalesce(sum(CAST(inference_time AS DECIMAL(18, 6))), 0) AS DOUBLE) AS total_inference_time,
-    CAST(coalesce(sum(num_tokens), 0) AS BIGINT) AS total_tokens
-  FROM {source}
-),
-metrics AS (
-  SELECT total_samples, valid_json_count, correct_tool_name_count, correct_arguments_count,
+    CAST(coalesce(sum(num_tokens), 0) AS BIGINT) AS total_tokens"""
+
+_MEASURES = """total_samples, valid_json_count, correct_tool_name_count, correct_arguments_count,
     CASE WHEN total_samples > 0 THEN valid_json_count / total_samples ELSE 0.0 END AS json_validity_rate,
     CASE WHEN total_samples > 0 THEN correct_tool_name_count / total_samples ELSE 0.0 END AS tool_name_accuracy,
     CASE WHEN total_samples > 0 THEN correct_arguments_count / total_samples ELSE 0.0 END AS argument_accuracy,
@@ -212,9 +207,29 @@ metrics AS (
     total_inference_time,
     CASE WHEN total_samples > 0 AND total_inference_time > 0 THEN total_inference_time / total_samples ELSE 0.0 END AS avg_inference_time,
     CASE WHEN total_inference_time > 0 THEN total_tokens / total_inference_time ELSE 0.0 END AS tokens_per_second,
-    error_count
-  FROM counted
-)"""
+    error_count"""
+
+
+def _metrics(source: str) -> str:
+    return f"""
+counted AS (SELECT {_TOTALS} FROM {source}),
+metrics AS (SELECT {_MEASURES} FROM counted)"""
+
+
+_TOOL = """CASE WHEN contains(expected, '"name": "' || event_type) THEN event_type END"""
+
+
+def _windows(hours: int, every: int, by: str = "") -> str:
+    """Measures of windows of so many hours that begin every so many, counted from the epoch."""
+    begins = f"time_bucket(INTERVAL '{every} hours', ts, TIMESTAMP '1970-01-01') - to_hours({every} * k)"
+    keys = f"window_start, window_end{', ' + by if by else ''}"
+    return f"""WITH {_PAIRS},
+spans AS (
+  SELECT pairs.*, {_TOOL} AS tool, {begins} AS s FROM pairs CROSS JOIN (SELECT unnest(range({hours // every})) AS k)
+),
+placed AS (SELECT *, s AS window_start, s + INTERVAL '{hours} hours' AS window_end FROM spans),
+counted AS (SELECT {keys}, {_TOTALS} FROM placed GROUP BY {keys})
+SELECT {keys}, {_MEASURES} FROM counted"""
 
 
 # Rows of the pairs of which every tenth prediction is missing.
@@ -303,6 +318,16 @@ def _split(key: str) -> str:
     return f"CASE WHEN ('0x' || substr(md5('{fixed.SPLIT_SEED}|' || {key}), 1, 8))::BIGINT < {cut} THEN 'test' ELSE 'train' END"
 
 
+_SIZE_CATEGORY = """CASE WHEN num_samples < 1000 THEN 'n<1K' WHEN num_samples < 10000 THEN '1K<n<10K'
+  WHEN num_samples < 100000 THEN '10K<n<100K' WHEN num_samples < 1000000 THEN '100K<n<1M' ELSE '1M<n<10M' END"""
+
+_NAMESPACES = f"""
+namespaces AS (
+  SELECT p_partkey AS part_id, CASE WHEN p_partkey % 50 = 0 THEN ''
+    ELSE substr({_list(derived.BASES)}[1 + p_partkey % 8], 1 + p_partkey % 5) END || '/' || p_partkey AS namespace FROM part
+)"""
+
+
 def all_checks() -> dict[str, str]:
     return {
         "clean_text_pages": f"SELECT page_id, {_clean('html')} AS cleaned FROM pages",
@@ -352,14 +377,21 @@ FROM part WHERE p_partkey % 12 IN (0, 1, 2, 3, 4, 8)""",
     count(*) OVER () AS n FROM orders GROUP BY o_custkey)
 SELECT o_orderkey, CASE WHEN r <= ceil(n * CAST({fixed.TEST_SIZE} AS DOUBLE)) THEN 'test' ELSE 'train' END AS split
 FROM orders JOIN groups USING (o_custkey)""",
-        "metrics_by_tool": f"""WITH {_PAIRS}, named AS (
-  SELECT *, CASE WHEN contains(expected, '"name": "' || event_type) THEN event_type END AS tool FROM pairs)
-SELECT tool, grouping(tool) = 1 AS is_total, count(*) AS total_samples,
-  count(*) FILTER (WHERE valid) AS valid_json_count, count(*) FILTER (WHERE name) AS correct_tool_name_count,
-  count(*) FILTER (WHERE args) AS correct_arguments_count,
-  count(*) FILTER (WHERE valid) / count(*) AS json_validity_rate, count(*) FILTER (WHERE name) / count(*) AS tool_name_accuracy,
-  count(*) FILTER (WHERE args) / count(*) AS argument_accuracy, count(*) FILTER (WHERE error IS NOT NULL) AS error_count
-FROM named GROUP BY ROLLUP (tool)""",
+        "metrics_by_tool": f"""WITH {_PAIRS}, named AS (SELECT *, {_TOOL} AS tool FROM pairs),
+counted AS (SELECT tool, grouping(tool) = 1 AS is_total, {_TOTALS} FROM named GROUP BY ROLLUP (tool))
+SELECT tool, is_total, {_MEASURES} FROM counted""",
+        "metrics_by_window": _windows(6, 6, "tool"),
+        "metrics_sliding": _windows(24, 6),
+        "stream_metrics": f"""SELECT * FROM ({_windows(6, 6, "tool")}) w
+WHERE window_end <= (SELECT max(ts) - INTERVAL '1 day' FROM events)""",
+        "take_first_half": "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT (SELECT count(*) // 2 FROM lineitem)",
+        "namespace_matches": f"""WITH {_OPS}, {_NAMESPACES}
+SELECT DISTINCT path, namespace FROM numbered JOIN namespaces ON contains(path, namespace)""",
+        "filter_namespace_table": f"""WITH {_OPS}, {_NAMESPACES}
+SELECT spec_id, slot AS path_pos, path, 1 AS method_pos, method FROM called
+WHERE EXISTS (SELECT 1 FROM namespaces WHERE part_id % 50 <> 0 AND contains(path, namespace))""",
+        "dataset_profile_merged": f"""WITH {_TOOLS}, {_ARGS}, {_SAMPLES}, n AS (SELECT count(*) AS num_samples FROM samples)
+SELECT num_samples, {_SIZE_CATEGORY} AS size_category, TRUE AS num_tools_near FROM n""",
         "filter_requests": f"WITH {_REQUESTS} SELECT request_id, request FROM wanted",
         "route_tool": f"WITH {_REQUESTS} SELECT request_id, {_cascade()} AS tool_key FROM requests",
         "lookup_tool": f"""WITH {_REQUESTS}, keyed AS (
@@ -410,8 +442,7 @@ SELECT json_validity_rate * 100 AS json_validity_rate, tool_name_accuracy * 100
         "eval_errors": f"""WITH {_PAIRS}
 SELECT sample_id AS index, instruction, error FROM pairs WHERE error IS NOT NULL""",
         "dataset_profile": f"""WITH {_TOOLS}, {_ARGS}, {_SAMPLES}, n AS (SELECT count(*) AS num_samples, (SELECT count(DISTINCT tool_name) FROM tools) AS num_tools FROM samples)
-SELECT num_samples, num_tools, CASE WHEN num_samples < 1000 THEN 'n<1K' WHEN num_samples < 10000 THEN '1K<n<10K'
-  WHEN num_samples < 100000 THEN '10K<n<100K' WHEN num_samples < 1000000 THEN '100K<n<1M' ELSE '1M<n<10M' END AS size_category FROM n""",
+SELECT num_samples, num_tools, {_SIZE_CATEGORY} AS size_category FROM n""",
         "generate_tool_calls": """WITH sized AS (SELECT doc_id, CAST(length(text) AS BIGINT) AS n FROM documents)
 SELECT doc_id, CASE WHEN n % 10 = 3 THEN NULL WHEN n % 2 = 1 THEN '{"chars": ' || n || '}' ELSE 'chars: ' || n END AS generated,
   CASE WHEN n % 10 = 3 THEN 0 ELSE n % 7 END AS num_tokens,

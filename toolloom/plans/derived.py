@@ -190,8 +190,14 @@ def _filled(template: Column) -> Column:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(sample_id, instruction, expected, generated, inference_time, num_tokens)`` from events."""
+    return timed_pairs(read(spark, sf_dir, "events")).drop("ts")
+
+
+def timed_pairs(events: DataFrame) -> DataFrame:
+    """The pairs with ``ts``, the event's time; events may be a stream."""
     case = F.col("event_id") % len(PAIRS)
-    return read(spark, sf_dir, "events").select(
+    return events.select(
+        "ts",
         F.col("event_id").alias("sample_id"),
         F.concat(F.lit("Do "), "event_type").alias("instruction"),
         _filled(_at([p[1] for p in PAIRS], case)).alias("expected"),
@@ -260,3 +266,12 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("role = 'user'")
         .select((F.col("conv_id") * 1000 + F.col("turn")).alias("request_id"), text.alias("request"))
     )
+
+
+def namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(part_id, namespace)``: the end of a base and a number for each part; for some parts the number alone."""
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_id"))
+    base = _at(BASES, F.col("part_id") % 8)
+    ending = F.substr(base, (F.col("part_id") % 5 + 1).cast("int"))
+    named = F.concat(F.when(F.col("part_id") % 50 == 0, "").otherwise(ending), F.lit("/"), F.col("part_id"))
+    return part.select("part_id", named.alias("namespace"))

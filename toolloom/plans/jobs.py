@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from toolloom import fixed_values as fixed
 from toolloom.functions import chat
 from toolloom.operators.chat import flag_overlength, prompt_column, training_text
-from toolloom.operators.evaluate import evaluate_samples, take_first
+from toolloom.operators.evaluate import evaluate_samples
 from toolloom.operators.inference import batch_generate
 from toolloom.operators.samples import generate_samples
 from toolloom.operators.split import train_test_split
@@ -64,7 +64,7 @@ def evaluate_file(
     **options,
 ) -> DataFrame:
     """Samples through the predictor to a report; returns the metrics row."""
-    samples = take_first(read_samples(spark, sample_path), max_samples, "sample_id", dense=True)
+    samples = read_samples(spark, sample_path, first=max_samples)
     prompted = samples.withColumn("prompt", prompt_column(F.col("instruction"), F.col("input"), system, style))
     answered = batch_generate(prompted, make_predictor, **options)
     results = evaluate_samples(answered.withColumnRenamed("output", "expected").drop("prompt", "input"))

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from toolloom.functions import jsonx
 from toolloom.functions.routing import route_tool
 from toolloom.functions.text import clean_text
-from toolloom.operators import chat, evaluate, inference, metrics, requests, samples, spec
+from toolloom.operators import chat, evaluate, inference, metrics, patterns, requests, samples, spec
 from toolloom.operators.split import train_test_split
 from toolloom.plans import derived
 from toolloom.sources.catalogue import default_catalogue
+from toolloom.sources.scratch import scratch_folder
+from toolloom.streaming.evaluation import stream_metrics
+from toolloom.streaming.requests import write_stream
 
 _OPERATION_KEYS = ["spec_id", "path_pos", "path", "method_pos", "method"]
 
@@ -90,6 +93,21 @@ def _take_first(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.take_first(pairs, 500, "sample_id")
 
 
+def _take_first_half(spark: SparkSession, d: str) -> DataFrame:
+    rows = derived.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return evaluate.take_first(rows, rows.count() // 2, ["l_orderkey", "l_linenumber"])
+
+
+def _namespace_matches(spark: SparkSession, d: str) -> DataFrame:
+    paths = spec.spec_paths(derived.specs(spark, d))
+    return patterns.match_patterns(paths, derived.namespaces(spark, d))
+
+
+def _filter_namespace_table(spark: SparkSession, d: str) -> DataFrame:
+    wanted = derived.namespaces(spark, d).where("part_id % 50 <> 0")
+    return spec.spec_operations(derived.specs(spark, d), wanted).select(*_OPERATION_KEYS)
+
+
 def _catalogued_samples(spark: SparkSession, d: str) -> DataFrame:
     """Routed requests as samples with an answer made of the tool's key."""
     routed = requests.route_requests(derived.requests(spark, d), default_catalogue(spark))
@@ -207,7 +225,31 @@ def _eval_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def _metrics_by_tool(spark: SparkSession, d: str) -> DataFrame:
     named = _results(spark, d).withColumn("tool", F.get_json_object("expected", "$.name"))
-    return metrics.metrics_by(named, "tool").drop("level", "overall_accuracy")
+    return metrics.metrics_by(named, "tool").drop("level")
+
+
+def _timed_results(events: DataFrame) -> DataFrame:
+    return evaluate.evaluate_samples(derived.timed_pairs(events)).withColumn("tool", F.get_json_object("expected", "$.name"))
+
+
+def _metrics_by_window(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.metrics_by_window(_timed_results(derived.read(spark, d, "events")), "ts", "6 hours", by=["tool"])
+
+
+def _metrics_sliding(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.metrics_by_window(_timed_results(derived.read(spark, d, "events")), "ts", "1 day", "6 hours")
+
+
+def _stream_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The events as a stream, run until all is read; windows that the watermark has not passed are still open and not there."""
+    schema = derived.read(spark, d, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]")  # a stream's path may be one file only as a pattern
+    timed = _timed_results(events).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = stream_metrics(timed, "ts", "6 hours", late="1 day", by=["tool"])
+    folder = scratch_folder(spark)
+    write_stream(rows, f"{folder}/rows", f"{folder}/progress", availableNow=True).awaitTermination()
+    closed = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 def _metrics_report(spark: SparkSession, d: str) -> DataFrame:
@@ -230,6 +272,16 @@ def _dataset_profile(spark: SparkSession, d: str) -> DataFrame:
     return metrics.dataset_profile(samples.generate_samples(derived.specs(spark, d)))
 
 
+def _dataset_profile_merged(spark: SparkSession, d: str) -> DataFrame:
+    """From profiles of 16 parts; the estimate is held against the exact number, which it may miss by 4 percent."""
+    parts = F.pmod(F.xxhash64("spec_id"), F.lit(16)).alias("part")
+    made = samples.generate_samples(derived.specs(spark, d)).select("*", parts)
+    merged = metrics.profile_of_parts(metrics.profile_parts(made, "part"))
+    exact = metrics.dataset_profile(made).select(F.col("num_tools").alias("exact"))
+    near = (F.abs(F.col("num_tools") - F.col("exact")) <= F.lit(0.04) * F.col("exact")).alias("num_tools_near")
+    return merged.join(F.broadcast(exact)).select("num_samples", "size_category", near)  # one row each
+
+
 def stub_predictor() -> inference.Predictor:
     """Answers a prompt with its length; refuses some, to show that rows fail alone."""
 
@@ -288,4 +340,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eval_errors": _eval_errors,
         "dataset_profile": _dataset_profile,
         "generate_tool_calls": _generate_tool_calls,
+        "dataset_profile_merged": _dataset_profile_merged,
+        "stream_metrics": _stream_metrics,
+        "metrics_sliding": _metrics_sliding,
+        "metrics_by_window": _metrics_by_window,
+        "filter_namespace_table": _filter_namespace_table,
+        "namespace_matches": _namespace_matches,
+        "take_first_half": _take_first_half,
     }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,32 +14,56 @@ from toolloom.operators.samples import SAMPLE_COLUMNS
 _ROW_IN_TASK = (1 << 33) - 1
 
 
-def read_samples(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(sample_id, instruction, input, output)``, numbered 0, 1, 2, ... in file order.
+def read_samples(spark: SparkSession, path: str | list[str], first: int | None = None) -> DataFrame:
+    """``(sample_id, instruction, input, output)``, numbered 0, 1, 2, ... in file order; blank lines don't count.
 
     A missing path is an error from Spark, and so is a line that is not JSON.
-    No sample at all is a ValueError.
+    No sample at all is a ValueError. With ``first`` only that many samples are
+    read, and only the files that hold them are opened; lines after them are not parsed.
     """
-    lines = spark.read.schema(schemas.SAMPLE).option("mode", "FAILFAST").json(path)
+    lines = _lines(spark, path)
     if lines.isEmpty():
         raise ValueError(f"dataset is empty: {path}")
-    return _numbered(lines)
+    numbered = _numbered(_lines(spark, _first_files(spark, lines, first)) if first else lines)
+    kept = numbered.where(F.col("sample_id") < first) if first else numbered
+    parsed = F.from_json("value", schemas.SAMPLE, {"mode": "FAILFAST"})
+    return kept.select("sample_id", parsed.alias("_sample")).select("sample_id", *[F.col(f"_sample.{c}") for c in SAMPLE_COLUMNS])
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines that are not blank, as text, with where they come from."""
+    placed = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    return placed.where(F.length(F.btrim("value", F.lit(" \t\r"))) > 0)
+
+
+def _first_files(spark: SparkSession, lines: DataFrame, first: int) -> list[str]:
+    """The least number of files, in their order, that hold the first lines: counted one, two, four, ... at a time."""
+    files = [_plain(f) for f in sorted(lines.inputFiles())]
+    known, taken = 0, 0
+    while taken < len(files):
+        more = files[taken : taken + max(1, taken)]
+        counts = {_plain(r["_file"]): r["count"] for r in _lines(spark, more).groupBy("_file").count().collect()}
+        for file in more:
+            known, taken = known + counts.get(file, 0), taken + 1
+            if known >= first:
+                return files[:taken]
+    return files
+
+
+def _plain(file: str) -> str:
+    """A file's name as a path to read; Spark writes local ones with one slash or three, and some signs encoded."""
+    return unquote(re.sub("^file:/+", "file:///", file))
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
     """Dense row numbers without sorting or shuffling the rows.
 
-    A first pass counts the rows of every file split. Running totals give each
+    A first pass counts the lines of every file split, without parsing them. Running totals give each
     split its first number: inside its file, and over the files, so that no task
     sees more than the splits of one file or one row per file. How the table of splits
     is joined is left to Spark.
     """
-    placed = lines.select(
-        *SAMPLE_COLUMNS,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK)).alias("_row"),
-    )
+    placed = lines.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK)))
     before = Window.unboundedPreceding, -1
     counts = placed.groupBy("_file", "_start").agg(F.count("*").alias("_count"), F.min("_row").alias("_first"))
     in_file = F.sum("_count").over(Window.partitionBy("_file").orderBy("_start").rowsBetween(*before))
@@ -45,9 +72,7 @@ def _numbered(lines: DataFrame) -> DataFrame:
     begins = files.select("_file", F.coalesce(over_files, F.lit(0)).alias("_begin"))
     splits = counts.withColumn("_earlier", F.coalesce(in_file, F.lit(0))).join(begins, "_file")
     splits = splits.select("_file", "_start", (F.col("_begin") + F.col("_earlier") - F.col("_first")).alias("_shift"))
-    return placed.join(splits, ["_file", "_start"]).select(
-        (F.col("_row") + F.col("_shift")).alias("sample_id"), *SAMPLE_COLUMNS
-    )
+    return placed.join(splits, ["_file", "_start"]).select((F.col("_row") + F.col("_shift")).alias("sample_id"), "value")
 
 
 def write_samples(samples: DataFrame, path: str) -> str:
