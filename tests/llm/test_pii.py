@@ -62,5 +62,22 @@ def test_contexts_far_from_the_seeds(spark):
     assert values == {(f"{v}[at]site.777", "email") for v in [f"first{i}" for i in range(50)] + [f"second{i}" for i in range(6)] + ["last"]}
 
 
+def test_neighbours_at_any_distance_and_of_any_length(spark):
+    """120 spaces between the word and its value; no-break spaces belong to words; words of 300 characters."""
+    long_word = "Wort" * 75
+    texts = [f"mail:{' ' * (1 + i % 2 * 119)}user{i}@host{i}.org" for i in range(60)] + [f"mail:{' ' * 120}bob[at]site77.123"]
+    texts += [f"{long_word} +1 626 555 57{i}" for i in range(10, 40)] + [f"{long_word.lower()}\n\n00-62-65-55"]
+    texts += [f"no\u00a0break 10.0.0.{i}" for i in range(30)] + ["no\u00a0break addr-1234", "break addr-9999"]
+    found = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    values = {(r.value, r.kind) for r in found.select(F.explode("found").alias("s")).select("s.*").collect()}
+    assert values == {("bob[at]site77.123", "email"), ("00-62-65-55", "phone"), ("addr-1234", "ip")}
+
+
+def test_neighbours_of_many_spans_in_one_word_take_linear_time():
+    text = "w " + "a@b.cd," * 30_000 + " " + "x" * 200_000
+    near = pii._Neighbours(text)
+    assert {near(a, b) for _, a, b in pii.base_spans(text)} == {("w", pii._named("x" * 200_000))}
+
+
 def test_empty_table(spark):
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0

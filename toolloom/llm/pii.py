@@ -8,14 +8,16 @@ instances of the kind and a score of at least SURE. Identifiers at or above ACCE
 turn they are instances of all their patterns, of those without any seed too. Support only grows, so the turns end: when no identifier is new
 and no score rises by more than SETTLED. Words that stand next to identifiers by chance occur too often elsewhere to score.
 
-Null and empty texts have no spans. Whole texts are searched, in time that grows with their length. Overlapping spans of different kinds are all kept; a found span never
+Null and empty texts have no spans. Whole texts are searched, in time that grows with their length; the word next to an instance counts
+whatever its distance and length. Overlapping spans of different kinds are all kept; a found span never
 overlaps a base span. Copies of a text are one witness: instances are told apart by their characters. Rows with null or repeated
-ids are searched like any other. An empty table gives an empty result. Other columns are not looked at.
+ids are searched like any other; of equal scores all count. An empty table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,7 @@ LEAST_SEEDS = 5
 SURE = 0.5
 ACCEPT = 0.8
 SETTLED = 1e-6
+LONG_WORD = 100
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -107,17 +110,30 @@ def _lowered(text: str) -> str:
     return text.encode().lower().decode()  # A-Z only
 
 
-def _neighbours(text: str, begin: int, end: int) -> tuple[str, str]:
-    """The words before and after, lower-cased A-Z; empty at the text's bounds."""
-    a = begin
-    while a > 0 and not text[a - 1].isspace():
-        a -= 1
-    before = text[max(0, a - 100) : a].split()
-    b = end
-    while b < len(text) and not text[b].isspace():
-        b += 1
-    after = text[b : b + 100].split()
-    return _lowered(before[-1]) if before else "", _lowered(after[0]) if after else ""
+def _named(word: str) -> str:
+    """A word lower-cased A-Z; a very long one by its hash behind a space, which no word has."""
+    if len(word) <= LONG_WORD:
+        return _lowered(word)
+    return f" {Words(pa.array([word])).hash.view(np.int64)[0]}"
+
+
+class _Neighbours:
+    """The words before and after spans of a text, whatever is between; empty at the text's bounds."""
+
+    def __init__(self, text: str):
+        self.words = [m.span() for m in _TOKEN.finditer(text)]
+        self.begins = [a for a, _ in self.words]
+        self.text, self.known = text, {}
+
+    def _word(self, i: int) -> str:
+        if not 0 <= i < len(self.words):
+            return ""
+        if i not in self.known:
+            self.known[i] = _named(self.text[slice(*self.words[i])])
+        return self.known[i]
+
+    def __call__(self, begin: int, end: int) -> tuple[str, str]:
+        return self._word(bisect_right(self.begins, begin) - 2), self._word(bisect_left(self.begins, end))
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("before", pa.string()), ("after", pa.string())])
@@ -136,8 +152,8 @@ def _scan(docs: DataFrame) -> DataFrame:
                 if "@" not in text and not _HAS_DIGIT(text):
                     rows.append(([], []))
                     continue
-                spans = base_spans(text)
-                describe = lambda kind, a, b: (kind, a, b, text[a:b], *_neighbours(text, a, b))
+                spans, near = base_spans(text), _Neighbours(text)
+                describe = lambda kind, a, b: (kind, a, b, text[a:b], *near(a, b))
                 rows.append(([describe(*s) for s in spans], [describe(None, *s) for s in identifiers(text, spans)]))
             names = [f.name for f in _SPAN]
             column = lambda i: pa.array([[dict(zip(names, s)) for s in r[i]] for r in rows], pa.list_(_SPAN))
@@ -172,7 +188,12 @@ def _hashed(frame: DataFrame, column: str) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(Words(batch.column(column)).hash.view(np.int64))], [*batch.schema.names, "word"])
+            words = batch.column(column)
+            hashes = Words(words).hash.view(np.int64).copy()
+            for i, word in enumerate(words.to_pylist()):
+                if word[0] == " ":  # a very long word is its hash
+                    hashes[i] = int(word)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes)], [*batch.schema.names, "word"])
 
     return frame.mapInArrow(add, T.StructType([*frame.schema, T.StructField("word", T.LongType())]))
 
