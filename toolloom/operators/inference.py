@@ -6,7 +6,8 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +78,49 @@ def _predict(predict: Predictor, prompts: list, max_new_tokens: int, temperature
         return [(None, 0.0, 0, "generation_failed", str(failure))]
 
 
+def read_ledger(spark: SparkSession, path: str, key: str = "sample_id") -> DataFrame:
+    """One row for each key of a ledger, the one written last, without ``turn``."""
+    rows = spark.read.parquet(path)
+    columns = [c for c in rows.columns if c not in (key, "turn")]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*columns), "turn").alias("_last"))
+    return last.select(key, *[F.col(f"_last.{c}") for c in columns])
+
+
+def generate_resumable(
+    df: DataFrame,
+    make_predictor: Callable[[], Predictor],
+    path: str,
+    key: str = "sample_id",
+    rounds: int = 16,
+    retry_errors: bool = False,
+    **options,
+) -> DataFrame:
+    """:func:`batch_generate` with a ledger at ``path``: a run that is stopped goes on where it was.
+
+    The rows are dealt into ``rounds`` by a hash of their key, and what a round has
+    predicted is appended when it ends. A later run leaves out the keys of the ledger
+    (an anti join) and so repeats the unfinished round at most; with ``retry_errors``
+    keys that have only errors are tried again. New rows in ``df`` are predicted, rows no longer in it stay in
+    the ledger but are not returned. Returns :func:`read_ledger` for the keys of ``df``; rows without a key are left out.
+    """
+    spark, turn, ledger = df.sparkSession, 0, None
+    keyed = df.where(F.col(key).isNotNull())
+    try:
+        ledger = spark.read.parquet(path)
+        turn = 1 + (ledger.agg(F.max("turn")).first()[0] or 0)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    if ledger is not None:
+        finished = ledger.where("error is null") if retry_errors else ledger
+        keyed = keyed.join(finished.select(key), key, "left_anti")
+    for number in range(rounds):
+        mine = keyed.where(F.pmod(F.xxhash64(F.lit(17), key), F.lit(rounds)) == number)
+        answered = batch_generate(mine, make_predictor, **options).withColumn("turn", F.lit(turn))
+        answered.write.mode("append").parquet(path)
+    return read_ledger(spark, path, key).join(df.select(key), key, "left_semi")
+
+
 def generate_tool_calls(df: DataFrame, make_predictor: Callable[[], Predictor], **options) -> DataFrame:
     """:func:`batch_generate`, then ``parsed`` (VARIANT, NULL when not JSON)."""
     jsonx.keep_last_of_repeated_keys(df.sparkSession)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolloom import fixed_values as fixed
+from toolloom.functions.numbers import round_half_even
 
 RATES = {
     "json_validity_rate": "valid_json_count",
@@ -95,12 +96,13 @@ def eval_errors(results: DataFrame, index: str = "sample_id") -> DataFrame:
 
 def metrics_report(metrics: DataFrame) -> DataFrame:
     """Metrics rounded for a report; the unrounded ones stay authoritative."""
+    rounded = lambda name, places: round_half_even(F.col(name), places)
     return metrics.select(
         *COUNTS,
-        *[F.round(rate, 4).alias(rate) for rate in RATES],
-        F.round("total_inference_time", 2).alias("total_inference_time_seconds"),
-        F.round("avg_inference_time", 4).alias("avg_inference_time_seconds"),
-        F.round("tokens_per_second", 2).alias("tokens_per_second"),
+        *[rounded(rate, 4).alias(rate) for rate in RATES],
+        rounded("total_inference_time", 2).alias("total_inference_time_seconds"),
+        rounded("avg_inference_time", 4).alias("avg_inference_time_seconds"),
+        rounded("tokens_per_second", 2).alias("tokens_per_second"),
         "error_count",
     )
 

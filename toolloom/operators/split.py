@@ -31,23 +31,44 @@ def train_test_split(
     """
     if not 0 < test_size < 1:
         raise ValueError("test_size must be between 0 and 1")
-    chosen = key if group_by is None else group_by
-    keys = [chosen] if isinstance(chosen, str) else list(chosen)
-    score = F.expr(hash32(f"concat_ws('|', '{seed}', {', '.join(sql.name(k) for k in keys)})"))
+    keys, score = _scored(group_by or key, seed)
     if mode == "hash":
         is_test = score < int(test_size * HASH_RANGE)
         return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
     if mode == "exact":
-        return _exact(df, keys, score, test_size, group_by is not None)
+        return split_at(df, split_border(df, key, test_size, seed, group_by), key, seed, group_by)
     raise ValueError(f"unknown mode: {mode}")
 
 
+def _scored(key: str | list[str], seed: int) -> tuple[list[str], Column]:
+    keys = [key] if isinstance(key, str) else list(key)
+    return keys, F.expr(hash32(f"concat_ws('|', '{seed}', {', '.join(sql.name(k) for k in keys)})"))
+
+
+def split_at(df: DataFrame, border: DataFrame, key: str | list[str], seed: int = fixed.SPLIT_SEED, group_by: str | list[str] | None = None) -> DataFrame:
+    """Add ``split`` by the border of an exact split, which may have been kept from an earlier state of the table.
+
+    Kept, it moves no row that was there: rows added since are dealt out by the same
+    border. A new one from :func:`split_border` makes the size exact again and
+    moves only rows that lie between the two.
+    """
+    keys, score = _scored(group_by or key, seed)
+    place = F.struct(score.alias("score"), *[F.col(sql.name(k)) for k in keys])
+    return df.withColumn("split", F.when(place <= border.select("place").scalar(), "test").otherwise("train"))
+
+
+def split_border(df: DataFrame, key: str | list[str], test_size: float = fixed.TEST_SIZE, seed: int = fixed.SPLIT_SEED, group_by: str | list[str] | None = None) -> DataFrame:
+    """``place``: one row, the last place (score and keys) of the test side of an exact split. Write it to keep it."""
+    keys, score = _scored(group_by or key, seed)
+    return _exact(df, keys, score, test_size, group_by is not None)
+
+
 def _exact(df: DataFrame, keys: list[str], score: Column, test_size: float, grouped: bool) -> DataFrame:
-    """Exact size without ordering all rows, from two scans of the keys alone.
+    """The border of the exact size without ordering all rows, from two scans of the keys alone.
 
     A histogram of the score, of a fixed number of buckets, tells in which
     bucket the test side ends, and a second look at that bucket after which
-    score and key. Every row is then compared with that one.
+    score and key.
     """
     place = F.struct(score.alias("score"), *[F.col(sql.name(k)) for k in keys])
     places = df.select(place.alias("place"))
@@ -63,5 +84,4 @@ def _exact(df: DataFrame, keys: list[str], score: Column, test_size: float, grou
     )
     end = bucketed.withColumn("last", last.scalar()).where(F.col("bucket") == F.col("last.bucket"))
     ranked = end.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("place")))
-    border = ranked.where(F.col("rank") == F.col("last.rest")).select("place")
-    return df.withColumn("split", F.when(place <= border.scalar(), "test").otherwise("train"))
+    return ranked.where(F.col("rank") == F.col("last.rest")).select("place")
