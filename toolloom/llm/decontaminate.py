@@ -5,7 +5,8 @@ starting where the item would start. A window gets the SimHash of its shingles;
 RADIUS + 1 blocks of bits, so any two fingerprints that differ in at most RADIUS bits meet in a block.
 Candidates of equal word number within the radius are verified by the exact weighted similarity of the distinct shingles: weight of
 the shared ones over weight of all. A shingle weighs 1 + ln(items / items that have it), one of no item 1 + ln(items).
-A window as near as SIMILARITY shares a shingle with its item, and differs from it in 10 bits on average, so neither step loses near windows.
+A window as near as SIMILARITY shares a shingle with its item, and differs from it in 10 bits on average. The fingerprint is unweighted, though, and the
+similarity weighted: of 150 planted windows of similarity 0.807 or more RADIUS lets 141 pass.
 
 Shingles are five words, lower-cased A-Z. An item of fewer words has its whole word sequence as one shingle; an item
 without words is nothing to look for. Null and empty texts hold nothing. Windows that the document's begin or end cuts are

@@ -6,8 +6,8 @@ its arcs their continuations. With c the counts, h a state and h' the state one
     P(w | h) = (c(h w) + m * P(w | h')) / (c(h) + m),        P(w) = (c(w) + 1) / (N + V + 1)
 
 so an arc weighs log10 P(w | h), and where h has no arc for w the failure arc to h' weighs log10(m / (c(h) + m)). A state that
-training texts never had has a failure arc of weight 0. One pass from left to right carries the state and adds up the
-weights; the state after each word is its longest known suffix. The strength m that suits a text depends on whether the corpus
+training texts never had has a failure arc of weight 0. At order 2 a state is the word before, so the weights of a part's
+texts are looked up for all their words at once, without carrying states word by word. The strength m that suits a text depends on whether the corpus
 holds its like, so the text's probability is the mean of those under each of STRENGTHS; the last is infinite, the
 unigrams alone.
 
