@@ -22,7 +22,8 @@ def match_patterns(texts: DataFrame, patterns: DataFrame, text: str = "path", pa
     looked up by one piece only: the one that the fewest texts have, of ``gram``
     characters, or the whole of a shorter pattern. Texts and patterns meet in an equi
     join on pieces, and ``contains`` decides. Patterns with a piece that no text
-    has are gone before. The empty pattern is in every text; nulls match nothing.
+    has are gone before. Pieces compress so well that Spark takes large tables of them for
+    small ones, so the joins are told not to broadcast. The empty pattern is in every text; nulls match nothing.
     """
     lines = texts.select(F.col(text).alias("_text")).where("_text is not null").distinct()
     wanted = patterns.select(F.col(pattern).alias("_pattern")).where("_pattern is not null").distinct()
@@ -33,9 +34,9 @@ def match_patterns(texts: DataFrame, patterns: DataFrame, text: str = "path", pa
     cut = lines.withColumn("_size", F.explode(lengths))
     cut = cut.select("_text", F.explode(_grams(F.col("_text"), F.col("_size"))).alias("_gram"))
     seen = cut.groupBy("_gram").agg(F.count("*").alias("_seen"))
-    rarest = pieces.join(seen, "_gram", "left").groupBy("_pattern").agg(F.min(F.struct(F.coalesce("_seen", F.lit(0)).alias("seen"), "_gram")).alias("_best"))
+    rarest = pieces.join(seen.hint("merge"), "_gram", "left").groupBy("_pattern").agg(F.min(F.struct(F.coalesce("_seen", F.lit(0)).alias("seen"), "_gram")).alias("_best"))
     index = rarest.where("_best.seen > 0").select("_pattern", F.col("_best._gram").alias("_gram"))
-    met = cut.join(index, "_gram").where(F.col("_text").contains(F.col("_pattern")))
+    met = cut.join(index.hint("merge"), "_gram").where(F.col("_text").contains(F.col("_pattern")))
     return met.select(F.col("_text").alias(text), F.col("_pattern").alias(pattern))
 
 
@@ -43,5 +44,5 @@ def filter_patterns(df: DataFrame, patterns: DataFrame, text: str = "path", patt
     """Rows whose text contains a pattern of the table; a table without patterns keeps all, as an empty list does."""
     found = match_patterns(df, patterns, text, pattern, gram).select(F.col(text).alias("_found")).distinct()
     none = patterns.where(F.col(pattern).isNotNull()).agg((F.count("*") == 0).alias("none")).scalar()
-    marked = df.withColumn("_none", none).join(found, F.col(text) == F.col("_found"), "left")
+    marked = df.withColumn("_none", none).join(found.hint("merge"), F.col(text) == F.col("_found"), "left")
     return marked.where(F.col("_none") | F.col("_found").isNotNull()).select(*df.columns)
