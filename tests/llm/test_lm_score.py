@@ -1,6 +1,9 @@
 import math
+import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from toolloom.llm import lm_score
@@ -52,7 +55,7 @@ def expected(order):
 
 def test_equals_a_plain_automaton(spark):
     frame = spark.createDataFrame([(i, t, "x") for i, t in ROWS], "doc_id long, text string, train string")
-    for order in (1, 2, 3):
+    for order in (1, 2, 3, 4):
         rows = lm_score.score_texts(frame, F.col("doc_id").isin(*TRAIN), order=order).collect()
         want = expected(order)
         assert len(rows) == len(ROWS)
@@ -68,3 +71,26 @@ def test_no_rows_and_nothing_to_train_on(spark):
     frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     (row,) = lm_score.score_texts(frame, F.lit(False)).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.score) == (3, 0, 0, 0.0)
+
+
+def test_states_and_failures():
+    """After a c the longest state is (a c); d is reached from it over (c), b only over the empty state."""
+    texts = pa.array(["a c d", "a c d", "b c d", "a c b"])
+    grams = lm_score.Grams(texts, 3)
+    counts = [c.astype(float) for c in grams.counted(np.array([False, False, True, False]))]
+    counts = [c + x for c, x in zip(counts, grams.counted(np.array([True, False, False, False])))]
+    machine = lm_score.Automaton(grams, counts)
+    met, took = machine.walk()
+    assert machine.size[met].tolist() == [1, 2, 2, 2] * 3 + [1, 2, 2, 1]
+    assert (machine.size[took] - 1).tolist() == [1, 2, 2, 2] * 3 + [1, 2, 0, 0]
+    assert machine.size[machine.fail[met]].tolist() == [0, 1, 1, 1] * 3 + [0, 1, 1, 0]
+
+
+def test_a_text_seen_twice_scores_above_one_seen_once(spark):
+    words = [f"w{i % 97}" for i in range(400)]
+    rng = random.Random(5)
+    texts = [" ".join(rng.sample(words, 60)) for _ in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts + texts[:10])), "doc_id long, text string")
+    scores = {r.doc_id: r.score / r.n_tokens for r in lm_score.score_texts(frame, F.lit(True)).collect()}
+    assert min(scores[i] for i in range(10)) > max(scores[i] for i in range(10, 40))
+    assert all(math.isclose(scores[i], scores[40 + i]) for i in range(10))

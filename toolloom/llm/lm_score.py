@@ -5,18 +5,18 @@ its arcs their continuations. With c the counts, h a state and h' the state one
 
     P(w | h) = (c(h w) + m * P(w | h')) / (c(h) + m),        P(w) = (c(w) + 1) / (N + V + 1)
 
-so an arc weighs log10 P(w | h), and where h has no arc for w the failure arc to h' weighs log10(m / (c(h) + m)). A state that
-training texts never had has a failure arc of weight 0. At order 2 a state is the word before, so the weights of a part's
-texts are looked up for all their words at once, without carrying states word by word. The strength m that suits a text depends on whether the corpus
+so an arc weighs log10 P(w | h), and where h has no arc for w the failure arc to h' weighs log10(m / (c(h) + m)). An arc leads to the longest
+state that ends in its word. One pass from left to right carries the state through each text and notes the arcs; their weights and those of
+the failures on the way are then summed. The strength m that suits a text depends on whether the corpus
 holds its like, so the text's probability is the mean of those under each of STRENGTHS; the last is infinite, the
-unigrams alone.
+unigrams alone. All strengths share the states, so one pass serves them.
 
 No task holds the whole automaton. Documents are dealt over parts; each part sends its own n-grams, counted, to where all parts'
 counts of an n-gram are added, and gets the totals back: the piece of the automaton that its texts can visit.
 
 Null and empty texts have the end as their only token. A-Z count as a-z; words are runs of bytes other than space and
 \\x09-\\x0D. Rows with a null id are scored like others and train if the given condition says so. Repeated rows count as often as they
-occur. Without training texts all known counts are 0. An empty table gives an empty result. Only the named columns are looked at.
+occur, and equal texts get equal scores. A very long text is one walk like any other; its part is held in one task. Without training texts all known counts are 0. An empty table gives an empty result. Only the named columns are looked at.
 
 Words are told apart by 48 bits of their hash, longer n-grams by 40, besides their bucket.
 """
@@ -24,7 +24,9 @@ Words are told apart by 48 bits of their hash, longer n-grams by 40, besides the
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from toolloom.llm.common import shuffle_partitions, stored
 from toolloom.llm.exchange import dealt, long, narrow, short, split_keys, unpacked, wide
 from toolloom.llm.words import Words, chunks, mix
 
-ORDER = 2
+ORDER = 3
 PART_CHARS = 6_000_000
 KEY_BYTES = (6, 5)
 STRENGTHS = (4.0, 64.0, 1024.0, 16384.0, math.inf)
@@ -137,25 +139,80 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TOTALS)], schema=_TOTALS)
 
 
+class Automaton:
+    """The states that the texts of a part can visit, with their arcs and failure arcs.
+
+    Number 0 is the empty state; every n-gram has a number above, as the arc of its last word from the state of the words before it (source)
+    and, if it is shorter than order, as the state of its words. fail: the n-gram without its first word. target: the state an arc leads
+    to. arcs[k]: for each token of the texts the arc from a state of k words, -1 where training texts have none. Words alone always have one.
+    """
+
+    def __init__(self, grams: Grams, counts: list[np.ndarray]):
+        order, n = len(grams.keys), len(grams.at[0])
+        first = np.cumsum([1, *map(len, grams.keys)])
+        number = [np.where(at >= 0, at + f, 0) for at, f in zip(grams.at, first)]
+        self.count = np.concatenate(([0], *counts))
+        self.size = np.zeros(first[-1], np.int64)
+        self.fail, self.source = np.zeros_like(self.size), np.zeros_like(self.size)
+        self.levels = [slice(a, b) for a, b in zip(first, first[1:])]
+        for k, level in enumerate(self.levels):
+            self.size[level] = k + 1
+            if k:
+                self.fail[number[k]] = number[k - 1]
+                self.source[number[k][1:]] = number[k - 1][:-1]
+        self.start = 0
+        if order > 1:
+            begin = first[1] + grams.start
+            self.size[begin] = 1
+            self.source[number[1][grams.bound[:-1]]] = begin
+            self.start = int(begin) if self.count[begin] > 0 else 0
+        self.fail[0] = self.source[0] = 0
+        has_state = (self.size < order) & (self.count > 0)
+        self.target = np.where(has_state, np.arange(len(self.size)), self.fail)
+        self.arcs = [number[0], *[np.where(self.count[x] > 0, x, -1) for x in number[1:]]]
+        self.bound, self.tokens = grams.bound, n
+
+    def walk(self) -> tuple[np.ndarray, np.ndarray]:
+        """One pass over the texts, from left to right: the state in which each token was met, and the arc it took from there or after failures."""
+        met, took = array("q"), array("q")
+        size, fail, target = map(memoryview, (self.size, self.fail, self.target))
+        arcs = [memoryview(x) for x in self.arcs]
+        for begin, end in pairwise(self.bound.tolist()):
+            state = self.start
+            for i in range(begin, end):
+                met.append(state)
+                arc = arcs[size[state]][i]
+                while arc < 0:
+                    state = fail[state]
+                    arc = arcs[size[state]][i]
+                took.append(arc)
+                state = target[arc]
+        return np.frombuffer(met, np.int64), np.frombuffer(took, np.int64)
+
+    def weights(self, strength: float, n: int, v: int) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of each arc's probability, and of each state's failures down to the empty state."""
+        p, down = np.ones(len(self.size)), np.zeros(len(self.size))
+        for k, level in enumerate(self.levels):
+            shorter = self.fail[level]
+            if k == 0:
+                p[level] = (self.count[level] + 1) / (n + v + 1.0)
+            elif strength == math.inf:
+                p[level] = p[shorter]
+            else:
+                p[level] = (self.count[level] + strength * p[shorter]) / (self.count[self.source[level]] + strength)
+            if strength < math.inf:
+                down[level] = down[shorter] - np.log10(1 + self.count[level] / strength)
+        return np.log10(p), down
+
+
 def traverse(grams: Grams, counts: list[np.ndarray], n: int, v: int) -> Iterator[np.ndarray]:
-    """log10 P of each token, for each of the strengths."""
-    single = (counts[0][grams.at[0]] + 1) / (n + v + 1.0)
-    steps = []
-    for k in range(1, len(counts)):
-        at = grams.at[k]
-        history = np.zeros(len(at))
-        if k == 1:
-            history[1:] = counts[0][grams.at[0][:-1]]
-            history[grams.bound[:-1]] = counts[1][grams.start]
-        else:
-            history[1:] = np.where(grams.at[k - 1][:-1] >= 0, counts[k - 1][grams.at[k - 1][:-1]], 0)
-            history[grams.bound[:-1]] = 0
-        steps.append(((at >= 0) & (history > 0), np.where(at >= 0, counts[k][at], 0), history))
+    """log10 P of each token, for each of the strengths: the failures on its way and its arc."""
+    automaton = Automaton(grams, counts)
+    met, took = automaton.walk()
+    left = automaton.source[took]
     for strength in STRENGTHS:
-        p = single
-        for known, arc, history in steps if strength < math.inf else ():
-            p = np.where(known, (arc + strength * p) / (history + strength), p)
-        yield np.log10(p)
+        arc, down = automaton.weights(strength, n, v)
+        yield down[met] - down[left] + arc[took]
 
 
 def _score(order: int, buckets: int, n: int, v: int):
