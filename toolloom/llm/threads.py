@@ -2,8 +2,10 @@
 
 A line that begins with > marks (white space between them allowed) is quoted, as deep as it has marks. Consecutive
 lines of one depth are a passage; a passage and each of its lines get a hash of their characters, lower-cased, white space
-collapsed. The quotes of a message's least depth are joined to the messages that say the same unquoted: first of the own conversation,
-else of all; where several say it, to the first of them. The message whose quoted characters are the most is the parent; of equal ones the first.
+collapsed. Quotes of every depth are joined to the messages that say the same unquoted: first of the own conversation, else of all; where several
+say it, to the first of those that quote, before anything else, what the reply quotes one level deeper (its context), else to the first of all.
+Of a message's quotes those of the least depth that found something count, so one whose outer quote was edited is linked to whom its inner
+quote comes from. The message whose quoted characters are the most is the parent; of equal ones the first.
 A parent always comes before its reply in the order of conversation, turn and row, so there are no circles.
 
 Every message comes back with its thread (the root's conversation), depth, and path: the turns from the root down to it. Sorted by thread and
@@ -40,15 +42,22 @@ def _lines(messages: DataFrame) -> DataFrame:
 
 
 def _passages(lines: DataFrame) -> DataFrame:
-    """row, depth, hash, chars: of the passages and of their lines; distinct within a message."""
+    """row, depth, hash, chars, context: of the passages and of their lines; distinct within a message.
+
+    context is the hash of the first passage of the next greater depth that the message has.
+    """
     by_message = Window.partitionBy("row").orderBy("at")
     begins = (F.col("depth") != F.lag("depth", 1, -1).over(by_message)).cast("int")
     numbered = lines.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(by_message))
     whole = numbered.groupBy("row", "passage", "depth").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("lines"))
-    joined = whole.select("row", "depth", _norm(F.array_join(F.transform("lines", lambda x: x["line"]), " ")).alias("norm"), F.transform("lines", lambda x: x["line"]).alias("lines"))
-    own = joined.select("row", "depth", "norm").where("norm <> ''")
+    joined = whole.select("row", "passage", "depth", F.transform("lines", lambda x: x["line"]).alias("lines"))
+    text = joined.select("row", "passage", "depth", _norm(F.array_join("lines", " ")).alias("norm")).where("norm <> ''")
+    own = stored(text.select("row", "passage", "depth", F.xxhash64("norm").alias("hash"), F.length("norm").alias("chars")))
     single = joined.select("row", "depth", F.explode("lines").alias("line")).select("row", "depth", _norm(F.col("line")).alias("norm")).where(F.length("norm") >= LEAST_CHARS)
-    return own.unionByName(single).select("row", "depth", F.xxhash64("norm").alias("hash"), F.length("norm").alias("chars")).distinct()
+    firsts = own.groupBy("row", "depth").agg(F.min(F.struct("passage", "hash"))["hash"].alias("first"))
+    contexts = firsts.select("row", "depth", F.lead("first").over(Window.partitionBy("row").orderBy("depth")).alias("context")).where("context is not null")
+    every = own.select("row", "depth", "hash", "chars").unionByName(single.select("row", "depth", F.xxhash64("norm").alias("hash"), F.length("norm").alias("chars")))
+    return every.distinct().join(contexts, ["row", "depth"], "left")
 
 
 def link(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,24 +67,24 @@ def link(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     plain = own.select("row", F.trim(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), F.lit(" \t\r\n")).alias("own_text"))
     quoting = lines.where("depth > 0").select("row").distinct()
     passages = stored(_passages(lines))
-    quotes = passages.where("depth > 0")
-    least = quotes.groupBy("row").agg(F.min("depth").alias("least"))
-    asked = quotes.join(least, "row").where(F.col("depth") == F.col("least")).select("row", "hash", "chars").distinct()
+    asked = passages.where("depth > 0")
     where_ = messages.select("row", "conv", "turn")
     place = F.struct("conv", "turn", "row")
-    said = passages.where("depth = 0").select("row", "hash").join(asked.select("hash").distinct(), "hash", "left_semi").join(where_, "row")
-    in_conv = said.groupBy("hash", F.col("conv").alias("said_conv")).agg(F.min(place).alias("inside"))
-    anywhere = said.groupBy("hash").agg(F.min(place).alias("outside"))
-    sought = asked.join(where_, "row").withColumn("place", place)
-    found = (
-        sought.alias("q")
-        .join(in_conv.withColumnRenamed("hash", "h"), (F.col("hash") == F.col("h")) & F.col("conv").eqNullSafe(F.col("said_conv")) & (F.col("inside") < F.col("place")), "left")
-        .drop("h", "said_conv")
-        .join(anywhere.withColumnRenamed("hash", "h"), (F.col("hash") == F.col("h")) & (F.col("outside") < F.col("place")), "left")
-        .select("row", "chars", F.coalesce("inside", "outside").alias("parent"))
-        .where("parent is not null")
-    )
-    votes = found.groupBy("row", "parent").agg(F.sum("chars").alias("chars"))
+    said = stored(passages.where("depth = 0").select("row", "hash", "context").join(asked.select("hash").distinct(), "hash", "left_semi").join(where_, "row").select("hash", "conv", "context", place.alias("by")))
+    found = asked.join(where_, "row").withColumn("place", place)
+    for name, keys in (("in_thread", ["conv", "context"]), ("inside", ["conv"]), ("in_context", ["context"]), ("outside", [])):
+        first = said.groupBy("hash", *keys).agg(F.min("by").alias(name))
+        if "context" in keys:
+            first = first.where("context is not null")
+        side = first.withColumnsRenamed({k: f"said_{k}" for k in ["hash", *keys]})
+        same = F.col("hash") == F.col("said_hash")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"said_{k}"))
+        found = found.join(side, same & (F.col(name) < F.col("place")), "left").drop(*[f"said_{k}" for k in ["hash", *keys]])
+    found = found.select("row", "depth", "chars", F.coalesce("in_thread", "inside", "in_context", "outside").alias("parent")).where("parent is not null")
+    of_depth = found.groupBy("row", "depth", "parent").agg(F.sum("chars").alias("chars"))
+    least = of_depth.groupBy("row").agg(F.min("depth").alias("least"))
+    votes = of_depth.join(least, "row").where(F.col("depth") == F.col("least"))
     best = votes.groupBy("row").agg(F.min(F.struct((-F.col("chars")).alias("less"), F.col("parent").alias("parent"))).alias("b"))
     links = stored(best.select("row", F.col("b.parent.row").alias("parent"), F.col("b.parent.conv").alias("parent_conv"), F.col("b.parent.turn").alias("parent_turn")))
     marked = messages.join(plain, "row", "left").join(quoting.withColumn("has_quotes", F.lit(True)), "row", "left")
