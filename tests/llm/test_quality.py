@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -55,3 +56,73 @@ def test_sketches_merge(spark):
 
 def test_empty_table(spark):
     assert quality.apply_rules(spark.createDataFrame([], "doc_id long, text string, lang string, source string")).count() == 0
+
+
+def test_each_measure_rejects_an_outlier_that_the_base_rules_pass(spark):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    text = lambda w: "\n".join(" ".join(w[i : i + 12]) for i in range(0, len(w), 12))
+    rows = [(i, text(words(rng.randint(150, 900))), "l", f"s{i % 3}") for i in range(150)]
+    passage = words(60)
+    doubled = [x for _ in range(45) for x in ("ab cd", " ".join(words(12)))]
+    planted = {
+        "word_length": text([w * 4 for w in words(400)]),
+        "symbol_share": text([w + "#" * (i % 3 == 0) for i, w in enumerate(words(400))]),
+        "dup_line_share": "\n".join(doubled),
+        "repeat_share": text(words(401) + passage + words(402) + passage),
+        "distinct_share": text([rng.choice(vocabulary[:30]) for _ in range(500)]),
+        "upper_share": text([w.upper() if i % 3 == 0 else w for i, w in enumerate(words(400))]),
+    }
+    rows += [(1000 + i, t, "l", "s0") for i, t in enumerate(planted.values())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in quality.apply_rules(frame).collect()}
+    for i, measure in enumerate(planted):
+        assert not found[1000 + i].base_failed and measure in found[1000 + i].outside, measure
+    assert all(found[i].kept for i in range(150))
+
+
+def test_fences_equal_brute_force(spark):
+    rng = random.Random(8)
+    groups = [("a", "s")] * 60 + [("a", "t")] * 9 + [("a", None)] + [("b", "s")] * 25 + [(None, "s")] * 2
+    texts = [" ".join("".join(rng.choice("aBc#") for _ in range(rng.randint(1, 4 + 6 * (lang == "b")))) for _ in range(rng.randint(10, 90))) for lang, _ in groups]
+    frame = spark.createDataFrame([(i, t, *g) for i, (t, g) in enumerate(zip(texts, groups))], "doc_id long, text string, lang string, source string")
+    rows = quality.apply_rules(frame).collect()
+    good = [r for r in rows if not r.base_failed]
+
+    def quartile(m, q, r):
+        blend = None
+        for level in (good, [x for x in good if x.lang == r.lang], [x for x in good if (x.lang, x.source) == (r.lang, r.source)]):
+            values = sorted(x[m] for x in level)
+            if values:
+                own = values[max(0, math.ceil(q * len(values)) - 1)]
+                blend = own if blend is None else (len(values) * own + quality.PRIOR * blend) / (len(values) + quality.PRIOR)
+        return blend
+
+    def error(m, usual, r):
+        if m == "word_length":
+            return usual / math.sqrt(r.n_words)
+        if m == "distinct_share":
+            return 1 / (math.sqrt(r.n_words) * math.log(r.n_words))
+        units = max({"dup_line_share": r.n_lines, "repeat_share": r.n_words / quality.PASSAGE}.get(m, r.n_words), 1)
+        p = (usual * units + 1) / (units + 2)
+        return math.sqrt(p * (1 - p) / units)
+
+    for r in rows:
+        want = []
+        for m, (below, above) in quality.MEASURES.items():
+            q1, q3 = quartile(m, 0.25, r), quartile(m, 0.75, r)
+            if (below and r[m] < q1 - quality.FENCE * (q3 - q1 + error(m, q1, r))) or (above and r[m] > q3 + quality.FENCE * (q3 - q1 + error(m, q3, r))):
+                want.append(m)
+        assert r.outside == want
+    assert len(good) > 60
+
+
+def test_one_document_more_moves_no_fence_far(spark):
+    """A group does not change its fences at once when it reaches some size."""
+    of = lambda n, at: [(at + i, " ".join(["abcdefgh"] * 3 + [f"u{j}" for j in range(40)]), "l", f"n{n}") for i in range(n)]
+    rows = [(i, " ".join(f"word{j * i}" for j in range(1, 60)), "l", "big") for i in range(100)] + of(48, 1000) + of(49, 2000) + of(50, 3000) + of(51, 4000)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    upper = {r.g_source: r.word_length_q3 for r in quality.fences(quality.measures(frame)).collect()}
+    line = [upper[f"n{n}"] for n in (48, 49, 50, 51)]
+    assert max(line) - min(line) < 0.1 and abs(upper["big"] - line[0]) > 1

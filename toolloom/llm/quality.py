@@ -1,14 +1,16 @@
 """Quality rules with thresholds that follow the data.
 
 Every document gets its measures; each (language, source) gets quantile sketches of them, which merge, so any number of
-partial sketches gives one. Fences stand FENCE times the spread between the quartiles outside the quartiles, as in a
-box plot, and at least a least spread, wider for short texts, whose shares scatter more: they leave ordinary documents of a language and source alone, whatever is
+partial sketches gives one. Fences stand FENCE times a spread outside the quartiles, as in a box plot. The spread is that between the
+group's quartiles plus the document's own sampling error: a share of k units scatters by sqrt(p (1 - p) / k) around the group's p, so
+short texts have more room and long ones less, without a fixed least room. Fences leave ordinary documents of a language and source alone, whatever is
 ordinary there, and fixed cutoffs stay for the base rules only. A document is kept if it passes the base rules and no
 measure lies outside the fences of its group.
 
-Null texts have no words and fail the base rules. Null language or source is a group of its own. Groups with fewer than
-LEAST documents that pass the base rules use the fences of all documents of the language, and those of all documents
-where the language is small as well. Repeated rows count as often as they occur. Empty tables give empty results.
+Null texts have no words and fail the base rules. Null language or source is a group of its own. A group's quartiles are blended
+with those of its language, and these with those of all documents: n documents weigh n, what is above them PRIOR; a new or
+small group thus has nearly the fences of its language. Repeated rows count as often as they occur, ties with a fence are inside. Empty tables
+give empty results. Very long texts are measured whole, each in its row.
 Columns other than the named ones are not looked at. Words are runs of characters other than space and \\x09-\\x0D.
 
 The main path is DataFrame functions only. The windows of five words are compared inside the row: no shuffle.
@@ -27,19 +29,34 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 FENCE = 4.0
-LEAST = 50
-SHORT = 100.0
-#: measure: (fence below, fence above, least spread)
+PRIOR = 10.0
+PASSAGE = 20
+#: measure: (fence below, fence above)
 MEASURES = {
-    "word_length": (True, True, 0.5),
-    "symbol_share": (False, True, 0.02),
-    "dup_line_share": (False, True, 0.1),
-    "repeat_share": (False, True, 0.09),
-    "distinct_share": (True, False, 0.08),
-    "upper_share": (False, True, 0.05),
+    "word_length": (True, True),
+    "symbol_share": (False, True),
+    "dup_line_share": (False, True),
+    "repeat_share": (False, True),
+    "distinct_share": (True, False),
+    "upper_share": (False, True),
 }
 
 
+def sampling_error(measure: str, usual: Column) -> Column:
+    """How far a document's measure scatters by chance around the usual one, by its number of words or lines.
+
+    Repeated words come in passages, so PASSAGE words are one unit. Word lengths scatter by about their mean, numbers of distinct words by their root.
+    """
+    words = F.greatest(F.col("n_words"), F.lit(2)).cast("double")
+    if measure == "word_length":
+        return usual / F.sqrt(words)
+    if measure == "distinct_share":
+        return 1 / (F.sqrt(words) * F.log(words))
+    units = F.greatest({"dup_line_share": F.col("n_lines"), "repeat_share": words / PASSAGE}.get(measure, words), F.lit(1)).cast("double")
+    p = (usual * units + 1) / (units + 2)
+    return F.sqrt(p * (1 - p) / units)
+
+
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """doc_id, lang, source, the counts and the shares that the fences apply to."""
     named = docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[source_col].alias("source"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
@@ -61,7 +78,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     counted = hashed.withColumn("n_repeat_words", _covered(F.col("hashes"))).drop("hashes")
     share = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     return counted.withColumn("n_dup_lines", F.col("n_lines") - F.col("n_own_lines")).select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
         share(F.col("word_chars"), F.col("n_words")).alias("word_length"),
         share(F.col("n_symbols"), F.col("word_chars")).alias("symbol_share"),
         share(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_share"),
@@ -106,8 +123,11 @@ def fences(measured: DataFrame) -> DataFrame:
     joined = groups.join(langs, F.col("g_lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(every), F.lit(True), "left")  # one row
 
     def quartile(m: str, q: float) -> Column:
-        of = lambda c: F.kll_sketch_get_quantile_double(c, F.lit(q))
-        return F.when(F.col("n") >= LEAST, of(F.col(m))).when(F.col("l_n") >= LEAST, of(F.col(f"l_{m}"))).when(F.col("a_n") > 0, of(F.col(f"a_{m}")))
+        blend = F.lit(None).cast("double")
+        for prefix in ("a_", "l_", ""):
+            n, own = F.coalesce(F.col(f"{prefix}n"), F.lit(0)), F.kll_sketch_get_quantile_double(F.col(f"{prefix}{m}"), F.lit(q))
+            blend = F.when(n > 0, F.when(blend.isNull(), own).otherwise((n * own + PRIOR * blend) / (n + PRIOR))).otherwise(blend)
+        return blend
 
     return joined.select("g_lang", "g_source", *[quartile(m, q).alias(f"{m}_{s}") for m in MEASURES for q, s in ((0.25, "q1"), (0.75, "q3"))])
 
@@ -119,9 +139,9 @@ def apply_rules(docs: DataFrame, **columns: str) -> DataFrame:
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
 
     def beyond(m: str) -> Column:
-        below, above, least = MEASURES[m]
-        room = FENCE * F.greatest(F.col(f"{m}_q3") - F.col(f"{m}_q1"), F.lit(least / 2)) * F.sqrt(1 + SHORT / F.greatest("n_words", F.lit(1)))
-        low, high = F.col(m) < F.col(f"{m}_q1") - room, F.col(m) > F.col(f"{m}_q3") + room
+        below, above = MEASURES[m]
+        q1, q3 = F.col(f"{m}_q1"), F.col(f"{m}_q3")
+        low, high = F.col(m) < q1 - FENCE * (q3 - q1 + sampling_error(m, q1)), F.col(m) > q3 + FENCE * (q3 - q1 + sampling_error(m, q3))
         return F.when((low if below else F.lit(False)) | (high if above else F.lit(False)), F.lit(m))
 
     outside = F.filter(
