@@ -15,7 +15,8 @@ _OWN = "toolloom.llm.scratch"
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder (not yet made) below spark.checkpoint.dir, which all executors share.
 
-    Where that setting is missing, a local session gets a temporary folder of its own, a cluster an error.
+    Where that setting is missing, a local session gets a temporary folder of its own, a cluster an error. A path
+    without a scheme is one of Hadoop's default file system, as it is to Spark.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN, None)
     if not base:
@@ -23,9 +24,15 @@ def scratch_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="toolloom-")
         spark.conf.set(_OWN, base)
-    if "://" not in base:
-        base = "file://" + base
-    return f"{base.rstrip('/')}/toolloom-{uuid.uuid4().hex}"
+    return f"{qualified(spark, base).rstrip('/')}/toolloom-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The absolute path with its scheme; without one it is of Hadoop's default file system."""
+    if "://" in path or path.startswith("file:/"):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return f"{'file://' if default == 'file:///' else default.rstrip('/')}/{path.lstrip('/')}"
 
 
 def stored(frame: DataFrame) -> DataFrame:
