@@ -31,6 +31,20 @@ def test_is_valid_json_is_pythons_verdict(spark):
     assert {t: got[t] for t in TEXTS} == {t: python(t) for t in TEXTS}
 
 
+def test_texts_of_any_depth(spark):
+    deep = lambda n, inner="", more=0: "[" * n + inner + "]" * (n + more)
+    objects = lambda n: '{"a":' * n + "1" + "}" * n
+    valid = [deep(n) for n in (997, 998, 999, 1000, 1001, 1200, 50_000)] + [objects(n) for n in (998, 1000, 50_000)]
+    valid += [deep(1200, '"]}+INF", NaN, {"k": -1e5}'), f' {{"a": {deep(3000)}, "b": [{objects(2000)}]}}\n']
+    wrong = [deep(1200, "", 1), deep(1200, "", -1), deep(1200) + " x", deep(1200, "'a'"), deep(1200, "+INF"), deep(1200, "1 2"), "]" * 1200]
+    wrong += [deep(1200) + tail for tail in (',"mark":1', ",1", "],[1", "},{", ',"element":[1')] + ["[" * 1200, "," + deep(1200), deep(50_000, "", 1)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(valid + wrong)], "i int, t string")
+    got = {r.i: r.v for r in rows.select("i", jsonx.is_valid_json(F.col("t")).alias("v")).collect()}
+    assert [i for i in got if got[i] != (i < len(valid))] == []
+    strict = rows.where(f"i = {len(valid) - 2}").select(jsonx.is_valid_json(F.col("t"), "strict").alias("v")).first()
+    assert strict.v is False  # NaN, far down
+
+
 def test_null_text_is_not_valid(spark):
     assert spark.sql("select cast(null as string) t").select(jsonx.is_valid_json(F.col("t"))).first()[0] is False
 

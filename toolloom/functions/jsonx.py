@@ -23,6 +23,8 @@ OPTIONS = {
     "maxStringLen": str(2**31 - 1),
 }
 _STRICT = {**OPTIONS, "allowNonNumericNumbers": "false"}
+# Spark's reader gives up at 1,000 levels; a text of fewer brackets has fewer levels.
+_DEPTH_LIMIT = 1000
 _JSON_BLANKS = " \t\n\r"
 _STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
@@ -47,15 +49,30 @@ def _spelled_infinity(text: Column) -> Column:
     return suspicious & bare.rlike(r"[+-]?INF|\+Inf")
 
 
+def _is_deep_json(text: Column, options: dict[str, str]) -> Column:
+    """The verdict on a text of any depth, from a parse that skips its values instead of copying them.
+
+    The text stands once as an object's member and once as an array's first element. What would end or continue
+    the one (``1},{``, ``1,"k":2``) is an error in the other, so both can only be read over if it is one value.
+    """
+    twice = F.concat(F.lit('{"member":'), text, F.lit(',"element":['), text, F.lit(',0],"mark":"'), F.xxhash64(text).cast("string"), F.lit('"}'))
+    parsed = F.from_json(twice, "mark string", options | {"maxNestingDepth": str(2**31 - 1)})
+    return parsed["mark"] == F.xxhash64(text).cast("string")
+
+
 def is_valid_json(text: Column, mode: str = "python") -> Column:
-    """True when the whole text is one JSON value; NULL text is not.
+    """True when the whole text is one JSON value, however deep; NULL text is not.
 
-    ``python`` accepts NaN and the infinities, ``strict`` does not.
+    ``python`` accepts NaN and the infinities, ``strict`` does not. Only a text that the first
+    parse gave up on and that has brackets enough to be too deep for it is parsed again.
     """
     if mode not in ("python", "strict"):
         raise ValueError(f"unknown mode: {mode}")
-    parsed = F.from_json(_wrap(text), "array<string>", OPTIONS if mode == "python" else _STRICT)
-    whole = F.get(parsed, F.lit(1)) == F.xxhash64(text).cast("string")
+    options = OPTIONS if mode == "python" else _STRICT
+    parsed = F.from_json(_wrap(text), "array<string>", options)
+    whole = F.coalesce(F.get(parsed, F.lit(1)) == F.xxhash64(text).cast("string"), F.lit(False))
+    brackets = F.length(text) - F.length(F.translate(text, "[{", ""))
+    whole = F.when(whole, True).when(brackets >= _DEPTH_LIMIT - 2, _is_deep_json(text, options)).otherwise(False)
     if mode == "python":
         whole = whole & ~_spelled_infinity(text)
     return F.coalesce(whole, F.lit(False))
