@@ -92,5 +92,42 @@ def test_blocks_meet_within_the_radius(spark):
     frame = spark.createDataFrame(rows, "a long, b long")
     from pyspark.sql import functions as F
 
-    met = frame.where(F.size(F.array_intersect(dc.blocks(F.col("a")), dc.blocks(F.col("b")))) > 0)
-    assert met.count() == len(rows)
+    prints = frame.select("a", F.col("b").alias("print"))
+    for n in (4, 5):
+        near = dc.probes(prints, n=n)
+        met = near.where(F.array_contains(dc.blocks(F.col("a"), n), F.struct("block", "value")))
+        assert met.select("a").distinct().count() == len(rows)
+        assert near.distinct().count() == near.count()
+
+
+def test_recall_against_all_windows(spark):
+    """Items that share much of their text, so that weights differ, and windows at every start, not only aligned ones."""
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(4000)]
+    text = lambda n: [rng.choice(vocab) for _ in range(n)]
+    common = [text(25) for _ in range(3)]
+    items = [(k, text(rng.randint(8, 30)) + rng.choice(common)[: rng.randint(5, 25)] + text(rng.randint(0, 8))) for k in range(60)]
+    docs = []
+    for i in range(480):
+        leak = list(items[i % 60][1])
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            at, what = rng.randrange(len(leak)), rng.randrange(3)
+            leak[at : at + (what != 1)] = [rng.choice(vocab)] * (what != 2)
+        docs.append((i, " ".join(text(rng.randint(0, 40)) + leak + text(rng.randint(0, 40)))))
+    items = [(k, " ".join(w)) for k, w in items]
+    sets = {k: brute.shingles(t) for k, t in items}
+    df = Counter(s for k in sets for s in sets[k])
+    weight = lambda s: 1 + math.log(60) - (math.log(df[s]) if s in df else 0)
+    want = set()
+    for i, t in docs:
+        words = t.split()
+        for k, item in items:
+            n = len(item.split())
+            for start in range(max(1, len(words) - n + 1)):
+                own = {tuple(words[j : j + 5]) for j in range(start, min(start + n, len(words)) - 4)}
+                if own & sets[k] and sum(map(weight, own & sets[k])) / sum(map(weight, own | sets[k])) >= 0.8:
+                    want.add((i, k))
+                    break
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in dc.find(frame, bench).collect()}
+    assert len(want) > 150 and found <= want and len(found & want) >= 0.99 * len(want)
