@@ -57,6 +57,18 @@ def test_round_trip(spark, manifest):
         at += r.n_tokens
 
 
+def test_files_end_at_their_size(spark, manifest):
+    """More files, of bounded size, with the same documents in the same places."""
+    once = sorted(map(str, tf.read_tokens(manifest).collect()))
+    for limits, most in (({"file_docs": 1}, 1), ({"file_docs": 2}, 2), ({"file_ids": 4}, 4)):
+        files = tf.write_tokens(rows(spark, DATA).repartition(3), FILE, **limits)
+        assert sorted(map(str, tf.read_tokens(files).collect())) == once
+        assert [r.doc_id for r in tf.read_tokens(files, wanted=[9]).collect()] == [9]
+        for r in files.collect():
+            assert r.n_docs <= most if "file_docs" in limits else r.n_ids <= most or r.n_docs == 1
+        assert files.agg({"n_docs": "sum"}).first()[0] == len(DATA)
+
+
 def test_only_wanted_documents(spark, manifest):
     assert sorted(r.doc_id for r in tf.read_tokens(manifest, wanted=[5, 9]).collect()) == [5, 5, 9]
 

@@ -1,6 +1,7 @@
 """Token ids in seekable binary files.
 
-One file holds the documents of one range of ids, in ascending order:
+One file holds the documents of one range of ids, in ascending order. It ends at FILE_IDS token ids or FILE_DOCS documents, and the
+next one begins, so that files, their indexes and the readers' tasks keep their size whatever the table's. A file holds:
 
     data frames     independent zstandard frames of whole documents, ids as little-endian unsigned 32-bit integers
     index           skippable frame 0x184D2A50: number of documents, their ids, null marks, numbers of token ids
@@ -37,9 +38,12 @@ from toolloom.llm.common import renamed, scratch_dir, shuffle_partitions, stored
 from toolloom.llm.words import chunks
 
 FRAME_IDS = 1 << 16
+FILE_IDS = 1 << 27
+FILE_DOCS = 1 << 20
 WORDS_KEPT = 200_000
 _INDEX, _SEEK, _SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-_MANIFEST = "shard int, file string, n_docs long, n_ids long"
+_MANIFEST = "shard int, piece int, file string, n_docs long, n_ids long"
+_FILE = pa.schema([("shard", pa.int32()), ("piece", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
 
 def _byte_letters() -> list[str]:
@@ -128,7 +132,7 @@ def _encoder(tokenizer: str) -> WordEncoder:
 
 class ShardWriter:
     def __init__(self, out):
-        self.out, self.waiting, self.n_waiting = out, [], 0
+        self.out, self.waiting, self.n_waiting, self.n_ids = out, [], 0, 0
         self.frames: list[tuple[int, int, int]] = []
         self.ids: list[int | None] = []
         self.counts: list[int] = []
@@ -139,6 +143,7 @@ class ShardWriter:
             self._frame()
         self.waiting.append(ids)
         self.n_waiting += len(ids)
+        self.n_ids += len(ids)
         self.ids.append(doc_id)
         self.counts.append(len(ids))
 
@@ -200,10 +205,11 @@ def read_shard(source, wanted: set[int] | None = None) -> Iterator[tuple[int | N
         yield doc, plain[a : a + int(counts[i])], int(begins[i])
 
 
-def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int = 1, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes the texts, ends each with end_id and writes them; returns shard, file, n_docs, n_ids of each file.
+def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int = 1, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS) -> DataFrame:
+    """Encodes the texts, ends each with end_id and writes them; returns shard, piece, file, n_docs, n_ids of each file.
 
-    The documents are ranged by id over spark.sql.shuffle.partitions files. A file is written under a name of its own
+    The documents are ranged by id over spark.sql.shuffle.partitions tasks, each of which writes files of at most file_docs
+    documents and file_ids token ids (a longer document has a file of its own). A file is written under a name of its own
     and then moved into place, so a task that runs again replaces it by the same content.
     """
     spark = docs.sparkSession
@@ -211,25 +217,32 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int = 1, folder:
     tokenizer = spark.sparkContext.broadcast(Path(tokenizer_file).read_text())  # the vocabulary: of fixed size
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
-        encode, writer = None, None
+        shard, piece, encode, writer = TaskContext.get().partitionId(), 0, None, None
         files, root = pafs.FileSystem.from_uri(folder)
-        name = f"{root}/shard-{shard:06d}.bin"
+
+        def finished() -> pa.RecordBatch:
+            writer.close()
+            out.close()
+            name = f"shard-{shard:06d}-{piece:06d}.bin"
+            files.move(own, f"{root}/{name}")
+            row = {"shard": [shard], "piece": [piece], "file": [f"{folder}/{name}"], "n_docs": [len(writer.ids)], "n_ids": [writer.n_ids]}
+            return pa.RecordBatch.from_pydict(row, schema=_FILE)
+
         for batch in chunks(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
+                encode = encode or _encoder(tokenizer.value)
+                ids = np.append(encode(text.as_py() or b""), np.uint32(end_id))
+                if writer is not None and (writer.n_ids + len(ids) > file_ids or len(writer.ids) >= file_docs):
+                    yield finished()
+                    writer, piece = None, piece + 1
                 if writer is None:
-                    encode = _encoder(tokenizer.value)
                     files.create_dir(root, recursive=True)
-                    own = f"{name}.{uuid.uuid4().hex}"
+                    own = f"{root}/{uuid.uuid4().hex}.part"
                     out = files.open_output_stream(own)
                     writer = ShardWriter(out)
-                writer.add(doc_id, np.append(encode(text.as_py() or b""), np.uint32(end_id)))
+                writer.add(doc_id, ids)
         if writer is not None:
-            writer.close()
-            out.close()
-            files.move(own, name)
-            row = {"shard": [shard], "file": [f"{folder}/{os.path.basename(name)}"], "n_docs": [len(writer.ids)], "n_ids": [sum(writer.counts)]}
-            yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            yield finished()
 
     ranged = renamed(docs, doc_id=id_col, text=text_col).repartitionByRange(shuffle_partitions(spark), "doc_id", F.xxhash64("text"))
     ordered = ranged.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
@@ -242,7 +255,7 @@ def read_tokens(manifest: DataFrame, wanted: list[int] | None = None, with_ids:
     wanted is a list of document ids that the caller states; frames without any of them stay packed.
     """
     spark = manifest.sparkSession
-    shards = manifest.select("shard", "file", "n_ids").orderBy("shard").collect()  # one row for each file
+    shards = manifest.select("file", "n_ids").orderBy("shard", "piece").collect()  # one row for each file
     before, rows = 0, []
     for r in shards:
         rows.append((r.file, before))
