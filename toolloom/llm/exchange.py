@@ -58,11 +58,14 @@ def long(raw: bytes, n: int) -> np.ndarray:
 
 
 def split_keys(keys: Sequence[np.ndarray], buckets: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """For each bucket that is used: which of the sorted keys of each array belong to it, in order."""
+    """For each bucket that is used: which of the sorted keys of each array belong to it, in order.
+
+    Steps, messages and memory grow with the keys alone, however many buckets there are.
+    """
     homes = [(k % np.uint64(buckets)).astype(np.int64) for k in keys]
     orders = [np.argsort(h, kind="stable") for h in homes]
-    bounds = [np.searchsorted(h[o], np.arange(buckets + 1)) for h, o in zip(homes, orders)]
-    for b in range(buckets):
-        mine = [o[x[b] : x[b + 1]] for o, x in zip(orders, bounds)]
-        if any(len(m) for m in mine):
-            yield b, mine
+    homes = [h[o] for h, o in zip(homes, orders)]
+    used = np.unique(np.concatenate([h[:1] for h in homes] + [h[1:][h[1:] != h[:-1]] for h in homes]))
+    bounds = [(np.searchsorted(h, used, "left").tolist(), np.searchsorted(h, used, "right").tolist()) for h in homes]
+    for i, b in enumerate(used.tolist()):
+        yield b, [o[left[i] : right[i]] for o, (left, right) in zip(orders, bounds)]

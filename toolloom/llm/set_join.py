@@ -193,13 +193,13 @@ def _shared(groups: int):
         unit, n = at[:-1], np.diff(at)
         home, fact_home = owner[unit] % groups, facts["digest"] % groups
         facts = facts[np.argsort(fact_home, kind="stable")]
-        edges = np.arange(groups + 1)
-        units, rows, news = np.searchsorted(home, edges), np.searchsorted(owner % groups, edges), np.searchsorted(np.sort(fact_home), edges)
+        homes = (home, owner % groups, np.sort(fact_home))
+        used = np.union1d(home, fact_home).astype(np.int64)  # groups with something to hear, of however many
+        edges = [(np.searchsorted(h, used, "left"), np.searchsorted(h, used, "right")) for h in homes]
         out = []
-        for g in range(groups):
-            u, x, p = (slice(e[g], e[g + 1]) for e in (units, rows, news))
-            if u.stop > u.start or p.stop > p.start:
-                out.append((bucket, g, *map(_pack, (owner[unit[u]], band[unit[u]], n[u].astype(np.uint32), sig[x], common[x], facts[p]))))
+        for i, g in enumerate(used.tolist()):
+            u, x, p = (slice(left[i], right[i]) for left, right in edges)
+            out.append((bucket, g, *map(_pack, (owner[unit[u]], band[unit[u]], n[u].astype(np.uint32), sig[x], common[x], facts[p]))))
         if not out:
             return _SHARED.empty_table()
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SHARED)], schema=_SHARED)
