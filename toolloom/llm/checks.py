@@ -86,5 +86,25 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS
 FROM embeddings LEFT JOIN counted ON counted.x = vec_id LEFT JOIN least ON least.x = vec_id"""
 
 
+# Shingles of sets whose sizes are near enough are joined; what is reached over links is closed under them.
+SET_JOIN = """WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingles FROM split
+), sized AS (SELECT doc_id, shingles, len(shingles) AS n FROM sets),
+listed AS (SELECT doc_id, n, unnest(shingles) AS shingle FROM sized),
+links AS (
+  SELECT a.doc_id, b.doc_id AS other FROM listed a JOIN listed b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sized
+  UNION
+  SELECT r.doc_id, l.other FROM reach r JOIN links l ON l.doc_id = r.other
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id FROM sized s JOIN reach r USING (doc_id) GROUP BY ALL"""
+
+
 def llm_checks() -> dict[str, str]:
-    return {"op12_manifest": MANIFEST, "op13_metric_join": METRIC_JOIN}
+    return {"op7_set_join": SET_JOIN, "op12_manifest": MANIFEST, "op13_metric_join": METRIC_JOIN}
