@@ -102,7 +102,10 @@ class WordEncoder:
     def __call__(self, text: bytes) -> np.ndarray:
         words = (text if b"<|" in text else text.lower() if self.plain else text).split()  # at the six ASCII characters
         known = self.known
-        unknown = {w for w in words if w not in known}
+        try:  # most texts have no word that is new
+            return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
+        except KeyError:
+            unknown = {w for w in words if w not in known}
         if unknown:
             if len(known) + 2 * len(unknown) > self.keep:
                 self.older, self.known = known, (known := {})
