@@ -1,4 +1,4 @@
-"""Inputs that Spark derives from the given tables, row by row and without a shuffle.
+"""Inputs that Spark derives from the given tables, row by row; only the parts are dealt out over the cluster first.
 
 The tables hold no API specs, tool calls or requests of this kind, so each
 ``part`` row becomes a spec document, each ``events`` row a pair of tool calls
@@ -9,6 +9,7 @@ vocabulary; the checks use their flat form.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ BASES = [
 ]
 METHODS = ["get", "post", "patch", "delete", "put", "head", "GET"]
 PATHS_PER_SPEC = 2
+# Parts of a task. A few MB of them are a single split, but minutes of work as documents.
+PARTS_PER_TASK = 10_000
 
 
 def _parameter(spec: dict, name: str = "", kind: str = "string", text: str = "", required: bool = False, used: bool = True, kind_json: str | None = None):
@@ -96,6 +99,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(rows: DataFrame, per_task: int = PARTS_PER_TASK) -> DataFrame:
+    """The rows dealt out evenly, whatever their keys: to as many tasks as they fill, and to every core."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / per_task))
+    return rows.repartition(tasks)
+
+
 def _literals(values: list[str]) -> Column:
     return F.expr(sql.array(values))
 
@@ -130,7 +139,7 @@ def _operation(number: Column, name: Column) -> tuple[Column, Column]:
 
 def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(spec_id, content)``: one document per part with two paths."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    part = spread(read(spark, sf_dir, "part").select("p_partkey", "p_name"))
     paths = []
     for slot, other in enumerate(['"parameters":[]', '"summary":"a path"']):
         number = F.col("p_partkey") * PATHS_PER_SPEC + slot
@@ -140,7 +149,8 @@ def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit('"'), path, F.lit('":{' + other + ',"'), method, F.lit('":'), operation, F.lit("}"))
         )
     content = F.concat(F.lit('{"openapi":"3.0.1","paths":{'), paths[0], F.lit(","), paths[1], F.lit("}}"))
-    return part.select(F.col("p_partkey").cast("string").alias("spec_id"), content.alias("content"))
+    # A generated row: a filter on the text would be pushed below the dealing and build the texts there.
+    return part.select(F.col("p_partkey").cast("string").alias("spec_id"), F.inline(F.array(F.struct(content.alias("content")))))
 
 
 _CALL = '{"name": "@T", "arguments": {"k": @U, "value": @E, "tags": ["a"]}}'
