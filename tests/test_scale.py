@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from toolloom.operators import spec
 from toolloom.plans import derived
 from toolloom.plans.queries import all_queries
 
@@ -42,3 +43,8 @@ def test_tasks_grow_with_the_rows(spark):
 def test_texts_are_made_above_the_dealing(spark, folder, query):
     dealings = below_dealing(all_queries()[query](spark, folder))
     assert dealings and all("openapi" not in d for d in dealings)
+
+
+def test_texts_of_rejects_are_parsed_once(spark, folder):
+    plan = spec.spec_rejects(derived.flawed_specs(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -51,7 +51,8 @@ def _judged(specs: DataFrame) -> DataFrame:
         .when(~strip(F.col("content")).startswith("{"), "not_an_object")
         .when(F.col("_parsed.spec").isNull(), "not_json")  # a broken object is skipped by the reader
     )
-    return parsed.withColumn("_paths", F.col("_parsed.spec.paths")).withColumn("_error", error).drop("_parsed")
+    # A generated row, so that a filter on the verdict is not pushed below: it would parse again, in the tasks of whatever reads the texts.
+    return parsed.select(*specs.columns, F.col("_parsed.spec.paths").alias("_paths"), F.inline(F.array(F.struct(error.alias("_error")))))
 
 
 def spec_rejects(specs: DataFrame) -> DataFrame:
