@@ -23,9 +23,11 @@ def match_patterns(texts: DataFrame, patterns: DataFrame, text: str = "path", pa
     characters, or the whole of a shorter pattern. Texts and patterns meet in an equi
     join on pieces, and ``contains`` decides. Patterns with a piece that no text
     has are gone before. Pieces compress so well that Spark takes large tables of them for
-    small ones, so the joins are told not to broadcast. The empty pattern is in every text; nulls match nothing.
+    small ones, so the joins are told not to broadcast, and the texts are dealt out by number, since a few MB of them
+    become as many GB of pieces. The empty pattern is in every text; nulls match nothing.
     """
-    lines = texts.select(F.col(text).alias("_text")).where("_text is not null").distinct()
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = texts.select(F.col(text).alias("_text")).where("_text is not null").distinct().repartition(tasks)  # by the text itself it would be left out
     wanted = patterns.select(F.col(pattern).alias("_pattern")).where("_pattern is not null").distinct()
     size = F.least(F.length("_pattern"), F.lit(gram))
     pieces = wanted.select("_pattern", F.explode(_grams(F.col("_pattern"), size)).alias("_gram"))
