@@ -32,6 +32,16 @@ def test_generations_of_words_change_nothing():
         assert small(text.encode()).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_with_any_punctuation_behind_it_goes_to_the_model_at_once():
+    encode, whole = tf.WordEncoder(open(FILE).read()), Tokenizer.from_file(FILE)
+    tails = ["***", "$$$", ".&&&", "'", "'!", "<|", "|>", "_", "-", "\\", '"', "])}", "~`^@#%+=/"]
+    words = [w + t for w in ("Word", "l'été", "é", "don't", "a1", "") for t in tails]
+    for text in [*words, " ".join(words)]:
+        assert encode(text.encode()).tolist() == whole.encode(text, add_special_tokens=False).ids
+    for t in tails:
+        assert encode._word(b"word" + t.encode()) is not None and encode._word("été".encode() + t.encode()) is not None
+
+
 def rows(spark, data):
     return spark.createDataFrame(data, "doc_id long, text string, start int, ids string")
 

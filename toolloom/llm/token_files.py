@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -41,6 +43,7 @@ FRAME_IDS = 1 << 16
 FILE_IDS = 1 << 27
 FILE_DOCS = 1 << 20
 WORDS_KEPT = 200_000
+_PUNCTUATION = string.punctuation.encode()
 _INDEX, _SEEK, _SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _MANIFEST = "shard int, piece int, file string, n_docs long, n_ids long"
 _FILE = pa.schema([("shard", pa.int32()), ("piece", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
@@ -73,7 +76,7 @@ class WordEncoder:
 
     def _word(self, word: bytes) -> bytes | None:
         """The ids of a word of Latin letters and punctuation behind it; None for any other."""
-        base = word.rstrip(b".,;:!?")
+        base = word.rstrip(_PUNCTUATION)
         if base.isalpha():
             text = base.decode().lower()
         else:
@@ -81,7 +84,7 @@ class WordEncoder:
             if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
                 return None
             text = "".join([self.letters[b] for b in text.lower().encode()])
-        ids = np.array([t.id for t in self.tokenizer.model.tokenize(text)], np.uint32).tobytes()
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
         if len(base) < len(word):
             end = word[len(base) :]
             ids += self.known.get(end) or self._learn([end])[end]
@@ -102,22 +105,22 @@ class WordEncoder:
     def __call__(self, text: bytes) -> np.ndarray:
         words = (text if b"<|" in text else text.lower() if self.plain else text).split()  # at the six ASCII characters
         known = self.known
-        try:  # most texts have no word that is new
-            return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
-        except KeyError:
-            unknown = {w for w in words if w not in known}
-        if unknown:
-            if len(known) + 2 * len(unknown) > self.keep:
-                self.older, self.known = known, (known := {})
-                unknown = set(words)
-            older, new = self.older, []
-            for w in unknown:
-                if (ids := older.get(w)) is None:
-                    new.append(w)
-                else:
-                    known[w] = ids
-            self._learn(new)
-        return np.frombuffer(b"".join([known[w] for w in words]), np.uint32)
+        found = list(map(known.get, words))
+        try:
+            return np.frombuffer(b"".join(found), np.uint32)
+        except TypeError:  # None: words that are new
+            unknown = {w for w, ids in zip(words, found) if ids is None}
+        if len(known) + 2 * len(unknown) > self.keep:
+            self.older, self.known = known, (known := {})
+            unknown = set(words)
+        older, new = self.older, []
+        for w in unknown:
+            if (ids := older.get(w)) is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        self._learn(new)
+        return np.frombuffer(b"".join([known[w] if ids is None else ids for w, ids in zip(words, found)]), np.uint32)
 
 
 _encoders: dict[int, WordEncoder] = {}
