@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from toolloom.llm import chunk_dedup as cd
 
 
@@ -47,3 +49,13 @@ def test_copies_keep_one_and_repeated_rows_are_one(spark):
     assert sorted(found) == [1, 2, 3] and not found[3].spans
     assert sorted(s.stays for i in (1, 2) for s in found[i].spans) == [False, True]
     assert run(spark, []) == {}
+
+
+def test_a_part_is_hashed_in_small_pieces_with_the_same_result(monkeypatch):
+    texts = [None, "", "long " * 30_000, *[f"text {i} of many, " * 200 for i in range(1000)]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    sizes = [sum(len(t or "") for t in piece.column("text").to_pylist()) for _, piece, _ in cd._pieces(batch)]
+    assert sum(sizes) == sum(len(t or "") for t in texts) and max(sizes) < 1_000_000
+    small = cd._keys(batch)
+    monkeypatch.setattr(cd, "PIECE_BYTES", 1 << 40)
+    assert all((a == b).all() for a, b in zip(small, cd._keys(batch)))

@@ -34,6 +34,7 @@ CUT = 16
 LEAST_BYTES = 96
 LEAST_WORDS = 25
 PART_CHARS = 6_000_000
+PIECE_BYTES = 500_000  # of a part's texts at once: hashing them takes some 50 bytes a byte
 GEAR = 16
 _GEAR = (mix(np.arange(501, 501 + 256, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
@@ -95,7 +96,7 @@ def _unique(table: pa.Table) -> pa.RecordBatch:
 def _pieces(batch: pa.RecordBatch):
     """(first document of the piece, texts, chunks) of the part's texts, a piece at a time."""
     at = 0
-    for piece in chunks(iter([batch])):
+    for piece in chunks(iter([batch]), PIECE_BYTES):
         yield at, piece, Chunks(piece.column("text"))
         at += piece.num_rows
 
